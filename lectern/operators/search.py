@@ -43,8 +43,9 @@ def top_k(
 
     One pass over the points: every task multiplies its batches with the query matrix
     and sends on at most k rows per query. The matrix is broadcast only while its
-    counted size is within `broadcast_bytes`; beyond that both sides are cut into
-    blocks of `block_bytes` that meet in pairs, again sending on k rows per query.
+    counted size is within `broadcast_bytes`; beyond that a small corpus is broadcast
+    to the queries instead, and with both sides large they are cut into blocks of
+    `block_bytes` that meet in pairs, again sending on k rows per query.
     With `subject` (a column of both sides) a non-empty query subject must match.
     """
     found = queries.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("dim")).first()
@@ -60,9 +61,13 @@ def top_k(
         left, right = points.select(point_id, vector), queries.select(query_id, vector)
     left = left.where(F.col(vector).isNotNull())
     if n * dim * 8 <= broadcast_bytes:
-        hits = _scan_with_broadcast(left, right, k, schema)
+        hits = _scan_points(left, right, k, schema)
     else:
-        hits = _scan_in_blocks(left, right, k, schema, point_id, query_id, n, dim, block_bytes)
+        n_points = left.count()
+        if n_points * dim * 8 <= broadcast_bytes:
+            hits = _scan_queries(left, right, k, schema)
+        else:
+            hits = _scan_in_blocks(left, right, k, schema, point_id, query_id, n_points, n, dim, block_bytes)
     best = F.row_number().over(Window.partitionBy(query_id).orderBy(F.col("score").desc(), point_id))
     return hits.withColumn("rank", best).where(F.col("rank") <= k)
 
@@ -73,15 +78,15 @@ def _batch(schema: T.StructType, query_ids: np.ndarray, local: LocalTopK) -> pa.
     return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
 
-def _scan_with_broadcast(points: DataFrame, queries: DataFrame, k: int, schema: T.StructType) -> DataFrame:
-    table = queries.toArrow()
-    sent = points.sparkSession.sparkContext.broadcast(
-        (
-            values(table.column(0)),
-            unit_rows(table.column(1)),
-            values(table.column(2)) if table.num_columns > 2 else None,
-        )
-    )
+def _collected(df: DataFrame):
+    """Broadcast (ids, unit rows, subjects or None) of a side whose size has been checked."""
+    table = df.toArrow()
+    subjects = values(table.column(2)) if table.num_columns > 2 else None
+    return df.sparkSession.sparkContext.broadcast((values(table.column(0)), unit_rows(table.column(1)), subjects))
+
+
+def _scan_points(points: DataFrame, queries: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+    sent = _collected(queries)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, matrix, wanted = sent.value
@@ -95,12 +100,27 @@ def _scan_with_broadcast(points: DataFrame, queries: DataFrame, k: int, schema:
     return points.mapInArrow(scan, schema)
 
 
+def _scan_queries(points: DataFrame, queries: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+    sent = _collected(points)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        point_ids, matrix, own = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            local = LocalTopK(unit_rows(batch.column(1)), values(batch.column(2)) if own is not None else None, k)
+            local.add(point_ids, matrix, own)
+            yield _batch(schema, values(batch.column(0)), local)
+
+    return queries.mapInArrow(scan, schema)
+
+
 def _scan_in_blocks(
     points: DataFrame, queries: DataFrame, k: int, schema: T.StructType,
-    point_id: str, query_id: str, n: int, dim: int, block_bytes: int,
+    point_id: str, query_id: str, n_points: int, n: int, dim: int, block_bytes: int,
 ) -> DataFrame:
     rows = max(1, block_bytes // (8 * max(dim, 1)))
-    point_blocks = max(1, math.ceil(points.count() / rows))
+    point_blocks = max(1, math.ceil(n_points / rows))
     query_blocks = max(1, math.ceil(n / rows))
 
     def spread(df: DataFrame, own: str, own_id: str, blocks: int, other: str, other_blocks: int) -> DataFrame:

@@ -75,7 +75,8 @@ def marked_paragraphs(df: DataFrame, text: str, keep: Sequence[str] = ()) -> Dat
     clean = F.regexp_replace(F.col(text), r"\r\n?|[\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]", "\n")
     pieces = F.split(clean, r"(?m)(?=^##P\d+[^\S\n]*$)")
     marker = F.regexp_extract("piece", r"\A##P(\d+)[^\S\n]*(?:\n|\z)", 1)
-    lines = F.slice(F.split("piece", "\n"), 2, 2_147_483_647)
+    every = F.split("piece", "\n")
+    lines = F.slice(every, F.lit(2), F.size(every))
     body = F.transform(F.filter(lines, lambda x: ~x.startswith("#")), strip)
     return (
         df.select(*keep, F.explode(pieces).alias("piece"))
