@@ -140,7 +140,7 @@ SQL["search_or_message"] = f"""WITH {DOCUMENTS} SELECT a.query_id, coalesce(cont
 SQL["answer_sources"] = f"WITH {DOCUMENTS} SELECT query_id, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources FROM docs GROUP BY query_id"
 SQL["step_previews"] = f"""WITH {DOCUMENTS} SELECT query_id, count(*) AS n, string_agg(source, ',' ORDER BY i) FILTER (i <= 3) AS preview FROM numbered GROUP BY query_id"""
 SQL["vector_sizes"] = "SELECT vec_id AS point_id, CAST(60 AS BIGINT) AS size FROM embeddings WHERE vec_id % 7 = 0"
-SQL["unit_vectors"] = """SELECT vec_id AS point_id, CASE WHEN vec_id = 0 THEN 0.0 ELSE 1.0 END AS length,
+SQL["unit_vectors"] = """SELECT vec_id AS point_id, CAST(CASE WHEN vec_id = 0 THEN 0 ELSE 1 END AS DOUBLE) AS length,
   CASE WHEN vec_id = 0 THEN 0.0 ELSE round(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) END AS same FROM embeddings"""
 SQL["isolated_vectors"] = """SELECT doc_id AS rec_id, CASE WHEN regexp_matches(text, '[0-9]') THEN 0 ELSE length(text) END AS size,
   CASE WHEN regexp_matches(text, '[0-9]') THEN 'ValueError: digit in text' ELSE '' END AS cause,
@@ -182,7 +182,7 @@ TOKENS = f"""{QA}, tok AS (SELECT rec_id, output, len(regexp_extract_all(instruc
 SQL["sequence_budget"] = f"""WITH {TOKENS} SELECT rec_id, it AS instruction_tokens, ot AS output_tokens, it + ot + 20 AS total_tokens,
   it + ot + 20 > 512 AS over, it + ot + 20 > 512 * 0.9 AND it + ot + 20 <= 512 AS near FROM tok"""
 SQL["chars_per_token"] = f"WITH {TOKENS} SELECT round(avg(length(output) / ot), 6) AS chars_per_token FROM tok"
-EDGES = "edges AS (SELECT a.vec_id AS i, b.vec_id AS j FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id AND list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) > {t})"
+EDGES = "edges AS MATERIALIZED (SELECT a.vec_id AS i, b.vec_id AS j FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id AND list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) > {t})"
 SQL["near_flags"] = f"WITH {EDGES.format(t=0.3)} SELECT DISTINCT j AS point_id FROM edges"
 
 
@@ -195,7 +195,7 @@ scan AS (SELECT CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS kept
 SELECT unnest(kept) AS {out} FROM (SELECT kept FROM scan ORDER BY n DESC LIMIT 1) z"""
 
 
-NODES = """, nodes AS (SELECT row_number() OVER (ORDER BY v.vec_id) AS n, v.vec_id AS id, coalesce(l.lower, []) AS lower
+NODES = """, nodes AS MATERIALIZED (SELECT row_number() OVER (ORDER BY v.vec_id) AS n, v.vec_id AS id, coalesce(l.lower, []) AS lower
   FROM embeddings v LEFT JOIN (SELECT j, list(i) AS lower FROM edges GROUP BY j) l ON l.j = v.vec_id)"""
 SQL["semantic_dedup"] = greedy(EDGES.format(t=0.3) + NODES, "point_id")
 SQL["semantic_dedup_sparse"] = greedy(EDGES.format(t=0.4) + NODES, "point_id")
@@ -204,7 +204,7 @@ reps AS (SELECT min(rec_id) AS id, hits, list_sum(hits) AS nh FROM vecs WHERE li
   UNION ALL SELECT rec_id, hits, 0 FROM vecs WHERE list_sum(hits) = 0),
 near AS (SELECT b.id AS j, list(a.id) AS lower FROM reps a JOIN reps b ON a.id < b.id AND a.nh > 0 AND b.nh > 0
   AND list_dot_product(a.hits, b.hits) / sqrt(a.nh * b.nh) > 0.95 GROUP BY b.id),
-nodes AS (SELECT row_number() OVER (ORDER BY r.id) AS n, r.id, coalesce(near.lower, []) AS lower FROM reps r LEFT JOIN near ON near.j = r.id)""", "rec_id")
+nodes AS MATERIALIZED (SELECT row_number() OVER (ORDER BY r.id) AS n, r.id, coalesce(near.lower, []) AS lower FROM reps r LEFT JOIN near ON near.j = r.id)""", "rec_id")
 SQL["curriculum_plan"] = """WITH cells AS (SELECT lang AS subject, 9 + doc_id % 4 AS grade, array_to_string(list_sort(list(DISTINCT source)), ',') AS topics FROM documents GROUP BY 1, 2)
 SELECT subject, grade, greatest(5, 50 // count(*) OVER (PARTITION BY subject)) AS quota, topics FROM cells"""
 SQL["curriculum_prompts"] = """WITH cells AS (SELECT lang AS subject, 9 + doc_id % 4 AS grade, array_to_string(list_sort(list(DISTINCT source)), ', ') AS topics FROM documents GROUP BY 1, 2)
@@ -397,3 +397,20 @@ SQL["exam_chunks"] = f"""WITH {QA} SELECT 'Soru: ' || instruction || chr(10) ||
   'A' AS answer_key, 2000 + rec_id % 20 AS year, 'TYT' AS exam_type, subject FROM qa"""
 SQL["jsonl_round_trip"] = f"WITH {QA} SELECT instruction, '' AS input, output, subject, grade FROM qa"
 SQL["result_csv"] = f"WITH {QA} SELECT rec_id, instruction, output FROM qa"
+
+CLEAN_TEXTS = f"""{KEYED}, clean AS (SELECT rec_id, text, key FROM keyed WHERE length(text) BETWEEN 20 AND 1000 QUALIFY row_number() OVER (PARTITION BY keyed.key ORDER BY rec_id) = 1),
+vecs AS (SELECT rec_id, {HITS} AS hits FROM clean)"""
+SQL["prepare_funnel"] = (
+    SQL["semantic_dedup_texts"]
+    .replace(f"vecs AS (SELECT doc_id AS rec_id, {HITS} AS hits FROM documents)", CLEAN_TEXTS)
+    .replace("SELECT unnest(kept) AS rec_id FROM", "SELECT counts.*, len(kept) AS final, counts.kept_ - len(kept) AS semantic, len(kept) - CAST(ceil(CAST(0.2 AS DOUBLE) * len(kept)) AS BIGINT) AS train, CAST(ceil(CAST(0.2 AS DOUBLE) * len(kept)) AS BIGINT) AS eval FROM")
+    .replace("LIMIT 1) z", f"LIMIT 1) z, ({SQL['filter_funnel'].split('FROM documents) ', 1)[1].replace('AS kept FROM', 'AS kept_ FROM')}) counts")
+    .replace("SELECT counts.*", "SELECT counts.* EXCLUDE (kept_)")
+)
+SAMPLE = ARMS.replace("FROM qa)", "FROM (SELECT * FROM qa ORDER BY md5('42:' || rec_id), rec_id LIMIT 30) qa)").replace("SELECT rec_id, subject, grade,", "SELECT rec_id, subject, grade, instruction,")
+SQL["ab_table"] = f"""WITH RECURSIVE {SAMPLE}, {rouge1_of('a_answer', 'ra')}, {rouge1_of('b_answer', 'rb')}, {lcs_of('a_answer', 'la')}, {lcs_of('b_answer', 'lb')}
+SELECT rec_id AS idx, subject, grade, instruction AS question, gold, a_answer, b_answer, a_in AS a_input_tokens, a_out AS a_output_tokens,
+  round(ra.f, 4) AS a_rouge1, round(la.f, 4) AS "a_rougeL", round(rb.f, 4) AS b_rouge1, round(lb.f, 4) AS "b_rougeL",
+  CASE WHEN rec_id % 17 = 0 THEN 'timeout' ELSE '' END AS a_error, '' AS b_error, round(conf, 4) AS b_confidence, tries AS b_attempts,
+  CAST(NULL AS DOUBLE) AS a_latency, CAST(NULL AS DOUBLE) AS b_latency, '' AS a_rating_manual, '' AS b_rating_manual, CAST(NULL AS DOUBLE) AS a_bertscore, CAST(NULL AS DOUBLE) AS b_bertscore
+FROM arms JOIN ra USING (rec_id) JOIN rb USING (rec_id) JOIN la USING (rec_id) JOIN lb USING (rec_id)"""
