@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern import constants as C
 from lectern.functions.text import _col, strip, weak_answer
+from lectern.functions.vectors import bind
 
 
 def is_weak(answer: Column | str, phrases: Sequence[str] = C.WEAK_PHRASES) -> Column:
@@ -74,14 +75,21 @@ def step_preview(documents: Column | str) -> Column:
 
 def _source_lines(answer: Column, header: str) -> Column:
     """Stripped, non-empty lines of the sources section, bullets removed."""
-    begin = F.regexp_instr(answer, F.lit(header))
-    found = F.regexp_extract(answer, f"({header})", 0)
-    tail = F.substring(answer, begin + F.length(found), F.length(answer))
-    stop = F.regexp_instr(tail, F.lit(C.NEXT_HEADER))
-    section = F.when(stop > 0, F.substring(tail, F.lit(1), stop - 1)).otherwise(tail)
-    lines = F.split(section, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]")
-    clean = F.transform(lines, lambda x: strip(F.regexp_replace(strip(x), r"\A[-*•]+", "")))
-    return F.when(begin > 0, F.filter(clean, lambda x: x != "")).otherwise(F.array().cast("array<string>"))
+
+    def section(tail: Column) -> Column:
+        stop = F.regexp_instr(tail, F.lit(C.NEXT_HEADER))
+        return F.when(stop > 0, F.substring(tail, F.lit(1), stop - 1)).otherwise(tail)
+
+    def after(begin: Column) -> Column:
+        # the header's own length is read at its place, not searched again
+        return F.regexp_replace(F.substring(answer, begin, F.length(answer)), rf"\A(?:{header})", "")
+
+    def lines(begin: Column) -> Column:
+        parts = F.split(bind(after(begin), section), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]")
+        clean = F.transform(parts, lambda x: strip(F.regexp_replace(strip(x), r"\A[-*•]+", "")))
+        return F.when(begin > 0, F.filter(clean, lambda x: x != "")).otherwise(F.array().cast("array<string>"))
+
+    return bind(F.regexp_instr(answer, F.lit(header)), lines)
 
 
 def _file_names(line: Column) -> Column:
@@ -108,9 +116,11 @@ def check_cited_sources(
     academic = F.regexp_extract_all(text, F.lit(C.ACADEMIC_PATTERN), F.lit(0))
 
     def unknown_of(line):
-        names = _file_names(line)
         title = F.when(_unlisted_title(line), F.array(F.substring(line, 1, 80))).otherwise(F.array().cast("array<string>"))
-        return F.when(F.size(names) == 0, title).otherwise(F.array_except(names, F.col("__allowed")))
+        return bind(
+            _file_names(line),
+            lambda names: F.when(F.size(names) == 0, title).otherwise(F.array_except(names, F.col("__allowed"))),
+        )
 
     def warning(name, found):
         head = F.array_join(F.slice(found, 1, 3), ", ")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,22 +17,49 @@ from lectern.operators.embed import Vectorizer, embed_passages
 AUTOMATIC = ("point_id", "vector", "source", "page_num", "chunk_index", "doc_id", "text")
 
 
-def with_document_id(pages: DataFrame, file: str = "file_id", single_page: bool = False) -> DataFrame:
-    """Add `doc_id` from the source stem and the file's non-blank pages joined by newlines.
+def _content_digests(pages: DataFrame, file: str) -> DataFrame:
+    """SHA-256 per file of its pages joined by newlines, in page order.
 
-    A file is an upload of at most 10 MiB, which bounds the text gathered per group.
+    Sorted pages stream through the hash, so memory does not grow with the file;
+    the chain itself is sequential per file by definition.
     """
-    if single_page:
-        return pages.where(~is_blank("text")).withColumn("doc_id", document_id(file_stem("source"), "text"))
-    filled = pages.where(~is_blank("text"))
-    ordered = F.array_sort(F.collect_list(F.struct("page_num", "text")))
-    content = F.array_join(F.transform(ordered, lambda p: p["text"]), "\n")
-    ids = (
-        filled.groupBy(file)
-        .agg(F.min("source").alias("__source"), content.alias("__content"))
-        .select(file, document_id(file_stem("__source"), "__content").alias("doc_id"))
+    file_type = pages.schema[file].dataType.simpleString()
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, source, running = None, None, None
+
+        def done():
+            return pa.RecordBatch.from_pylist(
+                [{file: current, "__source": source, "__digest": running.hexdigest()}], schema=arrow_schema
+            )
+
+        for batch in batches:
+            arrow_schema = pa.schema([batch.schema.field(0), pa.field("__source", pa.string()), pa.field("__digest", pa.string())])
+            for row_file, row_source, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if running is None or row_file != current:
+                    if running is not None:
+                        yield done()
+                    current, source, running = row_file, row_source, hashlib.sha256(text.encode())
+                else:
+                    running.update(b"\n" + text.encode())
+        if running is not None:
+            yield done()
+
+    return (
+        pages.select(file, "source", "text", "page_num")
+        .repartition(file)
+        .sortWithinPartitions(file, "page_num")
+        .mapInArrow(digests, f"`{file}` {file_type}, __source string, __digest string")
     )
-    return filled.join(ids, file)
+
+
+def with_document_id(pages: DataFrame, file: str = "file_id", single_page: bool = False) -> DataFrame:
+    """Add `doc_id` from the source stem and the file's non-blank pages joined by newlines."""
+    filled = pages.where(~is_blank("text"))
+    if single_page:
+        return filled.withColumn("doc_id", document_id(file_stem("source"), "text"))
+    name = F.concat(file_stem("__source"), F.lit("_"), F.substring("__digest", 1, 16))
+    return filled.join(_content_digests(filled, file).select(file, name.alias("doc_id")), file)
 
 
 def blank_files(pages: DataFrame, file: str = "file_id") -> DataFrame:
