@@ -150,11 +150,15 @@ def _lower_hits(rows: DataFrame, t: float, n: int, dim: int, block_bytes: int) -
 
         schema = "id long, v array<double>, src boolean, tgt boolean, cell long, home boolean"
         placed = cut_lineage(rows.select("id", "v", "src", "tgt").mapInArrow(assign, schema))
+        # one row per cell
+        sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("subs"))
+        placed = placed.join(sizes, "cell")
     else:
-        placed = rows.select("id", "v", "src", "tgt", F.lit(0).cast("long").alias("cell"), F.lit(True).alias("home"))
-    # one row per cell
-    sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("subs"))
-    grid = placed.join(sizes, "cell").withColumn("sub", F.pmod(F.xxhash64("id"), "subs").cast("int"))
+        placed = rows.select(
+            "id", "v", "src", "tgt", F.lit(0).cast("long").alias("cell"), F.lit(True).alias("home"),
+            F.lit(math.ceil(n / block)).alias("subs"),
+        )
+    grid = placed.withColumn("sub", F.pmod(F.xxhash64("id"), "subs").cast("int"))
     pairs = grid.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))).select(
         "id", "v", "src", "tgt", "home", "cell", "sub",
         F.least("sub", "other").alias("a"), F.greatest("sub", "other").alias("b"),

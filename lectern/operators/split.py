@@ -50,6 +50,21 @@ def _flag_lowest(df: DataFrame, row_id: str, quotas: DataFrame, seed: int, out:
     )
 
 
+def _flag_lowest_overall(df: DataFrame, row_id: str, quota: int, seed: int, out: str) -> DataFrame:
+    """The same without strata: 4096 slice counts and one cut row reach the driver, nothing is joined."""
+    hashed = df.withColumn("__h", seeded_hash(seed, row_id))
+    slice_ = F.substring("__h", 1, 3)
+    before = 0
+    for name, size in sorted(hashed.groupBy(slice_).agg(F.count("*")).collect()):
+        if before + size >= quota > before:
+            ends = hashed.where(slice_ == name).orderBy("__h", row_id).limit(quota - before)
+            cut = ends.agg(F.max(F.struct(F.col("__h"), F.col(row_id).alias("id"))).alias("cut")).first()["cut"]
+            later_id = (F.col("__h") == cut["__h"]) & (F.col(row_id) > cut["id"])
+            return hashed.withColumn(out, (F.col("__h") <= cut["__h"]) & ~later_id).drop("__h")
+        before += size
+    return hashed.withColumn(out, F.lit(False)).drop("__h")
+
+
 def split_level(df: DataFrame, eval_ratio: float = C.EVAL_RATIO) -> str:
     """Which strata the split can use: subject_grade, subject or none."""
     fine = df.groupBy("subject", "grade").agg(F.count("*").alias("n"))
@@ -73,7 +88,7 @@ def split_level(df: DataFrame, eval_ratio: float = C.EVAL_RATIO) -> str:
 def _stratum(level: str) -> Column:
     if level == "subject_grade":
         return F.concat_ws("_", "subject", F.col("grade").cast("string"))
-    return F.col("subject") if level == "subject" else F.lit("all")
+    return F.col("subject")
 
 
 def stratified_split(
@@ -81,6 +96,10 @@ def stratified_split(
 ) -> DataFrame:
     """Add `split` (train/eval). Eval takes ceil(ratio * n) rows; train quotas by largest remainder."""
     level = level or split_level(df, eval_ratio)
+    if level == "none":
+        n = df.count()
+        flagged = _flag_lowest_overall(df, row_id, n + int(-(eval_ratio * n) // 1), seed, "__train")
+        return flagged.withColumn("split", F.when(F.col("__train"), F.lit("train")).otherwise(F.lit("eval"))).drop("__train")
     rows = df.withColumn("__stratum", _stratum(level))
     sizes = rows.groupBy("__stratum").agg(F.count("*").alias("n"))
     total = sizes.agg(F.sum("n")).scalar()

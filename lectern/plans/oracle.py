@@ -228,7 +228,13 @@ split_ AS (SELECT m.*, CASE WHEN row_number() OVER (PARTITION BY m.stratum ORDER
   FROM marked m JOIN quotas USING (stratum))"""
 
 
-LEVEL = "CASE WHEN (SELECT min(n) FROM (SELECT count(*) AS n FROM rows_ GROUP BY subject, grade) g) >= 2 THEN subject || '_' || grade ELSE subject END"
+LEVEL = """(SELECT CASE WHEN fine_min >= 2 AND smaller >= fine THEN rows_.subject || '_' || rows_.grade
+    WHEN fine_min >= 2 THEN 'all' WHEN coarse_min >= 2 AND smaller >= coarse THEN rows_.subject ELSE 'all' END FROM (
+  SELECT (SELECT min(n) FROM (SELECT count(*) AS n FROM rows_ GROUP BY subject, grade) g) AS fine_min,
+    (SELECT count(*) FROM (SELECT DISTINCT subject, grade FROM rows_) g) AS fine,
+    (SELECT min(n) FROM (SELECT count(*) AS n FROM rows_ GROUP BY subject) g) AS coarse_min,
+    (SELECT count(DISTINCT subject) FROM rows_) AS coarse,
+    (SELECT least(CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT), count(*) - CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT)) FROM rows_) AS smaller) lv)"""
 RECORD_SPLIT = f"{QA}, {split_of('SELECT * FROM qa WHERE length(output) BETWEEN 20 AND 1000', LEVEL)}"
 TEXT_SPLIT = split_of("SELECT doc_id AS rec_id, text, lang AS subject, 9 + doc_id % 4 AS grade, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS key FROM documents", LEVEL)
 SQL["stratified_split"] = f"WITH {RECORD_SPLIT} SELECT rec_id, split FROM split_"
