@@ -109,5 +109,10 @@ def estimated_tokens(c: Column | str) -> Column:
     return F.size(F.regexp_extract_all(_col(c), F.lit(r"(\p{L}{1,4}|\p{N}+|[^\p{L}\p{N}\s])"), F.lit(1)))
 
 
+def whole_millis(seconds: Column | str) -> Column:
+    """Seconds to whole milliseconds, the rest cut off."""
+    return (_col(seconds) * 1000).cast("bigint")
+
+
 def seeded_hash(seed: int, row_id: Column | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), _col(row_id).cast("string")))

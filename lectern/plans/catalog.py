@@ -906,6 +906,11 @@ def prompt_texts(spark, sf_dir):
     )
 
 
+@query
+def processing_times(spark, sf_dir):
+    return R.table(spark, sf_dir, "events").select("event_id", T.whole_millis("value").alias("millis"))
+
+
 @query
 def chat_messages(spark, sf_dir):
     rows = R.qa(spark, sf_dir).select("rec_id", F.posexplode(T.chat_messages("instruction", "output")).alias("i", "m"))

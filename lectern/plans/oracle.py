@@ -393,6 +393,7 @@ SQL["prompt_texts"] = f"""WITH {REQUESTS} SELECT rec_id, CASE WHEN rec_id % 2 =
   CASE WHEN grade_level > 6 THEN 'BAĞLAM:' || chr(10) || subject || chr(10) || chr(10) || 'SORU: ' || question
     ELSE 'SORU: ' || question || chr(10) || chr(10) || '(Not: İlgili bağlam bulunamadı. Yeterli bilgi yoksa söyle.)' END AS message,
   CASE WHEN length(question) > 60 THEN substr(question, 1, 60) || '...' ELSE question END AS preview FROM reqs"""
+SQL["processing_times"] = "SELECT event_id, CAST(trunc(value * 1000) AS BIGINT) AS millis FROM events"
 SQL["chat_messages"] = f"WITH {QA} SELECT rec_id, CAST(0 AS BIGINT) AS i, 'user' AS role, instruction AS content FROM qa UNION ALL SELECT rec_id, 1, 'assistant', output FROM qa"
 SQL["file_names"] = """SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS base, regexp_extract(url, '([^/]*)$', 1) || '.Tar' AS stem, '.gz' AS suffix FROM pages"""
 SQL["route_questions"] = "SELECT doc_id AS rec_id, CASE WHEN regexp_matches(text, '[0-9]|=|²|³|(?i:türev|integral|denklem)') THEN 'math' ELSE 'theory' END AS route FROM documents"
