@@ -18,12 +18,15 @@ from lectern.plans import prepare
 
 
 def greedy(rows, t):
-    kept = []
+    """The sequential loop, one row at a time against the kept ones."""
+    kept, units = set(), np.empty((0, len(rows[0][1])))
     for i, v in sorted(rows):
-        n = np.linalg.norm(v)
-        if all(not (n and np.linalg.norm(w) and np.dot(v, w) / (n * np.linalg.norm(w)) > t) for _, w in kept):
-            kept.append((i, v))
-    return {i for i, _ in kept}
+        length = np.linalg.norm(v)
+        unit = np.asarray(v) / (length or 1.0)
+        if not (units @ unit > t).any():
+            kept.add(i)
+            units = np.vstack([units, unit])
+    return kept
 
 
 def at_angle(degrees):
@@ -310,3 +313,20 @@ def test_cross_table(spark):
     assert (r["subject_min"], r["subject_max"], r["grade_min"], r["grade_max"], r["empty_cells"]) == (2, 4, 0, 3, 5)
     counts = collections.Counter({(r["subject"], r["grade"]): r["n"] for r in stats.subject_grade_cube(df).collect()})
     assert counts[("all", "all")] == 6 and counts[("a", "all")] == 4 and counts[("all", "9")] == 3
+
+
+def test_copies_are_cut_before_the_shuffle(spark):
+    df = spark.range(100).select("id", (F.col("id") % 3).cast("string").alias("t"))
+    plan = quality.first_per_key(df, "t", "id")._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange hashpartitioning", 1)
+    assert "WindowGroupLimit" in above and "WindowGroupLimit" in below
+    assert {r["id"] for r in quality.first_per_key(df, "t", "id").collect()} == {0, 1, 2}
+
+
+def test_a_third_of_near_copies(spark):
+    rng = np.random.default_rng(7)
+    rows = rng.normal(size=(3000, 8))
+    rows[:1000] = rows[0] + rng.normal(scale=0.01, size=(1000, 8))
+    rows = [(i, v) for i, v in enumerate(rows[rng.permutation(3000)].tolist())]
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(6)
+    assert {r[0] for r in neardup.semantic_dedup(df, "id", "v", 0.95).collect()} == greedy(rows, 0.95)
