@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import fm_dedup
+from lectern.llm import best_two_fit, fm_dedup, gray_simhash, line_dedup, piece_codec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": line_dedup.query,
+    "op3_piece_codec": piece_codec.query,
+    "op6_gray_simhash": gray_simhash.query,
     "op8_fm_dedup": fm_dedup.query,
+    "op9_best_two_fit": best_two_fit.query,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_line_dedup": line_dedup.SQL,
+}
