@@ -15,6 +15,9 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: All but letters: ASCII letters and every byte of a longer character count as letters.
+NO_LETTER = np.ones(256, dtype=bool)
+NO_LETTER[128:] = NO_LETTER[65:91] = NO_LETTER[97:123] = False
 #: Bytes of text handled at once, unless one text alone is longer.
 SLICE_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15
@@ -86,12 +89,13 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words_of(texts: pa.Array, lower: bool = False) -> Words:
+def words_of(texts: pa.Array, lower: bool = False, apart: np.ndarray = SPACE) -> Words:
+    """apart: which bytes stand between words."""
     data, offsets = text_bytes(texts)
     if lower:
         data = LOWER[data]
     solid = np.zeros(len(data) + 1, dtype=bool)
-    solid[:-1] = ~SPACE[data]
+    solid[:-1] = ~apart[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     before = np.zeros(len(data) + 1, dtype=bool)
