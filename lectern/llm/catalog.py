@@ -6,16 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import best_two_fit, fm_dedup, gray_simhash, line_dedup, piece_codec
+from lectern.llm import best_two_fit, class_lm, fm_dedup, gray_simhash, line_dedup, mih_search, piece_codec, posting_lists, toxicity, zstd_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_dedup.query,
+    "op2_posting_lists": posting_lists.query,
     "op3_piece_codec": piece_codec.query,
+    "op4_class_lm": class_lm.query,
+    "op5_toxicity": toxicity.query,
     "op6_gray_simhash": gray_simhash.query,
+    "op7_zstd_quality": zstd_quality.query,
     "op8_fm_dedup": fm_dedup.query,
     "op9_best_two_fit": best_two_fit.query,
+    "op10_mih_search": mih_search.query,
 }
 
 SQL: dict[str, str] = {
     "op1_line_dedup": line_dedup.SQL,
+    "op10_mih_search": mih_search.SQL,
 }

@@ -109,11 +109,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = f"""
 WITH taken AS (
-  SELECT vec_id, list_transform(embedding, x -> CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings
-  WHERE len(list_filter(embedding, x -> x <> 0)) > 0),
+  SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x <> 0)) > 0),
 pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(list_sum(list_transform(range(1, len(q.bits) + 1), i -> CASE WHEN q.bits[i] <> c.bits[i] THEN 1 ELSE 0 END)) AS INTEGER) AS distance
+         CAST(list_sum(list_transform(range(1, len(q.bits) + 1), lambda i: CASE WHEN q.bits[i] <> c.bits[i] THEN 1 ELSE 0 END)) AS INTEGER) AS distance
   FROM taken q JOIN taken c ON q.vec_id <> c.vec_id WHERE q.vec_id % {QUERY_STEP} = 0),
 ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank, vec_id, distance FROM pairs)
 SELECT * FROM ranked WHERE rank <= {K}

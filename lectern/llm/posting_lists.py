@@ -33,7 +33,7 @@ QUERY_STEP = 50
 SAMPLE, CENTROIDS = 20_000, 1024
 LIST = 256
 COPIES, CLOSURE = 4, 1.10
-PRUNE = 1.16
+PRUNE = 1.25
 NEIGHBOURS, BEAM = 16, 32
 BLOCK = 2048
 #: Candidates a block gives beyond k, so that rounding in the matrix product can lose none.
