@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import fm_dedup
+from lectern.llm import best_two_fit, fm_dedup, gray_simhash, line_dedup, toxicity
 from lectern.llm.tables import read_table, saved
 
 STAGES = [
+    ("toxicity", toxicity.stage),
+    ("line_dedup", line_dedup.stage),
+    ("simhash_near_dedup", gray_simhash.stage),
     ("substring_dedup", fm_dedup.stage),
+    ("best_fit_packing", best_two_fit.stage),
 ]
 
-#: Hash fingerprints, text indexes and a trained classifier have no SQL form; tests compare with plain restatements.
+#: A trained classifier, hash fingerprints, text indexes and tokenizers have no SQL form; a test compares with a plain restatement.
 ORACLE_SQL = None
 
 
