@@ -74,7 +74,7 @@ def embed_passages(
 def embed_queries(
     df: DataFrame, text: str, vectorizer: Vectorizer, model: str = "", normalize: bool = True, out: str = "vector"
 ) -> DataFrame:
-    """Every distinct query text is vectorized once and joined back."""
+    """Every distinct query text is vectorized once and joined back; a null text keeps its row, without a vector."""
     vector = vectorizer(F.concat(query_prefix(F.lit(model)), F.col(text)))
-    unique = df.select(text).distinct().withColumn(out, l2_normalize(vector) if normalize else vector)
-    return df.join(unique, text)
+    unique = df.select(text).where(F.col(text).isNotNull()).distinct().withColumn(out, l2_normalize(vector) if normalize else vector)
+    return df.join(unique, text, "left")

@@ -114,8 +114,17 @@ def record_points(records: DataFrame, position: str, vectorizer: Vectorizer, pre
     return embed_passages(rows, "text", vectorizer).withColumn("point_id", point_id("doc_id", "chunk_index"))
 
 
-def upsert(existing: DataFrame, new: DataFrame, key: str = "point_id") -> DataFrame:
-    """New rows replace old ones of the same id."""
+def upsert(existing: DataFrame, new: DataFrame, key: str = "point_id", order: str | None = None) -> DataFrame:
+    """New rows replace old ones of the same id; one row per id is left.
+
+    Of several new rows with one id the last by the column `order` stays (it is dropped
+    from the result); without `order` any one of them, for rows that are known to be equal.
+    """
+    if order is None:
+        new = new.dropDuplicates([key])
+    else:
+        last = F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc()))
+        new = new.withColumn("__last", last).where(F.col("__last") == 1).drop("__last", order)
     return existing.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 

@@ -34,7 +34,11 @@ def score_margins(
     hits: DataFrame, gold: DataFrame, queries: DataFrame, points: DataFrame,
     query_id: str = "query_id", point_id: str = "point_id", vector: str = "vector",
 ) -> DataFrame:
-    """Per query: top-1 id and score, the gold paragraph's own score, margin, hit flag."""
+    """Per query: top-1 id and score, the gold paragraph's own score, margin, hit flag.
+
+    Every query with a gold id has a row. A gold id that the corpus lacks leaves its score
+    and the margin null; such a query, and one without hits, counts as wrong.
+    """
     own = (
         gold.join(queries.select(query_id, F.col(vector).alias("__q")), query_id)
         .join(points.select(F.col(point_id).alias("gold_id"), F.col(vector).alias("__p")), "gold_id")
@@ -44,8 +48,10 @@ def score_margins(
         query_id, F.col(point_id).alias("top1"), F.col("score").alias("top1_score")
     )
     return (
-        first.join(own, query_id)
-        .withColumn("ok", F.col("top1") == F.col("gold_id"))
+        gold.select(query_id, "gold_id")
+        .join(first, query_id, "left")
+        .join(own, [query_id, "gold_id"], "left")
+        .withColumn("ok", F.coalesce(F.col("top1") == F.col("gold_id"), F.lit(False)))
         .withColumn("margin", F.col("top1_score") - F.col("gold_score"))
     )
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Sequence
 
 import pandas as pd
@@ -14,21 +13,34 @@ from lectern import constants as C
 from lectern.functions.text import preview
 from lectern.operators.ordered import running_average
 
-_ASCII_WORD = re.compile(r"[a-z0-9]+")
-_ANY_WORD = re.compile(r"[^\W_]+")
+_ASCII_WORD, _ASCII_TOKENS = re.compile(r"[a-z0-9]+"), r"([a-z0-9]+)"
+_ANY_WORD, _ANY_TOKENS = re.compile(r"[^\W_]+"), r"([\p{L}\p{N}]+)"
+#: Words of the shorter text that are worked on together.
+LCS_STRIPE = 4096
 
 
-def _lcs(a: list[str], b: list[str]) -> int:
-    """Longest common subsequence, one big-integer row of bits per step."""
-    places: dict[str, int] = {}
-    for i, token in enumerate(a):
-        places[token] = places.get(token, 0) | (1 << i)
-    open_bits = full = (1 << len(a)) - 1
-    for token in b:
-        match = open_bits & places.get(token, 0)
-        if match:
-            open_bits = ((open_bits + match) | (open_bits - match)) & full
-    return len(a) - open_bits.bit_count()
+def _lcs(a: list[str], b: list[str], stripe: int = LCS_STRIPE) -> int:
+    """Longest common subsequence, one row of bits per step.
+
+    The shorter list is cut into stripes of fixed width; what a row carries out of a stripe
+    goes into the next one, so memory is bounded by the stripe and one bit per step.
+    """
+    a, b = sorted((a, b), key=len)
+    carried, common = bytearray(len(b)), 0
+    for at in range(0, len(a), stripe):
+        part = a[at : at + stripe]
+        places: dict[str, int] = {}
+        for i, token in enumerate(part):
+            places[token] = places.get(token, 0) | (1 << i)
+        open_bits = full = (1 << len(part)) - 1
+        for j, token in enumerate(b):
+            match = open_bits & places.get(token, 0)
+            if match or carried[j]:
+                total = open_bits + match + carried[j]
+                carried[j] = total >> len(part)
+                open_bits = (total & full) | (open_bits & ~match)
+        common += len(part) - open_bits.bit_count()
+    return common
 
 
 def _f_measure(common: int, n_prediction: int, n_reference: int) -> float:
@@ -38,28 +50,56 @@ def _f_measure(common: int, n_prediction: int, n_reference: int) -> float:
     return 2 * precision * recall / (precision + recall)
 
 
-def rouge(prediction: Column | str, reference: Column | str, unicode_words: bool = False) -> Column:
-    """STRUCT<rouge1, rougeL> of F measures, no stemming.
+def _col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def rouge1(prediction: Column | str, reference: Column | str, unicode_words: bool = False) -> Column:
+    """F measure of common words, in built-in functions only.
 
     Tokens are runs of a-z and 0-9 in the lowercase text, so other letters split
-    words; `unicode_words` keeps them together.
+    words; `unicode_words` keeps them together. The words of both sides are sorted
+    together and counted in one walk: each word of the reference uses up one equal
+    word of the prediction.
     """
+
+    def tokens(text):
+        return F.regexp_extract_all(F.lower(F.coalesce(_col(text), F.lit(""))), F.lit(_ANY_TOKENS if unicode_words else _ASCII_TOKENS), F.lit(1))
+
+    def marked(words, side):
+        return F.transform(words, lambda w: F.struct(w.alias("w"), F.lit(side).alias("side")))
+
+    def state(word, waiting, common):
+        return F.struct(word.alias("w"), waiting.cast("int").alias("waiting"), common.cast("int").alias("common"))
+
+    def step(s, x):
+        same = s["w"] == x["w"]
+        mine = state(x["w"], F.when(same, s["waiting"]).otherwise(F.lit(0)) + 1, s["common"])
+        theirs = state(s["w"], s["waiting"] - 1, s["common"] + 1)
+        return F.when(x["side"] == 0, mine).when(same & (s["waiting"] > 0), theirs).otherwise(s)
+
+    p, r = tokens(prediction), tokens(reference)
+    both = F.sort_array(F.concat(marked(p, 0), marked(r, 1)))
+    common = F.aggregate(both, state(F.lit(""), F.lit(0), F.lit(0)), step, lambda s: s["common"])
+    precision, recall = common / F.size(p), common / F.size(r)
+    return F.when(common > 0, 2.0 * precision * recall / (precision + recall)).otherwise(F.lit(0.0))
+
+
+def rouge_l(prediction: Column | str, reference: Column | str, unicode_words: bool = False) -> Column:
+    """F measure of the longest common word sequence; tokens as in `rouge1`."""
     word = _ANY_WORD if unicode_words else _ASCII_WORD
 
-    @F.pandas_udf("struct<rouge1:double,rougeL:double>")
-    def score(predictions: pd.Series, references: pd.Series) -> pd.DataFrame:
-        ones, longs = [], []
-        for p, r in zip(predictions, references):
-            a, b = word.findall((p or "").lower()), word.findall((r or "").lower())
-            common = (Counter(a) & Counter(b)).total()
-            ones.append(_f_measure(common, len(a), len(b)))
-            longs.append(_f_measure(_lcs(a, b) if common else 0, len(a), len(b)))
-        return pd.DataFrame({"rouge1": ones, "rougeL": longs})
+    @F.pandas_udf("double")
+    def score(predictions: pd.Series, references: pd.Series) -> pd.Series:
+        pairs = ((word.findall((p or "").lower()), word.findall((r or "").lower())) for p, r in zip(predictions, references))
+        return pd.Series([_f_measure(_lcs(a, b), len(a), len(b)) for a, b in pairs], dtype="float64")
 
-    def col(c):
-        return F.col(c) if isinstance(c, str) else c
+    return score(_col(prediction), _col(reference))
 
-    return score(col(prediction), col(reference))
+
+def rouge(prediction: Column | str, reference: Column | str, unicode_words: bool = False) -> Column:
+    """STRUCT<rouge1, rougeL> of F measures, no stemming."""
+    return F.struct(rouge1(prediction, reference, unicode_words).alias("rouge1"), rouge_l(prediction, reference, unicode_words).alias("rougeL"))
 
 
 def pair_strictly(predictions: DataFrame, references: DataFrame, key: str) -> DataFrame:
@@ -122,7 +162,7 @@ def sample_table(samples: DataFrame, row_id: str, n: int = 5, chars: int = 250)
             row_id,
             preview("reference", chars).alias("reference"),
             preview("prediction", chars).alias("prediction"),
-            F.round(rouge("prediction", "reference")["rougeL"], 3).alias("rougeL"),
+            F.round(rouge_l("prediction", "reference"), 3).alias("rougeL"),
         )
     )
 
@@ -134,23 +174,18 @@ def running_latency(df: DataFrame, order: str, latency: str) -> DataFrame:
 # --- A/B ----------------------------------------------------------------------------
 
 
-def ab_rows(pairs: DataFrame) -> DataFrame:
+def ab_rows(pairs: DataFrame, metrics: Sequence[str] = ("rouge1", "rougeL")) -> DataFrame:
     """Score both arms against `gold`, four digits; an arm with an error is an empty answer.
 
     Optional arm columns (error, latency, tokens, confidence, attempts, bertscore) pass through.
     """
+    measures = {"rouge1": rouge1, "rougeL": rouge_l}
     out = pairs
     for arm in ("a", "b"):
         if f"{arm}_error" in pairs.columns:
             failed = F.coalesce(F.col(f"{arm}_error"), F.lit("")) != ""
             out = out.withColumn(f"{arm}_answer", F.when(failed, F.lit("")).otherwise(F.col(f"{arm}_answer")))
-        out = out.withColumn(f"__{arm}", rouge(f"{arm}_answer", "gold"))
-    for arm in ("a", "b"):
-        out = (
-            out.withColumn(f"{arm}_rouge1", F.round(F.col(f"__{arm}.rouge1"), 4))
-            .withColumn(f"{arm}_rougeL", F.round(F.col(f"__{arm}.rougeL"), 4))
-            .drop(f"__{arm}")
-        )
+        out = out.withColumns({f"{arm}_{m}": F.round(measures[m](f"{arm}_answer", "gold"), 4) for m in metrics})
     return out
 
 
@@ -201,7 +236,8 @@ def ab_totals(rows: DataFrame) -> DataFrame:
 
 
 def arm_breakdown(long: DataFrame, baseline: str) -> DataFrame:
-    """Per arm: mean score and share of subjects whose mean beats the baseline arm's.
+    """Per arm: mean score over all its rows, and the share of the subjects it has in
+    common with the baseline arm whose mean beats the baseline's (null without any).
 
     `long` has arm, subject, score: any number of arms.
     """
@@ -209,11 +245,11 @@ def arm_breakdown(long: DataFrame, baseline: str) -> DataFrame:
     # one row per (arm, subject) from here on
     base = means.where(F.col("arm") == baseline).select("subject", (F.col("s") / F.col("c")).alias("base"))
     return (
-        means.join(base, "subject")
+        means.join(base, "subject", "left")
         .groupBy("arm")
         .agg(
             (F.sum("s") / F.sum("c")).alias("mean_score"),
-            F.avg(F.when(F.col("s") / F.col("c") - F.col("base") > 0, 1.0).otherwise(0.0)).alias("positive_share"),
+            F.avg((F.col("s") / F.col("c") - F.col("base") > 0).cast("int")).alias("positive_share"),
             F.sum("c").cast("bigint").alias("n"),
         )
     )

@@ -59,7 +59,7 @@ def top_k(
         right = queries.select(query_id, vector, F.coalesce(F.trim(F.col(subject)), F.lit("")).alias("subject"))
     else:
         left, right = points.select(point_id, vector), queries.select(query_id, vector)
-    left = left.where(F.col(vector).isNotNull())
+    left, right = left.where(F.col(vector).isNotNull()), right.where(F.col(vector).isNotNull())
     if n * dim * 8 <= broadcast_bytes:
         hits = _scan_points(left, right, k, schema)
     else:

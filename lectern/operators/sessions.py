@@ -55,15 +55,15 @@ def conversation_pairs(turns: DataFrame, conversation: str = "conv_id", order: s
     )
 
 
-def conversation_history(turns: DataFrame, conversation: str = "conv_id", order: str = "turn", width: int = 1_000) -> DataFrame:
-    """Messages in order as arrays of at most `width` turns: (conversation, part, messages).
+def conversation_history(turns: DataFrame, conversation: str = "conv_id", order: str = "turn", width: int | None = None) -> DataFrame:
+    """One row per conversation with its messages in order: (conversation, messages).
 
-    A conversation of any length is whole; it takes as many parts as it needs, so no
-    single row has to hold it.
+    With `width`, rows hold the turns of one stretch of that many order numbers:
+    (conversation, part, messages), for conversations that one row cannot hold.
     """
-    part = F.floor(F.col(order) / width).cast("bigint")
+    keys = [F.col(conversation)] + ([F.floor(F.col(order) / width).cast("bigint").alias("part")] if width else [])
     message = F.struct(order, "role", "text")
-    return turns.groupBy(conversation, part.alias("part")).agg(F.array_sort(F.collect_list(message)).alias("messages"))
+    return turns.groupBy(*keys).agg(F.array_sort(F.collect_list(message)).alias("messages"))
 
 
 def last_messages(turns: DataFrame, k: int = C.LAST_MESSAGES, conversation: str = "conv_id", order: str = "turn") -> DataFrame:
@@ -81,16 +81,19 @@ def usage_cost(usage: DataFrame, prices: DataFrame, max_questions: int = C.DAILY
     """Questions and dollars per user and day with a limit flag.
 
     Usage has user_id, ts, model_name, input_tokens, output_tokens; prices are dollars
-    per million tokens. Tokens are summed per model before the price join.
+    per million tokens. Tokens are summed per model before the price join. Usage of a
+    model without a price counts as questions; its dollars are unknown, which
+    `unpriced` shows, and `dollars` holds the priced part (null if there is none).
     """
     daily = usage.groupBy("user_id", F.to_date("ts").alias("day"), "model_name").agg(
         F.count("*").alias("questions"), F.sum("input_tokens").alias("i"), F.sum("output_tokens").alias("o")
     )
     cost = (F.col("i") * F.col("input_price") + F.col("o") * F.col("output_price")) / 1e6
-    per_day = daily.join(prices, "model_name").groupBy("user_id", "day").agg(
-        F.sum("questions").cast("bigint").alias("questions"), F.sum(cost).alias("dollars")
+    per_day = daily.join(prices, "model_name", "left").groupBy("user_id", "day").agg(
+        F.sum("questions").cast("bigint").alias("questions"), F.sum(cost).alias("dollars"),
+        F.sum(F.when(cost.isNull(), F.col("questions")).otherwise(0)).cast("bigint").alias("unpriced"),
     )
-    over = (F.col("questions") > max_questions) | (F.round("dollars", 9) > max_dollars)
+    over = (F.col("questions") > max_questions) | F.coalesce(F.round("dollars", 9) > max_dollars, F.lit(False))
     return per_day.withColumn("over_limit", over)
 
 

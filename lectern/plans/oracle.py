@@ -55,7 +55,8 @@ def recall(ks: list[int]) -> str:
 
 SQL["retrieval_accuracy"] = recall([1, 3])
 SQL["recall_at_k"] = recall([1, 4, 10])
-MARGIN = f"""{NEAREST}, margins AS (SELECT a.query_id, a.gold_id, a.point_id AS top1, a.point_id = a.gold_id AS ok, a.s AS top1_score, g.s AS gold_score, a.s - g.s AS margin
+MARGIN = f"""{NEAREST}, margins AS (SELECT a.query_id, CASE WHEN a.gold_id = 's9' THEN 'yok' ELSE a.gold_id END AS gold_id, a.point_id AS top1, a.gold_id <> 's9' AND a.point_id = a.gold_id AS ok,
+  a.s AS top1_score, CASE WHEN a.gold_id <> 's9' THEN g.s END AS gold_score, CASE WHEN a.gold_id <> 's9' THEN a.s - g.s END AS margin
   FROM hits a JOIN hits g ON a.query_id = g.query_id AND g.point_id = g.gold_id WHERE a.rank = 1)"""
 SQL["retrieval_margin"] = f"WITH {MARGIN} SELECT query_id, gold_id, top1, ok, round(top1_score, 6) AS top1_score, round(gold_score, 6) AS gold_score, round(margin, 6) AS margin FROM margins"
 SQL["margin_summary"] = f"""WITH {MARGIN} SELECT count(*) FILTER (NOT ok) AS wrong, round(avg(top1_score), 6) AS top1_mean,
@@ -293,9 +294,11 @@ UNION ALL SELECT * FROM (SELECT doc_id, length(text), 'shortest' FROM documents
 
 # --- answer scores -----------------------------------------------------------------------------
 ARMS = f"""{QA}, arms AS (SELECT rec_id, subject, grade, output AS gold,
-  CASE WHEN rec_id % 17 = 0 THEN '' ELSE substr(output, 100, 300) || ' ' || substr(output, 1, 90) END AS a_answer,
-  substr(output, 100, 300) || ' ' || substr(output, 1, 90) AS a_raw, instruction || ' ' || substr(output, 1, 250) AS b_answer,
-  length(instruction) AS a_in, least(length(output), 200) AS a_out, (rec_id % 100) / 100 AS conf, rec_id % 3 + 1 AS tries FROM qa)"""
+  CASE WHEN rec_id % 17 = 0 THEN '' ELSE swapped END AS a_answer, swapped AS a_raw,
+  instruction || ' ' || array_to_string(list_filter(words, lambda w, i: i % 3 <> 0), ' ') AS b_answer,
+  length(instruction) AS a_in, length(output) AS a_out, (rec_id % 100) / 100 AS conf, rec_id % 3 + 1 AS tries
+  FROM (SELECT *, array_to_string(list_concat(words[len(words) // 2 + 1:], words[1:len(words) // 2]), ' ') AS swapped
+    FROM (SELECT *, string_split(output, ' ') AS words FROM qa) w) s)"""
 
 
 def rouge1_of(column: str, name: str) -> str:
@@ -340,9 +343,9 @@ SQL["ab_summary_lcs"] = f"""WITH RECURSIVE {AB}, {lcs_of('a_answer', 'la')}, {lc
 abl AS (SELECT round(la.f, 4) AS a, round(lb.f, 4) AS b FROM la JOIN lb USING (rec_id))
 SELECT 'rouge1' AS metric, {AB_OUT} FROM ab UNION ALL SELECT 'rougeL', {AB_OUT} FROM abl"""
 SQL["ab_totals"] = f"WITH {ARMS} SELECT CAST(sum(a_in + a_out) AS BIGINT) AS a_total_tokens, round(avg(conf), 6) AS b_avg_confidence, round(avg(tries), 6) AS b_avg_attempts FROM arms"
-SQL["arm_breakdown"] = """WITH m AS (SELECT ['A', 'B', 'C', 'D'][hour(ts) // 6 + 1] AS arm, event_type AS subject, sum(value) AS s, count(*) AS c FROM events GROUP BY ALL)
-SELECT m.arm, CAST(sum(m.c) AS BIGINT) AS n, round(sum(m.s) / sum(m.c), 6) AS mean_score, round(avg(CASE WHEN m.s / m.c - b.s / b.c > 0 THEN 1.0 ELSE 0.0 END), 6) AS positive_share
-FROM m JOIN m b ON b.arm = 'A' AND b.subject = m.subject GROUP BY m.arm"""
+SQL["arm_breakdown"] = """WITH m AS (SELECT ['A', 'B', 'C', 'D'][hour(ts) // 6 + 1] AS arm, event_type AS subject, sum(value) AS s, count(*) AS c FROM events WHERE hour(ts) >= 6 OR event_type <> 'error' GROUP BY ALL)
+SELECT m.arm, CAST(sum(m.c) AS BIGINT) AS n, round(sum(m.s) / sum(m.c), 6) AS mean_score, round(avg(CASE WHEN b.c IS NULL THEN NULL WHEN m.s / m.c - b.s / b.c > 0 THEN 1.0 ELSE 0.0 END), 6) AS positive_share
+FROM m LEFT JOIN m b ON b.arm = 'A' AND b.subject = m.subject GROUP BY m.arm"""
 SQL["running_latency"] = "SELECT event_id, round(avg(value) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) + 1e-9, 6) AS running_avg FROM events"
 
 # --- answer checks -------------------------------------------------------------------------------
@@ -367,8 +370,7 @@ SQL["unknown_citations"] = """SELECT d.doc_id, d.lang, d.lang || '.md' AS name F
 ROLLUP = "SELECT user_id AS session_id, count(*) AS question_count, max(ts) AS last_activity, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS subjects FROM events GROUP BY user_id"
 SQL["session_rollup"] = ROLLUP
 SQL["session_rollup_stream"] = ROLLUP
-CREATED = """signed AS (SELECT user_id AS session_id, min(ts) AS created_at FROM events WHERE event_type = 'signup' AND value > 60 GROUP BY user_id),
-created AS (SELECT * FROM signed UNION ALL SELECT -session_id - 1, created_at FROM signed)"""
+CREATED = "created AS (SELECT o_orderkey AS session_id, o_orderdate AS created_at FROM orders)"
 SQL["session_table"] = f"""WITH {CREATED}, r AS ({ROLLUP}) SELECT session_id, created_at, coalesce(question_count, 0) AS question_count,
   coalesce(last_activity, created_at) AS last_activity, coalesce(subjects, '') AS subjects FROM created LEFT JOIN r USING (session_id)"""
 SQL["unknown_session_events"] = f"WITH {CREATED} SELECT event_id, user_id AS session_id FROM events WHERE user_id NOT IN (SELECT session_id FROM created)"
@@ -377,10 +379,11 @@ SQL["step_fold"] = FOLD
 SQL["step_fold_stream"] = FOLD
 SQL["conversation_pairs"] = """SELECT conv_id, turn, text AS question, next_text AS answer FROM (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text
   FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) x WHERE role = 'user' AND next_role = 'assistant'"""
-SQL["conversation_history"] = "SELECT conv_id, turn // 1000 AS part, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS messages FROM conversations GROUP BY ALL"
+SQL["conversation_history"] = "SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS messages FROM conversations GROUP BY ALL"
 SQL["last_messages"] = "SELECT conv_id, turn, recency FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS recency FROM conversations) x WHERE recency <= 2"
-SQL["usage_cost"] = """SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS questions, round(sum(trunc(value * 100) * 0.8 + event_id * (length(event_type) / 2)) / 1e6 + 1e-9, 6) AS dollars,
-  count(*) > 50 OR round(sum(trunc(value * 100) * 0.8 + event_id * (length(event_type) / 2)) / 1e6, 9) > 0.1 AS over_limit FROM events GROUP BY ALL"""
+SQL["usage_cost"] = """SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS questions, round(sum(d) / 1e6 + 1e-9, 6) AS dollars,
+  count(*) FILTER (event_type = 'error') AS unpriced, count(*) > 50 OR coalesce(round(sum(d) / 1e6, 9) > 0.1, false) AS over_limit
+  FROM (SELECT *, CASE WHEN event_type <> 'error' THEN trunc(value * 100) * 0.8 + event_id * (length(event_type) / 2) END AS d FROM events) e GROUP BY ALL"""
 SQL["latency_percentiles"] = " UNION ALL ".join(
     f"SELECT CAST({p} AS DOUBLE) AS share, round(quantile_cont(value, {p}), 6) AS value FROM events" for p in (0.5, 0.95, 0.99)
 )
@@ -400,7 +403,7 @@ SQL["route_questions"] = "SELECT doc_id AS rec_id, CASE WHEN regexp_matches(text
 SQL["page_quality"] = r"""WITH raw AS (SELECT doc_id AS rec_id, text || CASE WHEN doc_id % 3 = 0 THEN repeat(chr(10) || '-----' || chr(10) || '12' || chr(10) || '   ', 60) ELSE chr(10) || chr(10) || '7' || chr(10) END AS raw FROM documents),
 clean AS (SELECT rec_id, raw, array_to_string(list_transform(list_filter(string_split(raw, chr(10)), lambda x: NOT regexp_matches(x, '^\s*([0-9]+|[-_=*.]+)?\s*$')), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), chr(10)) AS clean FROM raw)
 SELECT rec_id, length(clean) AS clean_chars, CASE WHEN length(clean) / length(raw) < 0.6 THEN 'degraded' ELSE 'good' END AS quality FROM clean"""
-SQL["exam_chunks"] = f"""WITH {QA} SELECT 'Soru: ' || instruction || chr(10) || chr(10) || substr(output, 1, 20) || chr(10) || substr(output, 21, 20) AS text,
+SQL["exam_chunks"] = f"""WITH {QA} SELECT 'Soru: ' || instruction || chr(10) || chr(10) || output || chr(10) || instruction AS text,
   'A' AS answer_key, 2000 + rec_id % 20 AS year, 'TYT' AS exam_type, subject FROM qa"""
 SQL["jsonl_round_trip"] = f"WITH {QA} SELECT instruction, '' AS input, output, subject, grade FROM qa"
 SQL["result_csv"] = f"WITH {QA} SELECT rec_id, instruction, output FROM qa"

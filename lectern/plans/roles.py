@@ -131,15 +131,18 @@ def cited_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold answers with two arms: parts of it in the wrong order, and the question with its start."""
+    """Gold answers with two arms over whole texts: its halves swapped, and the question with two of three of its words."""
     rows = qa(spark, sf_dir)
     n = F.col("rec_id")
+    words = F.split("output", " ")
+    half = F.floor(F.size(words) / 2).cast("int")
+    swapped = F.concat(F.slice(words, half + 1, F.size(words)), F.slice(words, F.lit(1), half))
     return rows.select(
         "rec_id", "subject", "grade", F.col("instruction").alias("question"), F.col("output").alias("gold"),
-        F.concat(F.substring("output", 100, 300), F.lit(" "), F.substring("output", 1, 90)).alias("a_answer"),
-        F.concat("instruction", F.lit(" "), F.substring("output", 1, 250)).alias("b_answer"),
+        F.array_join(swapped, " ").alias("a_answer"),
+        F.concat("instruction", F.lit(" "), F.array_join(F.filter(words, lambda _, i: i % 3 != 2), " ")).alias("b_answer"),
         F.when(n % 17 == 0, F.lit("timeout")).otherwise(F.lit("")).alias("a_error"),
         F.length("instruction").cast("bigint").alias("a_input_tokens"),
-        F.least(F.length("output"), F.lit(200)).cast("bigint").alias("a_output_tokens"),
+        F.length("output").cast("bigint").alias("a_output_tokens"),
         ((n % 100) / 100).alias("b_confidence"), (n % 3 + 1).cast("bigint").alias("b_attempts"),
     )

@@ -52,18 +52,18 @@ def read_documents(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def read_seed_documents(spark: SparkSession, folder: str, seeds: Sequence[tuple[str, str]]) -> DataFrame:
-    """Documents of a (file name, subject) list; names without a file are skipped."""
-    wanted = spark.createDataFrame(list(seeds), "source string, subject string")
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
-    present = found.select(base_name(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))).alias("source"))
-    listed = wanted.join(present, "source", "left_semi")
-    pages = spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
-    pages = pages.select(
-        base_name(F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))).alias("source"),
-        F.lit(0).alias("page_num"),
-        F.col("value").alias("text"),
-    )
-    return pages.join(listed, "source")
+    """Documents of a (file name, subject) list; names without a file in the folder itself are skipped.
+
+    The list is resolved to paths (their number is that of the list at most) and only those
+    files are read; one that is no text fails the read, as in `read_documents`.
+    """
+    wanted = spark.createDataFrame(list(seeds), "source string, subject string").distinct()
+    found = spark.read.format("binaryFile").load(folder).select("path")
+    present = found.withColumn("source", base_name(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))))
+    paths = [r["path"] for r in present.join(F.broadcast(wanted.select("source").distinct()), "source").select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], "source string, page_num int, text string, subject string")
+    return read_documents(spark, paths).join(F.broadcast(wanted), "source")
 
 
 def marked_paragraphs(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:

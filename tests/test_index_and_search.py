@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from lectern import constants as C
 from lectern.functions.vectors import keyword_vector
-from lectern.operators import index, search
+from lectern.operators import index, retrieval, search
 from lectern.operators.chunking import chunk_spans, recursive_chunks
+from lectern.operators.embed import embed_queries
 from lectern.plans import ingest
 from lectern.streaming import jobs
 
@@ -115,6 +116,25 @@ def test_upsert_replaces(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "point_id string, x int")
     new = spark.createDataFrame([("b", 3), ("c", 4)], "point_id string, x int")
     assert sorted(map(tuple, index.upsert(old, new).collect())) == [("a", 1), ("b", 3), ("c", 4)]
+    twice = spark.createDataFrame([("b", 3, 1), ("b", 9, 2), ("c", 4, 1), ("c", 5, 0)], "point_id string, x int, v int")
+    assert sorted(map(tuple, index.upsert(old, twice, order="v").collect())) == [("a", 1), ("b", 9), ("c", 4)]
+
+
+def test_null_question_keeps_its_row(spark):
+    asked = spark.createDataFrame([(1, "a"), (2, None), (3, "a")], "query_id long, text string")
+    found = embed_queries(asked, "text", keyword_vector)
+    assert sorted((r["query_id"], r["vector"] is None) for r in found.collect()) == [(1, False), (2, True), (3, False)]
+    points = found.select(F.col("query_id").alias("point_id"), "vector")
+    assert {r["query_id"] for r in search.top_k(points, found.select("query_id", "vector")).collect()} == {1, 3}
+
+
+def test_query_with_unknown_gold_is_wrong(spark):
+    points = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "point_id long, vector array<double>")
+    asked = spark.createDataFrame([(10, [1.0, 0.0]), (11, [0.0, 1.0]), (12, [0.0, 1.0])], "query_id long, vector array<double>")
+    gold = spark.createDataFrame([(10, 1), (11, 99), (12, 1)], "query_id long, gold_id long")
+    found = retrieval.score_margins(search.top_k(points, asked, k=1), gold, asked, points)
+    assert sorted((r["query_id"], r["ok"], r["gold_score"], r["margin"]) for r in found.collect()) == [(10, True, 1.0, 0.0), (11, False, None, None), (12, False, 0.0, 1.0)]
+    assert retrieval.margin_summary(found).first()["wrong"] == 2
 
 
 def test_list_documents_defaults(spark):

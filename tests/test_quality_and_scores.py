@@ -169,7 +169,30 @@ def test_lcs(a, b):
     for i, x in enumerate(a):
         for j, y in enumerate(b):
             table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
-    assert scoring._lcs(a, b) == table[-1, -1]
+    for stripe in (1, 3, 4096):
+        assert scoring._lcs(a, b, stripe) == table[-1, -1]
+
+
+def test_lcs_of_long_texts():
+    a = [str(i % 997) for i in range(30_000)]
+    b = a[5_000:] + a[:5_000]
+    assert scoring._lcs(a, a) == 30_000 and scoring._lcs(a, b) >= 25_000
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.sampled_from(["a", "b", "cc", "1"]), max_size=12), st.lists(st.sampled_from(["a", "b", "cc", "x"]), max_size=12)), min_size=1, max_size=30))
+def test_rouge1_counts(spark, pairs):
+    rows = [(i, " ".join(p), " ".join(r)) for i, (p, r) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "i long, p string, r string").select("i", scoring.rouge1("p", "r").alias("f"))
+    for i, f in df.collect():
+        p, r = pairs[i]
+        common = sum((collections.Counter(p) & collections.Counter(r)).values())
+        assert f == pytest.approx(2 * common / (len(p) + len(r)) if common else 0.0)
+
+
+def test_rouge1_runs_no_python(spark):
+    df = spark.createDataFrame([("a", "b")], "p string, r string").select(scoring.rouge1("p", "r"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_rouge(spark):
@@ -290,6 +313,24 @@ def test_history_keeps_every_turn(spark):
     assert {r["turn"] for r in sessions.last_messages(turns).collect()} == set(range(20, 25))
 
 
+def test_history_is_one_row(spark):
+    turns = spark.createDataFrame([(1, i, "user", str(i)) for i in range(2500)], "conv_id long, turn long, role string, text string")
+    assert [len(r["messages"]) for r in sessions.conversation_history(turns).collect()] == [2500]
+
+
+def test_unpriced_usage_counts(spark):
+    usage = spark.createDataFrame([("u", "2024-01-01", "m", 10, 10), ("u", "2024-01-01", "yeni", 10, 10), ("v", "2024-01-01", "yeni", 1, 1)], "user_id string, ts string, model_name string, input_tokens long, output_tokens long")
+    prices = spark.createDataFrame([("m", 1.0, 1.0)], "model_name string, input_price double, output_price double")
+    got = {r["user_id"]: (r["questions"], r["unpriced"], r["dollars"], r["over_limit"]) for r in sessions.usage_cost(usage, prices, max_questions=1).collect()}
+    assert got == {"u": (2, 1, pytest.approx(2e-5), True), "v": (1, 1, None, False)}
+
+
+def test_arm_with_a_subject_of_its_own(spark):
+    long = spark.createDataFrame([("A", "s", 1.0), ("B", "s", 2.0), ("B", "yeni", 4.0), ("C", "yeni", 4.0)], "arm string, subject string, score double")
+    got = {r["arm"]: (r["mean_score"], r["positive_share"], r["n"]) for r in scoring.arm_breakdown(long, "A").collect()}
+    assert got == {"A": (1.0, 0.0, 1), "B": (3.0, 1.0, 2), "C": (4.0, None, 1)}
+
+
 def test_routing_and_pages(spark):
     texts = ["x=2", "5 elma", "TÜREV nedir", "Tanzimat nedir"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")

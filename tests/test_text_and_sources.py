@@ -106,7 +106,15 @@ def test_read_documents_and_seeds(spark, tmp_path):
     assert rows == {"ödev 1+2.TXT": (0, "Bir\niki"), "fizik.txt": (0, "kuvvet")}
     seeds = files.read_seed_documents(spark, str(folder), [("fizik.txt", "fizik"), ("yok.txt", "tarih")])
     assert [(r["source"], r["subject"], r["text"]) for r in seeds.collect()] == [("fizik.txt", "fizik", "kuvvet")]
+    (folder / "alt").mkdir()
+    (folder / "alt" / "fizik.txt").write_text("başka", encoding="utf-8")
+    (folder / "alt" / "derin.txt").write_text("derin", encoding="utf-8")
+    listed = [("fizik.txt", "fizik"), ("fizik.txt", "fizik"), ("derin.txt", "tarih")]
+    assert [(r["source"], r["text"]) for r in files.read_seed_documents(spark, str(folder), listed).collect()] == [("fizik.txt", "kuvvet")]
+    assert files.read_seed_documents(spark, str(folder), [("yok.txt", "tarih")]).collect() == []
     (folder / "resim.png").write_text("x")
+    with pytest.raises(Exception, match="unsupported file format"):
+        files.read_seed_documents(spark, str(folder), [("resim.png", "tarih")]).collect()
     with pytest.raises(Exception, match="unsupported file format"):
         files.read_documents(spark, str(folder)).collect()
     with pytest.raises(Exception):
