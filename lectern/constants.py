@@ -56,6 +56,19 @@ KEYWORDS = (
     "edebiyat", "şair", "yasa", "hareket",
 )
 
+# --- fixed values: wordings that results contain -------------------------------
+QUESTION_LABEL = "SORU: "
+CONTEXT_LABEL = "BAĞLAM:\n"
+NO_CONTEXT_NOTE = "(Not: İlgili bağlam bulunamadı. Yeterli bilgi yoksa söyle.)"
+RECORD_QUESTION_LABEL = "Soru: "
+RECORD_ANSWER_LABEL = "Cevap: "
+SCOPE_WORDS = " dersinde "
+NOTHING_FOUND = "ilgili materyal bulunamadı."
+
+# --- fixed values: reply fence, and what makes a question one of math (Java syntax) ---
+JSON_FENCE = r"```(?:json)?\s*(\[[\s\S]*?\])\s*```"
+MATH_PATTERN = r"\d|=|²|³|(?iU)türev|integral|denklem"
+
 # --- fixed values: preparation and evaluation ---------------------------------
 NEAR_DUPLICATE_COSINE = 0.95
 EVAL_RATIO = 0.2

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lectern.constants import POINT_NAMESPACE, WEAK_PHRASES
+from lectern.constants import (
+    CONTEXT_LABEL, NO_CONTEXT_NOTE, POINT_NAMESPACE, QUESTION_LABEL, RECORD_ANSWER_LABEL, RECORD_QUESTION_LABEL, WEAK_PHRASES,
+)
 
 # Unicode white space plus the four separators U+001C..U+001F
 _SPACE = r"[\s\x1c-\x1f]"
@@ -58,10 +60,9 @@ def passage_prefix(model: Column | str) -> Column:
 
 def user_message(question: Column | str, context: Column | str) -> Column:
     question, context = _col(question), _col(context)
-    bare = F.concat(
-        F.lit("SORU: "), question, F.lit("\n\n(Not: İlgili bağlam bulunamadı. Yeterli bilgi yoksa söyle.)")
-    )
-    full = F.concat(F.lit("BAĞLAM:\n"), context, F.lit("\n\nSORU: "), question)
+    asked = F.concat(F.lit(QUESTION_LABEL), question)
+    bare = F.concat(asked, F.lit("\n\n" + NO_CONTEXT_NOTE))
+    full = F.concat(F.lit(CONTEXT_LABEL), context, F.lit("\n\n"), asked)
     return F.when(F.coalesce(context, F.lit("")) != "", full).otherwise(bare)
 
 
@@ -73,7 +74,7 @@ def chat_messages(instruction: Column | str, output: Column | str) -> Column:
 
 
 def retrieval_text(instruction: Column | str, output: Column | str) -> Column:
-    return F.concat(F.lit("Soru: "), _col(instruction), F.lit("\n\nCevap: "), _col(output))
+    return F.concat(F.lit(RECORD_QUESTION_LABEL), _col(instruction), F.lit("\n\n" + RECORD_ANSWER_LABEL), _col(output))
 
 
 def document_id(stem: Column | str, content: Column | str) -> Column:

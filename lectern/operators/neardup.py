@@ -36,7 +36,6 @@ from lectern.session import cut_lineage
 PIVOTS = 256
 BLOCK_BYTES = 16 * 1024 * 1024
 MAX_CELLS = 1_024
-FINISH_ROWS = 1_000
 SWEEP_SHARE = 0.05
 _MARGIN = 1e-9
 
@@ -108,7 +107,10 @@ def _sweep(rows: DataFrame, t: float, pivots: int) -> tuple[DataFrame, DataFrame
             yield batch.filter(pa.array(~gone))
 
     kept_df = rows.sparkSession.createDataFrame([(int(i),) for i in lead_ids[sure]], "id long")
-    return kept_df, cut_lineage(slim.mapInArrow(rest, slim.schema))
+    left = cut_lineage(slim.mapInArrow(rest, slim.schema))
+    for sent in (around, led, kept):
+        sent.unpersist()
+    return kept_df, left
 
 
 # --- stage 3: rounds --------------------------------------------------------------
@@ -150,6 +152,7 @@ def _lower_hits(rows: DataFrame, t: float, n: int, dim: int, block_bytes: int) -
 
         schema = "id long, v array<double>, src boolean, tgt boolean, cell long, home boolean"
         placed = cut_lineage(rows.select("id", "v", "src", "tgt").mapInArrow(assign, schema))
+        shared.unpersist()
         # one row per cell
         sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("subs"))
         placed = placed.join(sizes, "cell")
@@ -182,29 +185,11 @@ def _lower_hits(rows: DataFrame, t: float, n: int, dim: int, block_bytes: int) -
     return pairs.groupBy("cell", "a", "b").applyInArrow(meet, "id long").distinct()
 
 
-def _finish(rows: DataFrame, t: float) -> DataFrame:
-    """Greedy loop over a remainder whose size has been checked; returns kept ids."""
-
-    def greedy(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy().astype(np.int64)
-        v = unit_rows(table.column("v"))
-        order = np.argsort(ids)
-        ids, v = ids[order], v[order]
-        alive = np.ones(len(ids), dtype=bool)
-        for i in range(len(ids)):
-            if alive[i]:
-                alive[i + 1 :] &= ~(v[i + 1 :] @ v[i] > t)
-        return pa.table({"id": ids[alive]})
-
-    return rows.select("id", "v", F.lit(0).alias("all")).groupBy("all").applyInArrow(greedy, "id long")
-
-
 def semantic_dedup(
     df: DataFrame,
     row_id: str,
     vector: str,
     threshold: float = C.NEAR_DUPLICATE_COSINE,
-    finish_rows: int = FINISH_ROWS,
     pivots: int = PIVOTS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
@@ -222,14 +207,14 @@ def semantic_dedup(
     n, dim = facts["n"], facts["dim"] or 0
 
     shrinking = True
-    while shrinking and n > finish_rows:
+    while shrinking and n:
         sure, open_rows = _sweep(open_rows, t, pivots)
         kept.append(sure)
         left = open_rows.count()
         shrinking = n - left > max(pivots, SWEEP_SHARE * n)
         n = left
 
-    while n > finish_rows:
+    while n:
         flags = F.lit(True)
         waiting_ids = cut_lineage(
             _lower_hits(open_rows.withColumn("src", flags).withColumn("tgt", flags), t, n, dim, block_bytes)
@@ -243,19 +228,17 @@ def semantic_dedup(
         kept.append(marked.where("src").select("id"))
         open_rows = cut_lineage(marked.where("tgt").select("id", "v").join(removed, "id", "left_anti"))
         n = open_rows.count()
-    if n:
-        kept.append(_finish(open_rows, t))
     result = kept[0]
     for part in kept[1:]:
         result = result.unionByName(part)
     return result.withColumnRenamed("id", row_id)
 
 
-def first_neighbours(rows: DataFrame, row_id: str, vector: str, threshold: float) -> DataFrame:
+def first_neighbours(rows: DataFrame, row_id: str, vector: str, threshold: float, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Rows that have a similar row before them (the flag the rounds are built on)."""
     ready = rows.select(
         F.col(row_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"),
         F.lit(True).alias("src"), F.lit(True).alias("tgt"),
     )
     facts = ready.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
-    return _lower_hits(ready, float(threshold), facts["n"], facts["dim"] or 0, BLOCK_BYTES).withColumnRenamed("id", row_id)
+    return _lower_hits(ready, float(threshold), facts["n"], facts["dim"] or 0, block_bytes).withColumnRenamed("id", row_id)

@@ -8,11 +8,8 @@ from pyspark.sql import functions as F
 from lectern import constants as C
 from lectern.functions.text import _col, strip
 
-# fixed value: digits, an equals sign, powers, or calculus and equation words mean math
-MATH_PATTERN = r"\d|=|²|³|(?iU)türev|integral|denklem"
 
-
-def route_question(question: Column | str, pattern: str = MATH_PATTERN) -> Column:
+def route_question(question: Column | str, pattern: str = C.MATH_PATTERN) -> Column:
     """`math` when the pattern occurs, else `theory`."""
     return F.when(_col(question).rlike(pattern), F.lit("math")).otherwise(F.lit("theory"))
 

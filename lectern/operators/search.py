@@ -13,9 +13,12 @@ from pyspark.sql import types as T
 
 from lectern import constants as C
 from lectern.operators.blocks import LocalTopK, unit_rows, values
+from lectern.session import cut_lineage
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 BLOCK_BYTES = 16 * 1024 * 1024
+#: Hits that are broadcast to the payload, at most (query id, point id, score and rank of each).
+BROADCAST_HITS = 200_000
 
 
 def by_subject(points: DataFrame, subject: str | None) -> DataFrame:
@@ -148,11 +151,17 @@ def _scan_in_blocks(
 
 
 def hit_documents(hits: DataFrame, points: DataFrame, key: str = "point_id", query_id: str = "query_id") -> DataFrame:
-    """Hits with their payload; empty texts go after the limit, so fewer than k may stay."""
+    """Hits with their payload; empty texts go after the limit, so fewer than k may stay.
+
+    The hits (k rows a query) are fetched once; while their counted number is within
+    `BROADCAST_HITS` they go to the payload, whose texts are then not shuffled.
+    """
     payload = points.select(
         key, "text", "source", F.col("page_num").alias("page"), "subject", "chunk_index", "doc_id"
     )
-    return hits.select(query_id, key, "score", "rank").join(payload, key).where(F.coalesce(F.col("text"), F.lit("")) != "")
+    hits = cut_lineage(hits.select(query_id, key, "score", "rank"))
+    small = hits.count() <= BROADCAST_HITS
+    return payload.join(F.broadcast(hits) if small else hits, key).where(F.coalesce(F.col("text"), F.lit("")) != "")
 
 
 def context_strings(documents: DataFrame, query_id: str = "query_id") -> DataFrame:
@@ -170,8 +179,8 @@ def context_strings(documents: DataFrame, query_id: str = "query_id") -> DataFra
 
 def no_result_message(query: Column, subject: Column) -> Column:
     subject = F.trim(F.coalesce(subject, F.lit("")))
-    scope = F.when(subject != "", F.concat(subject, F.lit(" dersinde "))).otherwise(F.lit(""))
-    return F.concat(F.lit("'"), query, F.lit("' sorgusu için "), scope, F.lit("ilgili materyal bulunamadı."))
+    scope = F.when(subject != "", F.concat(subject, F.lit(C.SCOPE_WORDS))).otherwise(F.lit(""))
+    return F.concat(F.lit("'"), query, F.lit("' sorgusu için "), scope, F.lit(C.NOTHING_FOUND))
 
 
 def search_answers(queries: DataFrame, contexts: DataFrame, query_id: str = "query_id") -> DataFrame:

@@ -11,6 +11,16 @@ from lectern import constants as C
 from lectern.operators.ordered import exact_percentiles, next_in_group
 
 
+def utc_now() -> Column:
+    """The time of the query as a UTC timestamp without a zone."""
+    return F.expr("convert_timezone(current_timezone(), 'UTC', localtimestamp())")
+
+
+def create_sessions(ids: DataFrame, session: str = "session_id", now: Column | None = None) -> DataFrame:
+    """One fresh session per id: (session, created_at); `now` replaces the current time."""
+    return ids.select(session).where(F.col(session).isNotNull()).distinct().withColumn("created_at", utc_now() if now is None else now)
+
+
 def known_events(events: DataFrame, sessions: DataFrame, session: str = "session_id") -> DataFrame:
     """Events of created sessions only; a hot session is split by adaptive skew handling."""
     return events.join(sessions.select(session).distinct(), session, "left_semi")

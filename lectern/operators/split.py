@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern import constants as C
 from lectern.functions.text import normalize_key, seeded_hash
+from lectern.session import cut_lineage
+
+
+#: Rows of one stratum that are ranked together, about; strata whose cuts are broadcast.
+SLICE_ROWS = 10_000
+BROADCAST_STRATA = 100_000
 
 
 def seeded_sample(df: DataFrame, row_id: str, n: int, seed: int = C.SEED) -> DataFrame:
@@ -21,16 +29,19 @@ def first_rows(df: DataFrame, order: str, n: int) -> DataFrame:
 def _flag_lowest(df: DataFrame, row_id: str, quotas: DataFrame, seed: int, out: str) -> DataFrame:
     """Flag the `quota` rows with the lowest seeded hash in every `__stratum`.
 
-    Hash-prefix counts tell in which of 4096 slices the quota ends; only that slice
-    is ranked. No stratum is ever gathered in one task, and the rows themselves are
-    not shuffled unless the cut table (one row per stratum) is too big to broadcast.
+    Hash-prefix counts tell in which slice of a stratum the quota ends; only that slice
+    is ranked, and prefixes are long enough that it holds about `SLICE_ROWS` rows. The
+    cuts, one row per stratum, are found once; while their counted number is within
+    `BROADCAST_STRATA` they are broadcast, so the rows themselves are not shuffled.
     """
-    hashed = df.withColumn("__h", seeded_hash(seed, row_id)).withColumn("__slice", F.substring("__h", 1, 3))
+    facts = quotas.agg(F.max("n").alias("most"), F.count("*").alias("strata")).first()
+    digits = max(1, math.ceil(math.log(max(1, facts["most"] or 0) / SLICE_ROWS, 16))) if (facts["most"] or 0) > SLICE_ROWS else 1
+    hashed = df.withColumn("__h", seeded_hash(seed, row_id)).withColumn("__slice", F.substring("__h", 1, digits))
     sizes = hashed.groupBy("__stratum", "__slice").agg(F.count("*").alias("__n"))
     w = Window.partitionBy("__stratum").orderBy("__slice")
     ends = (
         sizes.withColumn("__upto", F.sum("__n").over(w))
-        .join(quotas, "__stratum")
+        .join(quotas.drop("n"), "__stratum")
         .where((F.col("__upto") >= F.col("quota")) & (F.col("__upto") - F.col("__n") < F.col("quota")))
         .select("__stratum", "__slice", (F.col("quota") - F.col("__upto") + F.col("__n")).alias("__need"))
     )
@@ -42,6 +53,8 @@ def _flag_lowest(df: DataFrame, row_id: str, quotas: DataFrame, seed: int, out:
         .where(F.col("__rank") == F.col("__need"))
         .select("__stratum", F.struct(F.col("__h"), F.col(row_id).alias("__id")).alias("__cut"))
     )
+    if facts["strata"] <= BROADCAST_STRATA:
+        cuts = F.broadcast(df.sparkSession.createDataFrame(cuts.collect(), cuts.schema))
     here = F.struct(F.col("__h"), F.col(row_id).alias("__id"))
     return (
         hashed.join(cuts, "__stratum", "left")
@@ -101,7 +114,8 @@ def stratified_split(
         flagged = _flag_lowest_overall(df, row_id, n + int(-(eval_ratio * n) // 1), seed, "__train")
         return flagged.withColumn("split", F.when(F.col("__train"), F.lit("train")).otherwise(F.lit("eval"))).drop("__train")
     rows = df.withColumn("__stratum", _stratum(level))
-    sizes = rows.groupBy("__stratum").agg(F.count("*").alias("n"))
+    # one small row per stratum, counted once
+    sizes = cut_lineage(rows.groupBy("__stratum").agg(F.count("*").alias("n")))
     total = sizes.agg(F.sum("n")).scalar()
     parts = (
         sizes.withColumn("total", total)
@@ -112,7 +126,7 @@ def stratified_split(
     # one small row per stratum; the split is only stratified when eval has a row for each
     spare = F.col("train") - F.sum("base").over(Window.partitionBy("total"))
     turn = F.row_number().over(Window.partitionBy("total").orderBy(F.col("rest").desc(), "__stratum"))
-    quotas = parts.select("__stratum", (F.col("base") + F.when(turn <= spare, 1).otherwise(0)).alias("quota"))
+    quotas = parts.select("__stratum", "n", (F.col("base") + F.when(turn <= spare, 1).otherwise(0)).alias("quota"))
     flagged = _flag_lowest(rows, row_id, quotas, seed, "__train")
     return flagged.withColumn("split", F.when(F.col("__train"), F.lit("train")).otherwise(F.lit("eval"))).drop(
         "__train", "__stratum"

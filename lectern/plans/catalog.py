@@ -95,9 +95,20 @@ def keyword_search(spark, sf_dir):
     return _hits(hits, "query_id", "point_id")
 
 
+MODEL = "intfloat/multilingual-e5-large"
+
+
+@query
+def prefixed_search(spark, sf_dir):
+    """Passages and questions are vectorized with the prefixes that the model wants."""
+    points = ingest.index_documents(R.pages(spark, sf_dir), window_chunks("text"), vectorizer, single_page=True, normalize=False, model=MODEL)
+    asked = embed_queries(R.questions(spark, sf_dir), "text", vectorizer, model=MODEL, normalize=False)
+    return _hits(search.top_k(points, asked), "query_id", "point_id")
+
+
 def _question_documents(spark, sf_dir):
-    points = _window_points(spark, sf_dir)
-    asked = _asked(spark, sf_dir)
+    points = cut_lineage(_window_points(spark, sf_dir))
+    asked = cut_lineage(_asked(spark, sf_dir))
     return asked, search.hit_documents(search.top_k(points, asked, subject="subject"), points)
 
 
@@ -243,6 +254,28 @@ def marked_corpus(spark, sf_dir):
     return files.marked_paragraphs(documents, "marked", ["doc_id"])
 
 
+@query
+def marked_corpus_file(spark, sf_dir):
+    """Documents as marked paragraphs of corpus files, written and read back."""
+    path = shared_path(spark, "corpus")
+    marked = F.concat(F.lit("##P"), F.col("doc_id").cast("string"), F.lit("\n"), F.col("text"))
+    R.table(spark, sf_dir, "documents").select(marked.alias("value")).write.option("maxRecordsPerFile", 10_000).text(path)
+    return files.read_marked_corpus(spark, path)
+
+
+@query
+def seed_documents(spark, sf_dir):
+    """Text files of the documents as seeds, each under a subject of its own; one listed name does not exist."""
+    path = shared_path(spark, "seeds")
+    lines = R.table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    lines.write.option("maxRecordsPerFile", 10_000).text(path)
+    names = sorted(r["name"] for r in spark.read.format("binaryFile").load(path).select(T.base_name("path").alias("name")).collect())
+    seeds = [(name, f"ders{i}") for i, name in enumerate(names)] + [("yok.txt", "genel")]
+    pages = files.read_seed_documents(spark, path, seeds)
+    words = pages.select(F.explode(F.split("text", "\n")).alias("line")).where(F.col("line") != "")
+    return words.groupBy("line").agg(F.count("*").alias("n"))
+
+
 @query
 def normalize_key_dedup(spark, sf_dir):
     kept = quality.first_per_key(R.texts(spark, sf_dir), "text", "rec_id")
@@ -282,19 +315,23 @@ def chars_per_token(spark, sf_dir):
     return quality.chars_per_token(rows, "output", "output_tokens").select(*_r6("chars_per_token"))
 
 
+#: 64 vectors of 64 numbers: the test tables fill many cells and blocks.
+SMALL_BLOCK = 64 * 64 * 8
+
+
 @query
 def near_flags(spark, sf_dir):
-    return neardup.first_neighbours(R.points(spark, sf_dir), "point_id", "vector", 0.3)
+    return neardup.first_neighbours(R.points(spark, sf_dir), "point_id", "vector", 0.3, block_bytes=SMALL_BLOCK)
 
 
 @query
 def semantic_dedup(spark, sf_dir):
-    return neardup.semantic_dedup(R.points(spark, sf_dir), "point_id", "vector", 0.3, finish_rows=100)
+    return neardup.semantic_dedup(R.points(spark, sf_dir), "point_id", "vector", 0.3, pivots=32, block_bytes=SMALL_BLOCK)
 
 
 @query
 def semantic_dedup_sparse(spark, sf_dir):
-    return neardup.semantic_dedup(R.points(spark, sf_dir), "point_id", "vector", 0.4)
+    return neardup.semantic_dedup(R.points(spark, sf_dir), "point_id", "vector", 0.4, block_bytes=SMALL_BLOCK)
 
 
 @query
@@ -556,6 +593,28 @@ def request_violations(spark, sf_dir):
     return rules.violations(R.requests(spark, sf_dir), rules.request_rules(), ["rec_id"])
 
 
+@query
+def session_id_violations(spark, sf_dir):
+    """Requests with a session id: with dashes, without, one digit short."""
+    digest, kind = F.md5(F.col("rec_id").cast("string")), F.floor(F.col("rec_id") / 1000) % 3
+    dashed = F.concat_ws("-", *[F.substring(digest, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    rows = R.requests(spark, sf_dir).withColumn("session_id", F.when(kind == 0, dashed).when(kind == 1, digest).otherwise(F.substring(digest, 1, 31)))
+    return rules.violations(rows, rules.request_rules("session_id"), ["rec_id"])
+
+
+@query
+def upload_violations(spark, sf_dir):
+    """Titles are the pages themselves, so most are too long; every third subject is unknown."""
+    rows = R.table(spark, sf_dir, "pages").select(
+        "page_id", F.col("html").alias("title"), F.when(F.col("page_id") % 3 == 0, F.lit("resim")).otherwise(F.lit("genel")).alias("subject"),
+        (F.col("page_id") % 14).cast("int").alias("grade_level"),
+    )
+    short = rows.withColumn("title", F.concat(F.lit("sayfa "), F.col("page_id").cast("string")))
+    return rules.violations(rows, rules.upload_rules(), ["page_id"]).unionByName(
+        rules.violations(short.withColumn("page_id", -F.col("page_id") - 1), rules.upload_rules(), ["page_id"])
+    )
+
+
 @query
 def response_violations(spark, sf_dir):
     rows = R.table(spark, sf_dir, "events").select(
@@ -812,25 +871,38 @@ def session_table(spark, sf_dir):
     return done.select("session_id", "created_at", "question_count", "last_activity", _joined("subjects"))
 
 
+@query
+def fresh_sessions(spark, sf_dir):
+    """Every user gets a session at a given time; sessions start without questions."""
+    created = sessions.create_sessions(R.question_events(spark, sf_dir), now=F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    nothing = R.question_events(spark, sf_dir).where(F.col("session_id").isNull())
+    return sessions.session_rollup(nothing, created).select("session_id", "created_at", "question_count", "last_activity", _joined("subjects"))
+
+
 @query
 def unknown_session_events(spark, sf_dir):
     return sessions.unknown_events(R.question_events(spark, sf_dir), _created(spark, sf_dir)).select("event_id", "session_id")
 
 
-def _stream_path(sf_dir: str, name: str) -> str:
-    """A stream reads folders or patterns; the pattern matches the one table file."""
-    return f"{sf_dir}/{name}.parque[t]"
+STREAM_FILES = 3
+
+
+def _file_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The whole table as a folder of several files that arrive one batch after another."""
+    path = shared_path(spark, f"stream-{name}")
+    R.table(spark, sf_dir, name).repartition(STREAM_FILES).write.parquet(path)
+    return jobs.file_stream(spark, path, files_per_trigger=1)
 
 
 @query
 def session_rollup_stream(spark, sf_dir):
-    stream = jobs.file_stream(spark, _stream_path(sf_dir, "events")).select(F.col("user_id").alias("session_id"), F.col("event_type").alias("subject"), "ts")
+    stream = _file_stream(spark, sf_dir, "events").select(F.col("user_id").alias("session_id"), F.col("event_type").alias("subject"), "ts")
     return jobs.run_session_counters(spark, stream).select("session_id", "question_count", "last_activity", _joined("subjects"))
 
 
 @query
 def ingest_stream(spark, sf_dir):
-    stream = jobs.file_stream(spark, _stream_path(sf_dir, "documents")).select(
+    stream = _file_stream(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("file_id"), F.concat("source", F.lit(".txt")).alias("source"), F.lit(0).alias("page_num"), "text", F.col("lang").alias("subject"),
     )
 
@@ -853,7 +925,7 @@ def step_fold(spark, sf_dir):
 
 @query
 def step_fold_stream(spark, sf_dir):
-    return jobs.run_folded_steps(spark, _steps(jobs.file_stream(spark, _stream_path(sf_dir, "events"))))
+    return jobs.run_folded_steps(spark, _steps(_file_stream(spark, sf_dir, "events")))
 
 
 @query

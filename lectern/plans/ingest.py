@@ -14,12 +14,12 @@ from lectern.operators.rules import upload_reject
 
 def index_documents(
     pages: DataFrame, chunks: Column, vectorizer: Vectorizer, metadata: Sequence[str] = ("subject",),
-    existing: DataFrame | None = None, file: str = "file_id", single_page: bool = False, normalize: bool = True,
+    existing: DataFrame | None = None, file: str = "file_id", single_page: bool = False, normalize: bool = True, model: str = "",
 ) -> DataFrame:
     """New points of the given pages: id, skip known, chunk, number, vectorize."""
     named = with_document_id(pages, file, single_page)
     fresh = new_documents(named, existing, file)
-    return build_points(fresh, chunks, vectorizer, metadata, single_page=single_page, normalize=normalize)
+    return build_points(fresh, chunks, vectorizer, metadata, model, single_page, normalize)
 
 
 def index_uploads(

@@ -131,6 +131,7 @@ ASKED = f"""asked AS (SELECT item_id AS query_id, text AS question, [('')::VARCH
 kpairs AS (SELECT query_id, point_id, qs, p.subject AS ps, CASE WHEN nh = 0 OR list_sum(qhits) = 0 THEN 0.0
   ELSE round(list_dot_product(hits, qhits) / sqrt(nh * list_sum(qhits)), 9) END AS s FROM asked, kpoints p)"""
 SQL["keyword_search"] = f"WITH {POINTS}, {ASKED} {ranked('SELECT * FROM kpairs', 4)}"
+SQL["prefixed_search"] = f"WITH {POINTS}, {ASKED.replace('text)', chr(39).join(['', 'query: ', ' || text)']))} {ranked('SELECT * FROM kpairs', 4)}"
 DOCUMENTS = f"""{POINTS}, {ASKED}, found AS ({ranked('SELECT * FROM kpairs', 4, "qs = '' OR qs = ps")}),
 docs AS (SELECT f.query_id, f.rank, k.source, k.page_num, k.text FROM found f JOIN kpoints k USING (point_id) WHERE k.text <> ''),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS i FROM docs),
@@ -168,6 +169,10 @@ SQL["marked_corpus"] = """SELECT doc_id, doc_id * 2 AS paragraph_id,
   array_to_string(list_filter(list_transform(list_filter(string_split(text, chr(10)), lambda x: NOT starts_with(x, '#')), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> ''), ' ') AS text
 FROM documents WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''
 UNION ALL SELECT doc_id, doc_id * 2 + 1, source || ' ' || lang FROM documents"""
+SQL["marked_corpus_file"] = """SELECT doc_id AS paragraph_id,
+  array_to_string(list_filter(list_transform(list_filter(string_split(text, chr(10)), lambda x: NOT starts_with(x, '#')), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> ''), ' ') AS text
+FROM documents WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''"""
+SQL["seed_documents"] = "SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) x WHERE line <> '' GROUP BY line"
 KEYED = "keyed AS (SELECT doc_id AS rec_id, lang, source, text, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS key FROM documents)"
 SQL["normalize_key_dedup"] = f"WITH {KEYED} SELECT rec_id, md5(key) AS key FROM keyed QUALIFY row_number() OVER (PARTITION BY keyed.key ORDER BY rec_id) = 1"
 SQL["quality_filter"] = f"WITH {KEYED} SELECT rec_id, lang, source FROM keyed WHERE length(text) BETWEEN 20 AND 1000 QUALIFY row_number() OVER (PARTITION BY key ORDER BY rec_id) = 1"
@@ -211,7 +216,7 @@ SELECT subject, grade, greatest(5, 50 // count(*) OVER (PARTITION BY subject)) A
 SQL["curriculum_prompts"] = """WITH cells AS (SELECT lang AS subject, 9 + doc_id % 4 AS grade, array_to_string(list_sort(list(DISTINCT source)), ', ') AS topics FROM documents GROUP BY 1, 2)
 SELECT subject, grade, grade || '. sınıf ' || subject || ' dersi için ' || greatest(5, 12 // count(*) OVER (PARTITION BY subject)) || ' soru-cevap çifti yaz.' || chr(10) ||
   'Konular: ' || topics || chr(10) || 'Yalnızca JSON dizisi döndür: [{"instruction": "...", "output": "..."}]' AS prompt FROM cells"""
-SQL["mock_records"] = """SELECT subject || ' dersi sınıf ' || grade || ' mock sorusu ' || i AS instruction, '' AS input,
+SQL["mock_records"] = """SELECT subject || ', ' || grade || '. sınıf için deneme sorusu no. ' || i AS instruction, '' AS input,
   subject || ', ' || grade || '. sınıf: bu metin yalnızca akışı denemek içindir.' AS output, subject, grade
 FROM (SELECT DISTINCT lang AS subject, 9 + doc_id % 4 AS grade FROM documents) c, range(0, 6) r(i)"""
 
@@ -257,6 +262,10 @@ REQUESTS = """reqs AS (SELECT conv_id * 1000 + turn AS rec_id, text AS question,
   CASE conv_id % 4 WHEN 0 THEN 'tarih' WHEN 1 THEN 'fizik' WHEN 2 THEN 'genel' ELSE 'coğrafya' END AS subject, conv_id % 14 AS grade_level FROM conversations WHERE role = 'user')"""
 SQL["request_violations"] = f"""WITH {REQUESTS} SELECT rec_id, 'question_length' AS rule FROM reqs WHERE length(question) NOT BETWEEN 5 AND 500
 UNION ALL SELECT rec_id, 'subject' FROM reqs WHERE subject = 'coğrafya' UNION ALL SELECT rec_id, 'grade_level' FROM reqs WHERE grade_level NOT BETWEEN 1 AND 12"""
+SQL["session_id_violations"] = SQL["request_violations"] + " UNION ALL SELECT rec_id, 'session_id' FROM reqs WHERE rec_id // 1000 % 3 = 2"
+SQL["upload_violations"] = """WITH ups AS (SELECT page_id, html AS title, page_id AS n FROM pages UNION ALL SELECT -page_id - 1, 'sayfa ' || page_id, page_id FROM pages)
+SELECT page_id, 'title' AS rule FROM ups WHERE length(title) > 200 UNION ALL SELECT page_id, 'subject' FROM ups WHERE n % 3 = 0
+UNION ALL SELECT page_id, 'grade_level' FROM ups WHERE n % 14 NOT BETWEEN 1 AND 12"""
 SQL["response_violations"] = """SELECT event_id, 'confidence' AS rule FROM events WHERE value / 100 NOT BETWEEN 0 AND 1
 UNION ALL SELECT event_id, 'processing_time_ms' FROM events WHERE value - 1 < 0"""
 SQL["split_report"] = f"""WITH {TEXT_SPLIT} SELECT 'contract:subject' AS "check", count(*) AS n FROM split_
@@ -360,9 +369,9 @@ last_ AS (SELECT question_id, max(attempt) AS a FROM flags GROUP BY question_id)
 SELECT f.question_id, f.attempt AS attempts, f.answer, d.attempts IS NULL AS needs_retry
 FROM last_ l LEFT JOIN done d USING (question_id) JOIN flags f ON f.question_id = l.question_id AND f.attempt = coalesce(d.attempts, l.a)"""
 SQL["cited_sources"] = """WITH refs AS (SELECT doc_id AS rec_id, doc_id % 3 AS third, regexp_extract_all(text, '\\b[A-ZÇĞİÖŞÜ][a-zçğıöşü]+(?:,\\s+[A-ZÇĞİÖŞÜ]\\.)?\\s+\\([0-9]{4}\\)') AS own FROM documents),
-all_ AS (SELECT rec_id, third, CASE WHEN third = 1 THEN list_append(own, 'Newton, I. (1687)') ELSE own END AS academic FROM refs)
+all_ AS (SELECT rec_id, third, CASE WHEN third = 1 THEN list_append(own, 'Ekinci, A. (2001)') ELSE own END AS academic FROM refs)
 SELECT rec_id, len(academic) = 0 AND third = 2 AS is_clean, array_to_string(academic, '|') AS academic_refs,
-  CASE third WHEN 0 THEN 'uydurma.txt' WHEN 1 THEN 'Newton, I. (1687). Principia Mathematica' ELSE '' END AS unknown_sources,
+  CASE third WHEN 0 THEN 'uydurma.txt' WHEN 1 THEN 'Ekinci, A. (2001). Göçmen kuşlar' ELSE '' END AS unknown_sources,
   CAST(len(academic) > 0 AS BIGINT) + CAST(third < 2 AS BIGINT) AS n_warnings FROM all_"""
 SQL["unknown_citations"] = """SELECT d.doc_id, d.lang, d.lang || '.md' AS name FROM documents d"""
 
@@ -373,6 +382,8 @@ SQL["session_rollup_stream"] = ROLLUP
 CREATED = "created AS (SELECT o_orderkey AS session_id, o_orderdate AS created_at FROM orders)"
 SQL["session_table"] = f"""WITH {CREATED}, r AS ({ROLLUP}) SELECT session_id, created_at, coalesce(question_count, 0) AS question_count,
   coalesce(last_activity, created_at) AS last_activity, coalesce(subjects, '') AS subjects FROM created LEFT JOIN r USING (session_id)"""
+SQL["fresh_sessions"] = """SELECT DISTINCT user_id AS session_id, TIMESTAMP '2024-02-01' AS created_at, CAST(0 AS BIGINT) AS question_count,
+  TIMESTAMP '2024-02-01' AS last_activity, '' AS subjects FROM events"""
 SQL["unknown_session_events"] = f"WITH {CREATED} SELECT event_id, user_id AS session_id FROM events WHERE user_id NOT IN (SELECT session_id FROM created)"
 FOLD = "SELECT user_id AS run_id, event_type AS field, arg_max(props, event_id) AS value FROM events GROUP BY ALL"
 SQL["step_fold"] = FOLD

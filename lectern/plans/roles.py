@@ -121,7 +121,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cited_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     third = F.col("doc_id") % 3
-    extra = F.when(third == 0, F.lit("- uydurma.txt")).when(third == 1, F.lit("- Newton, I. (1687). Principia Mathematica")).otherwise(F.lit(""))
+    extra = F.when(third == 0, F.lit("- uydurma.txt")).when(third == 1, F.lit("- Ekinci, A. (2001). Göçmen kuşlar")).otherwise(F.lit(""))
     own = F.concat("source", F.lit(".txt"))
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("rec_id"),

@@ -44,7 +44,7 @@ def mock_records(plan: DataFrame, per_cell: int = 6) -> DataFrame:
     """Numbered stand-in records for every (subject, grade) of a plan."""
     numbered = plan.select("subject", "grade", F.explode(F.sequence(F.lit(0), F.lit(per_cell - 1))).alias("i"))
     return numbered.select(
-        F.format_string("%s dersi sınıf %d mock sorusu %d", "subject", "grade", "i").alias("instruction"),
+        F.format_string("%s, %d. sınıf için deneme sorusu no. %d", "subject", "grade", "i").alias("instruction"),
         F.lit("").alias("input"),
         F.format_string("%s, %d. sınıf: bu metin yalnızca akışı denemek içindir.", "subject", "grade").alias("output"),
         "subject",

@@ -7,16 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.constants import JSON_FENCE
 from lectern.functions.text import _col, strip
 
-# fixed value: a fenced JSON array, optionally tagged json
-_FENCE = r"```(?:json)?\s*(\[[\s\S]*?\])\s*```"
-
 
 def json_array_text(reply: Column | str) -> Column:
     """Fenced array first, else first `[` to last `]`, else the reply itself."""
     reply = _col(reply)
-    fenced = F.regexp_extract(reply, _FENCE, 1)
+    fenced = F.regexp_extract(reply, JSON_FENCE, 1)
     start = F.instr(reply, "[")
     end = F.length(reply) - F.instr(F.reverse(reply), "]") + 1
     closed = (F.instr(reply, "]") > 0) & (start > 0) & (end > start)

@@ -12,6 +12,10 @@ from lectern.operators.sessions import rollup_aggregates
 from lectern.session import shared_path
 
 
+#: Batches after which the table of known ids is written as a whole again.
+COMPACT = 20
+
+
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 1_000) -> DataFrame:
     """A Parquet folder (or glob) as a stream, its schema taken from the files."""
     schema = spark.read.parquet(path).schema
@@ -65,13 +69,29 @@ def run_session_counters(spark: SparkSession, events: DataFrame, session: str =
 def ingest(documents: DataFrame, out: str, state: str, to_points: Callable[[DataFrame, DataFrame | None], DataFrame]) -> StreamingQuery:
     """Index newly arriving documents; content already indexed is skipped.
 
-    `to_points(documents, existing)` builds the points of a batch against the points
-    written by the earlier ones. A repeated batch overwrites its own folder.
+    `to_points(documents, existing)` builds the points of a batch against the ids of the
+    documents indexed by earlier ones. Ids have a table of their own (`<out>-ids`), one folder a
+    batch; every `COMPACT` batches the folder of the batch holds all ids so far, and later batches read
+    from there on, so a batch does not read the points nor every earlier folder again. A
+    repeated batch overwrites its own folders.
     """
+    ids = f"{out}-ids"
+
+    def known(spark: SparkSession, number: int) -> DataFrame | None:
+        whole = (number - 1) // COMPACT * COMPACT
+        rows = spark.read.schema("doc_id string, batch int").parquet(ids)
+        return rows.where((F.col("batch") < number) & (F.col("batch") >= whole)).select("doc_id")
+
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        existing = spark.read.parquet(out).where(F.col("batch") < number) if number else None
-        to_points(batch, existing).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        existing = known(spark, number) if number else None
+        points = f"{out}/batch={number}"
+        found = to_points(batch, existing)
+        found.write.mode("overwrite").parquet(points)
+        fresh = spark.read.schema(found.schema).parquet(points).select("doc_id").distinct()
+        if number and number % COMPACT == 0:
+            fresh = fresh.union(existing)
+        fresh.write.mode("overwrite").parquet(f"{ids}/batch={number}")
 
     return _drain(documents, "append", each, state)
 

@@ -36,9 +36,7 @@ def at_angle(degrees):
 def test_dedup_is_greedy_not_clusters(spark):
     rows = [(1, at_angle(0)), (2, at_angle(15)), (3, at_angle(30)), (4, [0.0, 0.0]), (5, [0.0, 0.0])]
     df = spark.createDataFrame(rows, "id long, v array<double>")
-    for finish in (0, 1000):
-        kept = neardup.semantic_dedup(df, "id", "v", 0.95, finish_rows=finish)
-        assert {r[0] for r in kept.collect()} == {1, 3, 4, 5}
+    assert {r[0] for r in neardup.semantic_dedup(df, "id", "v", 0.95).collect()} == {1, 3, 4, 5}
 
 
 @pytest.mark.parametrize("seed,t", [(1, 0.95), (2, 0.8), (3, 0.5)])
@@ -52,7 +50,7 @@ def test_dedup_stages_agree_with_the_loop(spark, seed, t):
     rows = [(int(order[n]), v) for n, (_, v) in enumerate(rows)]
     df = spark.createDataFrame(rows, "id long, v array<double>").repartition(5)
     expected = greedy(rows, t)
-    for args in ({"finish_rows": 0, "pivots": 8, "block_bytes": 64 * 8 * 4}, {"finish_rows": 40}):
+    for args in ({"pivots": 8, "block_bytes": 64 * 8 * 4}, {}):
         kept = [r[0] for r in neardup.semantic_dedup(df, "id", "v", t, **args).collect()]
         assert len(kept) == len(set(kept)) and set(kept) == expected
 
