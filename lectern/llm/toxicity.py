@@ -30,8 +30,8 @@ from lectern.llm.words import BYTE_CODE, NO_LETTER, mix, run_hashes, slices, wor
 SAMPLE = 20_000
 #: Features of the model, at most.
 FEATURES = 4096
-#: Sample texts a feature must occur in.
-LEAST = 5
+#: Sample texts a feature must occur in, and standard errors by which its shares in toxic and other texts must differ.
+LEAST, APART = 3, 4.0
 THRESHOLD = 0.3
 #: Word beginnings that count as features, in bytes.
 BEGINNINGS = (4, 5, 6)
@@ -172,9 +172,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, width: int = F
         rate = (toxic + 0.5) / (n + 1)
         return np.empty(0, np.uint64), np.empty(0), float(np.log(rate / (1 - rate)))
     counts = sample.mapInArrow(_counted, "code long, n long, toxic long").groupBy("code").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-    among, rest = F.col("toxic") / toxic, (F.col("n") - F.col("toxic")) / (n - toxic)
-    apart = F.abs(among - rest) / F.sqrt((F.col("n") + 1) / n)
-    best = counts.filter(F.col("n") >= least).orderBy(apart.desc(), "code").limit(width).collect()
+    among, rest, share = F.col("toxic") / toxic, (F.col("n") - F.col("toxic")) / (n - toxic), F.col("n") / n
+    apart = F.abs(among - rest) / F.sqrt(share * (1 - share) * (1 / toxic + 1 / (n - toxic)))
+    best = counts.filter((F.col("n") >= least) & (F.col("n") < n)).withColumn("apart", apart).filter(F.col("apart") >= APART)
+    best = best.orderBy(F.col("apart").desc(), "code").limit(width).collect()
     names = name_features()
     chosen = np.unique(np.concatenate([np.array([r["code"] for r in best], dtype=np.int64).view(np.uint64), names]))
     found = sample.mapInArrow(_rows(chosen), "label int, own array<int>, other array<int>").toArrow().to_pydict()
