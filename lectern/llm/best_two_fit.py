@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.tables import read_table, saved
-from lectern.llm.word_ids import WordTable
+from lectern.llm.word_ids import WordTable, units
 from lectern.llm.words import slices, words_of
 
 CAPACITY = 2048
@@ -96,7 +96,7 @@ def _tokenized(path: str | None, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable(path)
         for batch in slices(batches):
-            words = words_of(batch.column("text"))
+            words = units(words_of(batch.column("text")))
             packed = words.packed().dictionary_encode()
             known = table.slots(packed.dictionary.to_pylist())
             slot = known[packed.indices.to_numpy(zero_copy_only=False)] if len(words.start) else np.empty(0, np.int64)
