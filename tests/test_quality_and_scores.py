@@ -369,3 +369,22 @@ def test_a_third_of_near_copies(spark):
     rows = [(i, v) for i, v in enumerate(rows[rng.permutation(3000)].tolist())]
     df = spark.createDataFrame(rows, "id long, v array<double>").repartition(6)
     assert {r[0] for r in neardup.semantic_dedup(df, "id", "v", 0.95).collect()} == greedy(rows, 0.95)
+
+
+@pytest.mark.parametrize("apart", [1, 10**12])
+def test_running_sums_in_two_levels(spark, apart):
+    rng = np.random.default_rng(4)
+    order = np.sort(rng.choice(5000, 300, replace=False)) * apart
+    df = spark.createDataFrame([(int(o), int(x)) for o, x in zip(order, range(300))], "o long, x long").repartition(5)
+    for width, fan in ((None, 4), (3 * apart, 2), (100 * apart, 7)):
+        got = {r["o"]: r["t"] for r in ordered.running_totals(df, "o", {"t": F.col("x")}, width=width, fan=fan).collect()}
+        assert got == {int(o): int(s) for o, s in zip(order, np.cumsum(range(300)))}
+    assert ordered.block_width(df, "o", 10) < 5000 * apart / 20
+
+
+@pytest.mark.parametrize("ranked", [5, 60])
+def test_percentiles_of_narrowed_brackets(spark, ranked):
+    values = np.random.default_rng(5).normal(size=2000).round(2)
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(3)
+    got = {r["share"]: r["value"] for r in ordered.exact_percentiles(df, "v", [0.0, 0.5, 0.95, 1.0], accuracy=50, ranked=ranked).collect()}
+    assert got == {s: pytest.approx(np.percentile(values, s * 100)) for s in (0.0, 0.5, 0.95, 1.0)}
