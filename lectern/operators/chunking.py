@@ -13,11 +13,14 @@ from lectern.functions.text import is_blank
 from lectern.operators.ordered import running_totals
 
 
-def _pieces(text: str, lo: int, hi: int, separators: Sequence[str]) -> tuple[list[tuple[int, int]], Sequence[str]]:
-    """Spans between the first separator found in text[lo:hi], each starting with it; separators left."""
+def _pieces(text: str, lo: int, hi: int, separators: Sequence[str]) -> tuple[list[tuple[int, int]] | None, Sequence[str]]:
+    """Spans between the first separator found in text[lo:hi], each starting with it; separators left.
+
+    No spans (None) stand for single characters, the pieces of the empty separator.
+    """
     for level, sep in enumerate(separators):
         if sep == "":
-            return [(i, i + 1) for i in range(lo, hi)], separators[level + 1 :]
+            return None, separators[level + 1 :]
         at = text.find(sep, lo, hi)
         if at < 0:
             continue
@@ -31,6 +34,16 @@ def _pieces(text: str, lo: int, hi: int, separators: Sequence[str]) -> tuple[lis
     return [(lo, hi)], ()
 
 
+def _character_windows(lo: int, hi: int, size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """What merging single characters comes to: full windows that start with the end of the last one."""
+    step = max(1, size - overlap)
+    while hi - lo > size:
+        yield lo, lo + size
+        lo += step
+    if lo < hi:
+        yield lo, hi
+
+
 def _merge(spans: list[tuple[int, int]], size: int, overlap: int) -> Iterator[tuple[int, int]]:
     """Adjacent spans joined up to `size`; the next window starts with at most `overlap` characters."""
     first = 0
@@ -48,6 +61,9 @@ def chunk_spans(
     text: str, lo: int, hi: int, size: int, overlap: int, separators: Sequence[str]
 ) -> Iterator[tuple[int, int]]:
     spans, rest = _pieces(text, lo, hi, separators)
+    if spans is None:
+        yield from _character_windows(lo, hi, size, overlap)
+        return
     short: list[tuple[int, int]] = []
     for span in spans:
         if span[1] - span[0] < size:

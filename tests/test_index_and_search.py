@@ -236,3 +236,10 @@ def test_stream_counters_restart_from_state(spark, tmp_path):
     jobs.session_counters(jobs.file_stream(spark, folder), out, state)
     got = {r["session_id"]: (r["question_count"], r["last_activity"], r["subjects"]) for r in jobs.current_counters(spark, out).collect()}
     assert got == {1: (3, 9, ["a", "b"]), 2: (1, 3, ["a"]), 3: (1, 2, ["c"])}
+
+
+def test_long_text_without_separators():
+    text = "x" * 10_000_000
+    spans = list(chunk_spans(text, 0, len(text), 500, 50, C.SEPARATORS))
+    assert spans[0] == (0, 500) and spans[-1][1] == len(text)
+    assert all(a[1] - b[0] == 50 for a, b in zip(spans, spans[1:]))
