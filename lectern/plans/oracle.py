@@ -95,15 +95,45 @@ def windows(source: str) -> str:
   FROM (SELECT * EXCLUDE (text), text AS full_text, unnest(range(0, greatest(1, ceil((length(text) - 50) / 450.0))::BIGINT)) AS i FROM {source}) f)"""
 
 
+def splits(source: str, key: str) -> str:
+    """Recursive splitting, level by level: pieces of 500 characters or more go one separator down, runs of shorter
+    ones are joined from left to right, each window starting at most 50 characters before the end of the last."""
+    parts = [f"s0 AS (SELECT {key} AS k, text AS t, 0::BIGINT AS lo, length(text)::BIGINT AS hi FROM {source})"]
+    for n, sep in enumerate(("chr(10) || chr(10)", "chr(10)", "'. '", "'? '", "'! '", "'; '", "' '")):
+        here = f"contains(substr(t, lo + 1, hi - lo), {sep})"
+        parts += [
+            f"u{n} AS (SELECT k, t, lo AS base, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM (SELECT *, string_split(substr(t, lo + 1, hi - lo), {sep}) AS p FROM s{n} WHERE {here}) x)",
+            f"v{n} AS (SELECT k, t, base, i, length(piece) + CASE WHEN i > 1 THEN length({sep}) ELSE 0 END AS n FROM u{n})",
+            f"w{n} AS (SELECT k, t, base, n, CAST(base + sum(n) OVER (PARTITION BY k, base ORDER BY i) - n AS BIGINT) AS a FROM v{n})",
+            f"""p{n} AS (SELECT *, sum(CASE WHEN n >= 500 THEN 1 ELSE 0 END) OVER (PARTITION BY k, base ORDER BY a ROWS UNBOUNDED PRECEDING) AS g FROM w{n} WHERE n > 0)""",
+            f"s{n + 1} AS (SELECT k, t, lo, hi FROM s{n} WHERE NOT {here} UNION ALL SELECT k, t, a, a + n FROM p{n} WHERE n >= 500)",
+            f"r{n} AS (SELECT {n} AS level, k, base, g, list(a ORDER BY a) AS s, list(a + n ORDER BY a) AS e FROM p{n} WHERE n < 500 GROUP BY k, base, g)",
+        ]
+    runs = " UNION ALL ".join(f"SELECT * FROM r{n}" for n in range(7))
+    return ",\n".join(parts) + f""",
+steps AS (SELECT level, k, base, g, s, e, 1::BIGINT AS f FROM ({runs}) r
+  UNION ALL SELECT level, k, base, g, s, e, 1 + len(list_filter(s, lambda x: x < greatest(s[l + 1] - 50, e[l + 1] - 500)))
+  FROM (SELECT *, len(list_filter(e, lambda x: x <= s[f] + 500)) AS l FROM steps) q WHERE l < len(e)),
+spans AS (SELECT k, s[f] AS a, e[len(list_filter(e, lambda x: x <= s[f] + 500))] AS b FROM steps
+  UNION ALL SELECT k, lo + i * 450, least(lo + i * 450 + 500, hi)
+  FROM (SELECT *, unnest(range(0, 1 + greatest(0, ceil((hi - lo - 500) / 450.0))::BIGINT)) AS i FROM s7) c),
+wins AS (SELECT * EXCLUDE (a, k), row_number() OVER (PARTITION BY {key} ORDER BY a) - 1 AS pos FROM (
+  SELECT f.* EXCLUDE (text), k, a, regexp_replace(substr(f.text, a + 1, b - a), '^\\s+|\\s+$', '', 'g') AS text FROM spans JOIN {source} f ON f.{key} = k) z WHERE text <> '')"""
+
+
 POINTS = f"""{PAGES}, firsts AS (SELECT * FROM pages_ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY file_id) = 1),
 {windows('firsts')}, chunks AS (SELECT * EXCLUDE (pos), pos AS chunk_index, {digest("doc_id || ':' || pos")} AS h, {HITS} AS hits FROM wins),
 kpoints AS (SELECT *, {UUID} AS point_id, list_sum(hits) AS nh FROM chunks)"""
 VECTOR = """array_to_string(list_transform(hits, lambda x: CAST(CAST(CASE WHEN nh = 0 THEN 0 ELSE round(x / sqrt(nh) * 1000000) END AS BIGINT) AS VARCHAR)), ',') AS vector"""
 SQL["chunk_windows"] = f"""WITH src AS (SELECT doc_id AS rec_id, text FROM documents WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''), {windows('src')}
 SELECT rec_id, pos AS chunk_index, text FROM wins"""
+SQL["chunk_recursive"] = f"""WITH RECURSIVE src AS (SELECT doc_id AS rec_id, text FROM documents WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''), {splits('src', 'rec_id')}
+SELECT rec_id, pos AS chunk_index, text FROM wins"""
+RECURSIVE_POINTS = POINTS.replace(windows("firsts"), splits("firsts", "file_id"))
 SQL["document_ids"] = f"WITH {PAGES} SELECT file_id, doc_id FROM pages_"
 SQL["point_ids"] = f"SELECT doc_id, {UUID} AS point_id FROM (SELECT doc_id, {digest(chr(39).join(['source || ', '_', ' || lang || ', ':', ' || doc_id']))} AS h FROM documents) x"
 SQL["index_build"] = f"WITH {POINTS} SELECT point_id, doc_id, source, subject, CAST(page_num AS BIGINT) AS page_num, chunk_index, text, {VECTOR} FROM kpoints"
+SQL["index_build_recursive"] = f"WITH RECURSIVE {RECURSIVE_POINTS} SELECT point_id, doc_id, source, subject, CAST(page_num AS BIGINT) AS page_num, chunk_index, text, {VECTOR} FROM kpoints"
 CONVERSATIONS = f"""cpages AS (SELECT conv_id AS file_id, 'konusma_' || conv_id || '.pdf' AS source, turn + 1 AS page_num, text,
   CASE WHEN conv_id % 2 = 0 THEN 'tarih' ELSE 'fizik' END AS subject FROM conversations WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''),
 cdocs AS (SELECT file_id, 'konusma_' || file_id || '_' || substr(sha256(string_agg(text, chr(10) ORDER BY page_num)), 1, 16) AS doc_id FROM cpages GROUP BY file_id),
