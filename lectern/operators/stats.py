@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern import constants as C
+from lectern.session import cut_lineage
 
 
 def subject_grade_pivot(df: DataFrame, grades: Sequence[int] = (9, 10, 11, 12)) -> DataFrame:
@@ -57,11 +58,14 @@ def length_stats(df: DataFrame, text: str, group: Sequence[str] = ()) -> DataFra
     """Mean, quartiles, min, max, sample deviation of text length.
 
     Lengths are merged to (length, rows) first, so the exact quantiles work on
-    distinct lengths and a hot group costs no more than a cold one.
+    distinct lengths and a hot group costs no more than a cold one. The deviation sums
+    distances to the mean, so long texts lose no digits.
     """
     counts = df.groupBy(*group, F.length(text).cast("double").alias("len")).agg(F.count("*").alias("n"))
     total, mass = F.sum("n"), F.sum(F.col("len") * F.col("n"))
-    spread = (F.sum(F.col("len") * F.col("len") * F.col("n")) - mass * mass / total) / (total - 1)
+    whole = Window.partitionBy(*(group or [F.lit(0)]))
+    counts = counts.withColumn("mean", F.sum(F.col("len") * F.col("n")).over(whole) / F.sum("n").over(whole))
+    spread = F.sum(F.pow(F.col("len") - F.col("mean"), F.lit(2)) * F.col("n")) / (total - 1)
 
     def quantile(p):
         return F.percentile(F.col("len"), F.lit(p), F.col("n"))
@@ -74,7 +78,7 @@ def length_stats(df: DataFrame, text: str, group: Sequence[str] = ()) -> DataFra
         quantile(0.75).alias("q3"),
         F.min("len").cast("bigint").alias("min"),
         F.max("len").cast("bigint").alias("max"),
-        F.when(total > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("std"),
+        F.when(total > 1, F.sqrt(spread)).alias("std"),
     )
 
 
@@ -95,9 +99,9 @@ def distinct_counts(df: DataFrame, *columns: str) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int = C.HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins between the smallest and largest value; the last bin is closed."""
     v = F.col(value).cast("double")
-    counts = df.where(v.isNotNull()).groupBy(v.alias("v")).agg(F.count("*").alias("n"))
-    lo = df.agg(F.min(v)).scalar()
-    hi = df.agg(F.max(v)).scalar()
+    counts = cut_lineage(df.where(v.isNotNull()).groupBy(v.alias("v")).agg(F.count("*").alias("n")))
+    lo = counts.agg(F.min("v")).scalar()
+    hi = counts.agg(F.max("v")).scalar()
     span = F.col("hi") - F.col("lo")
     # all values equal: the range becomes [v - 0.5, v + 0.5]
     start = F.when(span == 0, F.col("lo") - 0.5).otherwise(F.col("lo"))

@@ -1,4 +1,5 @@
 import collections
+import datetime
 import math
 import statistics
 
@@ -388,3 +389,17 @@ def test_percentiles_of_narrowed_brackets(spark, ranked):
     df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(3)
     got = {r["share"]: r["value"] for r in ordered.exact_percentiles(df, "v", [0.0, 0.5, 0.95, 1.0], accuracy=50, ranked=ranked).collect()}
     assert got == {s: pytest.approx(np.percentile(values, s * 100)) for s in (0.0, 0.5, 0.95, 1.0)}
+
+
+def test_sessions_start_now(spark):
+    ids = spark.createDataFrame([(1,), (1,), (2,), (None,)], "session_id long")
+    before = datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
+    rows = sessions.create_sessions(ids).collect()
+    after = datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
+    assert sorted(r["session_id"] for r in rows) == [1, 2] and all(before <= r["created_at"] <= after for r in rows)
+
+
+def test_deviation_of_long_texts_keeps_its_digits(spark):
+    lengths = [3_000_000, 3_000_001, 3_000_001, 3_000_002]
+    texts = spark.createDataFrame([(n,) for n in lengths], "n int").select(F.expr("repeat('x', n)").alias("t"))
+    assert stats.length_stats(texts, "t").first()["std"] == pytest.approx(statistics.stdev(lengths), rel=1e-12)
