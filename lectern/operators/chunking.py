@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lectern import constants as C
 from lectern.functions.text import is_blank
 from lectern.operators.ordered import running_totals
+from lectern.session import cut_lineage
 
 
 def _pieces(text: str, lo: int, hi: int, separators: Sequence[str]) -> tuple[list[tuple[int, int]] | None, Sequence[str]]:
@@ -114,10 +115,12 @@ def explode_pages(pages: DataFrame, chunks: Column, doc: str = "doc_id", page: s
     """One row per chunk with `chunk_index`, 0-based over the whole document.
 
     A page's first index is the running number of chunks on the pages before it, taken
-    over (doc, page, count) rows only; texts are not part of that shuffle.
+    over (doc, page, count) rows only; texts are not part of that shuffle. The chunks of a
+    page, and all that leads to them, are computed once and kept while they are numbered.
     """
     keep = [c for c in pages.columns if c != "text"]
     split = pages.where(~is_blank("text")).withColumn("__chunks", F.filter(chunks, lambda x: ~is_blank(x)))
+    split = cut_lineage(split.drop("text"))
     counts = split.select(doc, page, F.size("__chunks").alias("__size"))
     offsets = running_totals(counts, page, {"__first": F.col("__size")}, group=[doc], inclusive=False)
     rows = split.join(offsets.select(doc, page, "__first"), [doc, page])

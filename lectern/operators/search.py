@@ -31,6 +31,14 @@ def _arrow(values_: Sequence, kind: T.DataType) -> pa.Array:
     return pa.array(values_, pa.int32() if kind == T.IntegerType() else pa.int64() if kind == T.LongType() else pa.string())
 
 
+def _counted(side: DataFrame) -> tuple[int, int, int]:
+    """(rows, vector size, bytes of ids, vectors and subjects once they are arrays of fixed width)."""
+    key, vector, *subject = side.columns
+    texts = [F.max(F.length(F.col(c).cast("string"))) for c in (key, *subject)]
+    n, dim, *widths = side.agg(F.count("*"), F.max(F.size(vector)), *texts).first()
+    return n, dim or 0, n * (8 * (dim or 0) + sum(8 + 4 * (w or 0) for w in widths))
+
+
 def top_k(
     points: DataFrame,
     queries: DataFrame,
@@ -51,8 +59,6 @@ def top_k(
     `block_bytes` that meet in pairs, again sending on k rows per query.
     With `subject` (a column of both sides) a non-empty query subject must match.
     """
-    found = queries.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("dim")).first()
-    n, dim = found["n"], found["dim"] or 0
     id_type, query_type = points.schema[point_id].dataType, queries.schema[query_id].dataType
     schema = T.StructType(
         [T.StructField(query_id, query_type), T.StructField(point_id, id_type), T.StructField("score", T.DoubleType())]
@@ -63,11 +69,12 @@ def top_k(
     else:
         left, right = points.select(point_id, vector), queries.select(query_id, vector)
     left, right = left.where(F.col(vector).isNotNull()), right.where(F.col(vector).isNotNull())
-    if n * dim * 8 <= broadcast_bytes:
+    n, dim, size = _counted(right)
+    if size <= broadcast_bytes:
         hits = _scan_points(left, right, k, schema)
     else:
-        n_points = left.count()
-        if n_points * dim * 8 <= broadcast_bytes:
+        n_points, _, size = _counted(left)
+        if size <= broadcast_bytes:
             hits = _scan_queries(left, right, k, schema)
         else:
             hits = _scan_in_blocks(left, right, k, schema, point_id, query_id, n_points, n, dim, block_bytes)
