@@ -6,9 +6,10 @@ already chosen centroid is nearer to that centroid than the vector is. Centroids
 nearest neighbours, best first. A query reads the lists whose centroid is at most `PRUNE` times as far as its nearest
 one. Inside the lists every vector is compared; the scores are exact cosines in double precision.
 
-Only centroids and their graph travel to every task; their number and the sample are bounded. Lists are cut into blocks of
-at most about `BLOCK` vectors, and the queries of a list likewise, so a hot list is many bounded groups. Equal vectors are
-one row with their smallest ids.
+Only centroids and their graph travel to every task; their number and the sample are bounded. Short lists are read
+together and long ones in parts, at most about `BLOCK` vectors at once, and the queries of a bundle likewise, so a hot list is
+many bounded groups; a query meets only the lists it reads, and each group sends on its best k + 1. Equal vectors are one
+row with their smallest ids.
 
 Odd input: vectors that are null, zero or hold null or non-finite components take no part; all others must have the same number
 of components; with fewer candidates than k all are returned; rows with one id and equal vectors are one row; an empty table
@@ -149,6 +150,8 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def _lists(graph, ratio: float, copies: int | None):
+    """Lists of every vector: to be written to (with the vector) if `copies` is given, else to be read."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
@@ -158,8 +161,9 @@ def _lists(graph, ratio: float, copies: int | None):
                     row, which, _ = graph.value.within(vectors, ratio)
                 else:
                     row, which = chosen_lists(graph.value, vectors, ratio, copies)
+                names = ["id"] if copies is None else ["id", "v"]
                 pick = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), batch.column("id").take(pick), batch.column("v").take(pick)], ["list", "id", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), *[batch.column(n).take(pick) for n in names]], ["list", *names])
 
     return run
 
@@ -171,30 +175,49 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _compared(k: int):
+    """Best k + 1 vectors of one bundle for every query, among the lists that the query reads."""
+
     def run(asked: pa.Table, listed: pa.Table) -> pa.Table:
-        ids, of, score = [], [], []
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
         if asked.num_rows and listed.num_rows:
-            q, v = matrix(asked.column("v")), matrix(listed.column("v"))
-            q_id, v_id = asked.column("id").to_numpy(), listed.column("id").to_numpy()
+            q, q_id = matrix(asked.column("v")), asked.column("id").to_numpy()
+            v_id, first, place = np.unique(listed.column("id").to_numpy(), return_index=True, return_inverse=True)
+            v = matrix(listed.column("v").combine_chunks().take(pa.array(first)))
+            names, at = np.unique(listed.column("list").to_numpy(), return_inverse=True)
+            holds = np.zeros((len(names), len(v)), dtype=np.float32)
+            holds[at.reshape(-1), place.reshape(-1)] = 1
+            lists = asked.column("lists").combine_chunks()
+            row = np.repeat(np.arange(len(q)), np.diff(lists.offsets.to_numpy()))
+            name = np.searchsorted(names, lists.flatten().to_numpy())
+            name[name == len(names)] = 0
+            here = names[name] == lists.flatten().to_numpy()
+            reads = np.zeros((len(q), len(names)), dtype=np.float32)
+            reads[row[here], name[here]] = 1
             to, points = min(k + 1 + SPARE, len(v)), unit(v).T
             for at in range(0, len(q), 512):
-                near = unit(q[at : at + 512]) @ points
-                best = np.argpartition(-near, to - 1, axis=1)[:, :to]
+                part = slice(at, at + 512)
+                near = np.where(reads[part] @ holds > 0, unit(q[part]) @ points, -np.inf)
                 # ties with the last one must not be cut by chance
-                edge = np.take_along_axis(near, best, axis=1).min(axis=1)
-                row, col = np.nonzero(near >= edge[:, None] - 1e-12)
-                ids.append(q_id[at + row])
-                of.append(v_id[col])
-                score.append(cosines(q[at + row], v[col]))
-        join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
-        return pa.table({"q": pa.array(join(ids, np.int64)), "id": pa.array(join(of, np.int64)), "score": pa.array(join(score, np.float64))})
+                edge = np.partition(near, len(v) - to, axis=1)[:, len(v) - to]
+                row, col = np.nonzero((near >= edge[:, None] - 1e-12) & np.isfinite(near))
+                score = cosines(q[at + row], v[col])
+                order = np.lexsort((v_id[col], -score, row))
+                row, col, score = row[order], col[order], score[order]
+                best = np.arange(len(row)) - np.searchsorted(row, row) <= k
+                found.append((q_id[at + row[best]], v_id[col[best]], score[best]))
+        q_ids, ids, scores = (np.concatenate(x) for x in zip(*found))
+        return pa.table({"q": pa.array(q_ids), "id": pa.array(ids), "score": pa.array(scores)})
 
     return run
 
 
-def _parts(rows: DataFrame, name: str) -> DataFrame:
-    """(list, number of blocks) of a table of list entries."""
-    return rows.groupBy("list").agg((F.floor(F.count(F.lit(1)) / BLOCK) + 1).cast("int").alias(name))
+def _bundles(listed: DataFrame) -> DataFrame:
+    """(list, bundle, parts): short lists are read together, long ones in parts; one row per list, so at most `CENTROIDS`."""
+    sizes = listed.groupBy("list").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("list").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.withColumn("bundle", F.floor(before / BLOCK).cast("int"))
+    parts = (F.floor(F.sum("n").over(Window.partitionBy("bundle")) / BLOCK) + 1).cast("int")
+    return saved(sizes.withColumn("parts", parts).select("list", "bundle", "parts"), "bundles")
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, prune: float = PRUNE, closure: float = CLOSURE, copies: int = COPIES, list_size: int = LIST) -> DataFrame:
@@ -210,18 +233,23 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, prune: float = P
     graph = CentroidGraph(balanced_centroids(unit(sample), max(1, min(CENTROIDS, count // list_size, len(sample)))))
     sent = spark.sparkContext.broadcast(graph)
     kind = dict(table.dtypes)["v"]
-    schema = f"list int, id long, v {kind}"
-    listed = saved(table.select("id", "v").mapInArrow(_lists(sent, closure, copies), schema), "lists")
+    listed = saved(table.select("id", "v").mapInArrow(_lists(sent, closure, copies), f"list int, id long, v {kind}"), "lists")
     # equal query vectors are searched once, under the id that stands for the vector in the table
     wanted = asked.select("v").distinct().join(table.select("v", "id"), "v", "left")
     wanted = wanted.select(F.coalesce("id", -F.abs(F.xxhash64("v")) - 1).alias("id"), "v")
     wanted = saved(wanted, "wanted")
-    probes = saved(wanted.mapInArrow(_lists(sent, prune, None), schema), "probes")
-    sizes = F.broadcast(_parts(listed, "lists").join(_parts(probes, "asks"), "list"))
-    left = probes.join(sizes, "list").withColumn("ask", F.pmod(F.xxhash64("id"), F.col("asks")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("lists") - 1)))
-    right = listed.join(sizes, "list").withColumn("part", F.pmod(F.xxhash64("id"), F.col("lists")).cast("int")).withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)))
-    keys = ["list", "part", "ask"]
-    met = left.select(*keys, "id", "v").groupBy(*keys).cogroup(right.select(*keys, "id", "v").groupBy(*keys)).applyInArrow(_compared(k), "q long, id long, score double")
+    bundles = F.broadcast(_bundles(listed))
+    probes = wanted.mapInArrow(_lists(sent, prune, None), "list int, id long").join(bundles, "list")
+    probes = saved(probes.groupBy("bundle", "parts", "id").agg(F.collect_set("list").alias("lists")), "probes")
+    asks = probes.groupBy("bundle").agg((F.floor(F.count(F.lit(1)) / BLOCK) + 1).cast("int").alias("asks"))
+    asks = F.broadcast(saved(asks, "asks"))
+    left = probes.join(asks, "bundle").join(wanted, "id").withColumn("ask", F.pmod(F.xxhash64("id"), F.col("asks")).cast("int"))
+    left = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    right = listed.join(bundles, "list").join(asks, "bundle").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    right = right.withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)))
+    keys = ["bundle", "part", "ask"]
+    groups = left.select(*keys, "id", "v", "lists").groupBy(*keys).cogroup(right.select(*keys, "id", "v", "list").groupBy(*keys))
+    met = groups.applyInArrow(_compared(k), "q long, id long, score double")
     order = Window.partitionBy("q").orderBy(F.col("score").desc(), "id")
     met = met.distinct().withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= k + 1)
     near = met.select("q", "id", "score").join(table.select("id", "ids"), "id").select("q", "score", F.explode("ids").alias("vec_id"))
