@@ -180,6 +180,18 @@ class Model:
         self.transition, self.class_term, self.end_count = transition, class_term, end_count
 
 
+def frequent_words(counts: DataFrame, most: int) -> DataFrame:
+    """The words above a count that at most `most` words reach: found on counts by sixteenths of a power of two, without a sort."""
+    step = F.floor(F.log2("n") * 16).cast("int")
+    left, least = most, None
+    for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.col("step").desc()).collect():
+        left -= r["words"]
+        if left < 0:
+            break
+        least = r["step"]
+    return counts.filter(step >= least) if least is not None else counts.filter(F.lit(False))
+
+
 def train(docs: DataFrame):
     """(model, counts table (h, n, ending), training tokens N, different tokens V)."""
     spark = docs.sparkSession
@@ -188,8 +200,10 @@ def train(docs: DataFrame):
     counts = saved(counts, "word-counts")
     by_ending = {r["ending"]: r["words"] for r in counts.groupBy("ending").agg(F.count(F.lit(1)).alias("words")).collect()}
     n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    top = counts.orderBy(F.col("n").desc(), "h").limit(COMMON).toArrow()
+    top = frequent_words(counts, COMMON).toArrow()
     h, n, ending = (top.column(c).to_numpy() for c in ("h", "n", "ending"))
+    by_count = np.lexsort((h, -n))
+    h, n, ending = h[by_count], n[by_count], ending[by_count]
     own = h[:WORDS].view(np.uint64)
     frequent = np.sort(own)
     size = len(frequent) + ENDINGS + 1
