@@ -326,7 +326,7 @@ def near_flags(spark, sf_dir):
 
 @query
 def semantic_dedup(spark, sf_dir):
-    return neardup.semantic_dedup(R.points(spark, sf_dir), "point_id", "vector", 0.3, pivots=32, block_bytes=SMALL_BLOCK)
+    return neardup.semantic_dedup(R.points(spark, sf_dir), "point_id", "vector", 0.3, pivots=128, block_bytes=SMALL_BLOCK)
 
 
 @query
