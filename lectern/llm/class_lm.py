@@ -1,15 +1,19 @@
 """Language-model scores from class-based bigrams: classes by exchange clustering, class transitions, word emissions.
 
-Method: every word belongs to a symbol: the `WORDS` most frequent training words are symbols of their own, all others share the
+Method: clustering starts on symbols: the `WORDS` most frequent training words are symbols of their own, all others share the
 symbols of their endings. Spark counts all symbol pairs of the training texts (at most the square of the number of symbols,
 whatever the input). Exchange clustering moves one symbol at a time to the class that raises the likelihood of the class
-bigrams most, until a sweep moves none. A text then has the probability of its class transitions, smoothed towards the class
+bigrams most, until a sweep moves none. Then every other training word leaves its ending: Spark sums the classes before and
+after it (one row per word and class), and the word moves to the class that raises the likelihood most, each word measured
+against the same class table. So every training word has a class by its own contexts; only words that training never saw take
+the class of their ending. Classes grow with the square root of the number of different words. Transitions are counted anew
+with the classes of all words. A text then has the probability of its class transitions, smoothed towards the class
 frequencies, times that of its words in their classes, (c + 0.1) / (N_class + 0.1 (V_class + 1)), with counts over all
 training text.
 
-The base score and the emissions need the training count of every word of every text. The `COMMON` most frequent words travel
-as a broadcast of that bounded size; the counts of the others meet the texts in a join on the word's 64-bit hash, with one row per
-text and different word, and come back as one sum per text. Transitions and class terms need no join.
+Scores need the training count and the class of every word of every text. Those of the `COMMON` most frequent words travel as
+a broadcast of that bounded size; the others meet the texts in a join on the word's 64-bit hash, with one row per text, word and
+classes beside it, and come back as one sum per text. Two neighbours that are both not broadcast are a row that meets the table twice.
 
 Odd input: null and empty texts are the end token alone; a row without doc_id is held out; repeated rows count and are
 returned each; if nothing is left to train on, counts are zero and both formulas still hold; an empty table gives no rows;
@@ -19,21 +23,23 @@ further columns are not read. Words are told apart by a 64-bit hash.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.tables import read_table, saved
 from lectern.llm.words import BYTE_CODE, run_hashes, slices, words_of
 
-#: Frequent words that are symbols of their own; symbols that the others share by their endings.
+#: Frequent words that are symbols of their own when clustering starts; symbols that the others share by their endings then.
 WORDS, ENDINGS = 768, 255
 ENDING_BYTES = 3
-CLASSES = 64
-SWEEPS = 8
-#: Frequent words whose counts are broadcast.
+#: Classes at least; beyond that, one for so many in the square root of the number of different words.
+CLASSES, ROOT = 64, 8
+#: Frequent words whose counts and classes are broadcast.
 COMMON = 131_072
 ADDED = 0.1
 #: Weight of the class frequencies in a transition.
@@ -123,7 +129,49 @@ def _pairs(frequent, size: int):
     return run
 
 
-def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
+def x_log_x(x):
+    return x * np.log(np.maximum(x, 1))
+
+
+def put(table: np.ndarray, logs: np.ndarray, k: int, after: np.ndarray, before: np.ndarray, loop: float, sign: int) -> None:
+    """Add (sign 1) or take away (sign -1) the pairs of a symbol of class k; logs: x_log_x of the table."""
+    table[k] += sign * after
+    table[:, k] += sign * before
+    table[k, k] += sign * loop
+    logs[k] = x_log_x(table[k])
+    logs[:, k] = x_log_x(table[:, k])
+
+
+def best_class(table: np.ndarray, logs: np.ndarray, own: int, after: np.ndarray, before: np.ndarray, loop: float, least: float, among=slice(None)) -> int:
+    """The class in which a symbol raises the likelihood most, `own` unless another (of `among`) gains more than `least`.
+
+    The symbol's pairs are not in the table; after, before: its pairs with others by class; loop: those with itself.
+    """
+    to, since = np.flatnonzero(after), np.flatnonzero(before)
+    diagonal = np.diag(table)
+    gain = (x_log_x(table[:, to] + after[to]) - logs[:, to]).sum(axis=1) + (x_log_x(table[since] + before[since, None]) - logs[since]).sum(axis=0)
+    gain += x_log_x(diagonal + after + before + loop) - x_log_x(diagonal + after) - x_log_x(diagonal + before) + np.diag(logs)
+    out, into = table.sum(axis=1), table.sum(axis=0)
+    gain -= x_log_x(out + after.sum() + loop) - x_log_x(out) + x_log_x(into + before.sum() + loop) - x_log_x(into)
+    classes = np.arange(len(table) - 1)[among]
+    best = int(classes[gain[classes].argmax()])
+    return best if gain[best] > gain[own] + least else own
+
+
+def least_gain(total: float) -> float:
+    """Gains below are rounding."""
+    return 1e-9 + 1e-12 * float(x_log_x(total))
+
+
+def class_table(pairs: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """How often a symbol of one class follows one of another."""
+    width = int(group[-1]) + 1
+    table = np.zeros((width, width))
+    np.add.at(table, (group[:, None], group[None, :]), pairs)
+    return table
+
+
+def exchange(pairs: np.ndarray, classes: int) -> np.ndarray:
     """Class of every symbol. pairs[a, b]: how often b follows a; the last symbol, the end, stays alone in the last class."""
     size = len(pairs)
     classes = max(1, min(classes, size - 1))
@@ -132,13 +180,9 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarra
     by_weight = np.argsort(-weight[:-1], kind="stable")
     group[by_weight] = np.arange(size - 1) % classes
     group[-1] = classes
-    table = np.zeros((classes + 1, classes + 1))
-    np.add.at(table, (group[:, None], group[None, :]), pairs)
-
-    def x_log_x(x):
-        return x * np.log(np.maximum(x, 1))
-
-    for _ in range(sweeps):
+    table, least, moves = class_table(pairs, group), least_gain(pairs.sum()), 1
+    logs = x_log_x(table)
+    while moves:
         moves = 0
         for s in by_weight:
             if not weight[s]:
@@ -148,36 +192,170 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarra
             own, loop = group[s], pairs[s, s]
             after[own] -= loop
             before[own] -= loop
-            table[own] -= after
-            table[:, own] -= before
-            table[own, own] -= loop
-            # what the likelihood gains if s joins class k, for every k
-            rows = x_log_x(table + after) - x_log_x(table)
-            columns = x_log_x(table + before[:, None]) - x_log_x(table)
-            diagonal = np.diag(table)
-            gain = rows.sum(axis=1) + columns.sum(axis=0) - np.diag(rows) - np.diag(columns)
-            gain += x_log_x(diagonal + after + before + loop) - x_log_x(diagonal)
-            out, into = table.sum(axis=1), table.sum(axis=0)
-            gain -= x_log_x(out + after.sum() + loop) - x_log_x(out) + x_log_x(into + before.sum() + loop) - x_log_x(into)
-            best = int(gain[:-1].argmax())
-            if gain[best] <= gain[own] + 1e-9:
-                best = own
-            moves += best != own
-            group[s] = best
-            table[best] += after
-            table[:, best] += before
-            table[best, best] += loop
-        if not moves:
-            break
+            put(table, logs, own, after, before, loop, -1)
+            group[s] = best_class(table, logs, own, after, before, loop, least)
+            moves += group[s] != own
+            put(table, logs, group[s], after, before, loop, 1)
     return group
 
 
+def _contexts(shared):
+    """(word, class before | width + class after | 2 width for the word itself, number) of the words without a symbol of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, group, table = shared.value
+        width = len(table)
+        parts: list[tuple] = []
+
+        def merged():
+            h, k, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
+            order = np.lexsort((k, h))
+            h, k, n = h[order], k[order], n[order]
+            first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (k[1:] != k[:-1]))) if len(h) else np.empty(0, np.int64)
+            return h[first], k[first], np.add.reduceat(n, first) if len(h) else n
+
+        def sent(rows):
+            return pa.RecordBatch.from_arrays([pa.array(rows[0].view(np.int64)), pa.array(rows[1].astype(np.int32)), pa.array(rows[2])], ["h", "k", "n"])
+
+        for batch in slices(batches):
+            words, different, ending, place = hashed(batch.column("text"))
+            symbol = symbols(different, ending, frequent)
+            of = np.append(group[symbol], width - 1)
+            open_ = np.append(symbol >= len(frequent), False)
+            _, before, now = chained(place, words.first, -1)
+            at, since = open_[now], open_[before] & (before != now)
+            k = np.where(before == now, 2 * width, of[before])[at]
+            pair = np.concatenate([now[at] * (2 * width + 1) + k, before[since] * (2 * width + 1) + width + of[now[since]]])
+            pair, n = np.unique(pair, return_counts=True)
+            parts.append((different[pair // (2 * width + 1)], pair % (2 * width + 1), n.astype(np.int64)))
+            if sum(len(p[0]) for p in parts) > 2 * GATHER:
+                parts = [merged()]
+                if len(parts[0][0]) > GATHER:
+                    yield sent(parts.pop())
+        if parts:
+            yield sent(merged())
+
+    return run
+
+
+def _classed(shared):
+    """(word, count, class): every word without a symbol of its own leaves the class of its ending for its best one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, group, table = shared.value
+        table, width, least = table.copy(), len(table), least_gain(table.sum())
+        logs = x_log_x(table)
+        # an empty class would take in words that have nothing in common
+        used = np.flatnonzero(table.sum(axis=0)[:-1])
+        for batch in batches:
+            symbol = symbols(batch.column("h").to_numpy().view(np.uint64), batch.column("ending").to_numpy().astype(np.int64), frequent)
+            classes = group[symbol].astype(np.int32)
+            seen = batch.column("seen")
+            size = pc.fill_null(pc.list_value_length(seen), 0).to_numpy()
+            k, n = (seen.flatten().field(i).to_numpy() for i in range(2))
+            end = np.cumsum(size)
+            for i in np.flatnonzero(symbol >= len(frequent)):
+                counted = np.bincount(k[end[i] - size[i] : end[i]], weights=n[end[i] - size[i] : end[i]], minlength=2 * width + 1)
+                before, after, loop = counted[:width], counted[width:-1], counted[-1]
+                own = int(classes[i])
+                put(table, logs, own, after, before, loop, -1)
+                classes[i] = best_class(table, logs, own, after, before, loop, least, used)
+                put(table, logs, own, after, before, loop, 1)
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("n"), pa.array(classes)], ["h", "n", "class"])
+
+    return run
+
+
 class Model:
-    """What a task needs to score: bounded tables only."""
+    """What a task needs to know of words: bounded tables only."""
+
+    def __init__(self, common, counts, classes, frequent, group):
+        self.common, self.counts, self.classes, self.frequent, self.group = common, counts, classes, frequent, group
+        self.width = int(group[-1]) + 1
+        self.value = self.end_count = None
+
+    def of(self, different: np.ndarray, ending: np.ndarray):
+        """(whether it is here, its count, its class or else that of its ending) of every word."""
+        at, here = looked_up(self.common, different)
+        by_ending = self.group[symbols(different, ending, self.frequent)]
+        if not len(self.common):
+            return here, np.zeros(len(different), np.int64), by_ending
+        return here, np.where(here, self.counts[at], 0), np.where(here, self.classes[at], by_ending)
+
+
+def linked(words, place: np.ndarray, here: np.ndarray, classes: np.ndarray, end: int):
+    """Pairs of neighbours, by what is known of them.
+
+    (text, class, class) if both are here; (text, word, class before, class after, times) of the words that are not, with -1
+    for a neighbour that is not either; (text, word, word, times) of two such neighbours.
+    """
+    row, before, now = chained(place, words.first, -1)
+    known, of = np.append(here, True), np.append(classes, end)
+    left, right = known[before], known[now]
+    sure = left & right
+    at = np.flatnonzero(~right)
+    sides = end + 2
+    beside = np.where(left[at], of[before[at]], -1) + 1, np.where(right[at + 1], of[now[at + 1]], -1) + 1
+    many = max(1, len(here))
+    alone, times = np.unique(((row[at].astype(np.int64) * many + now[at]) * sides + beside[0]) * sides + beside[1], return_counts=True)
+    word = alone // sides**2
+    alone = word // many, word % many, alone // sides % sides - 1, alone % sides - 1, times
+    both = np.flatnonzero(~left & ~right)
+    # a place of the word before, then of the word: texts apart
+    order = np.lexsort((now[both], before[both], row[both]))
+    both = both[order]
+    first = np.flatnonzero(np.append(True, (np.diff(row[both]) != 0) | (np.diff(before[both]) != 0) | (np.diff(now[both]) != 0))) if len(both) else both
+    two = row[both[first]], before[both[first]], now[both[first]], np.diff(np.append(first, len(both)))
+    return (row[sure], of[before[sure]], of[now[sure]]), alone, two
+
+
+LINKS = "h long, h2 long, n int, before int, after int, class int, class2 int"
+
+
+def link_columns(different: np.ndarray, classes: np.ndarray, alone, two) -> list[pa.Array]:
+    """Columns of LINKS, and the text of each row; class, class2: what holds for words that training never saw."""
+    words = np.concatenate([alone[1], two[1]])
+    none, gap = np.full(len(two[0]), -1), pa.nulls(len(alone[0]), pa.int64())
+    second = pa.concat_arrays([gap, pa.array(different[two[2]].view(np.int64))])
+    numbers = np.concatenate([alone[4], two[3]]), np.concatenate([alone[2], none]), np.concatenate([alone[3], none]), classes[words], np.concatenate([np.full(len(alone[0]), -1), classes[two[2]]])
+    return [pa.array(different[words].view(np.int64)), second, *(pa.array(c.astype(np.int32)) for c in numbers)]
+
+
+def met(links: DataFrame, words: DataFrame, *kept: str) -> DataFrame:
+    """(kept, n, count, class before, class after) of every pair that a task could not know: each pair once, a word's count on one row.
+
+    Columns: n, word (times its count is to be used), c (its count or null), a, b (classes).
+    """
+    found = words.select("h", F.col("n").alias("c"), F.col("class").alias("of"))
+    one = links.filter("h2 IS NULL").join(found, "h", "left").withColumn("class", F.coalesce("of", "class"))
+    one = one.select(*kept, "n", "c", F.posexplode(F.array(
+        F.struct(F.col("before").alias("a"), F.col("class").alias("b")), F.struct(F.col("class").alias("a"), F.col("after").alias("b")))))
+    one = one.select(*kept, "n", F.when(F.col("pos") == 0, F.col("n")).alias("word"), "c", "col.a", "col.b")
+    two = links.filter("h2 IS NOT NULL").join(found.drop("c"), "h", "left").select(*kept, "n", F.coalesce("of", "class").alias("a"), F.col("h2").alias("h"), "class2")
+    two = two.join(found.drop("c"), "h", "left").select(*kept, "n", F.lit(None).cast("int").alias("word"), F.lit(None).cast("long").alias("c"), "a", F.coalesce("of", "class2").alias("b"))
+    return one.union(two)
+
+
+def _class_pairs(shared):
+    """Links of words that are not broadcast; the others are counted here, as rows with the number of the pair in h2 and no h."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        width = model.width
+        total = np.zeros(width * width, dtype=np.int64)
+        names = [c.split()[0] for c in LINKS.split(", ")] + ["pairs"]
+        for batch in slices(batches):
+            words, different, ending, place = hashed(batch.column("text"))
+            here, _, classes = model.of(different, ending)
+            (_, before, now), alone, two = linked(words, place, here, classes, width - 1)
+            total += np.bincount(before * width + now, minlength=width * width)
+            columns = link_columns(different, classes, alone, two)
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(columns[0]), pa.int64())], names)
+        at = np.flatnonzero(total)
+        empty = [pa.nulls(len(at), pa.int32())] * 5
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.int64()), pa.array(at), *empty, pa.array(total[at])], names)
 
-    def __init__(self, common, counts, frequent, group, transition, class_term, end_count):
-        self.common, self.counts, self.frequent, self.group = common, counts, frequent, group
-        self.transition, self.class_term, self.end_count = transition, class_term, end_count
+    return run
 
 
 def frequent_words(counts: DataFrame, most: int) -> DataFrame:
@@ -193,75 +371,72 @@ def frequent_words(counts: DataFrame, most: int) -> DataFrame:
 
 
 def train(docs: DataFrame):
-    """(model, counts table (h, n, ending), training tokens N, different tokens V)."""
+    """(model, words table (h, n, class), training tokens N, different tokens V)."""
     spark = docs.sparkSession
     learned = docs.filter(~held_out(F.col("doc_id"))).select("text")
     counts = learned.mapInArrow(_counted, "h long, n long, ending int").groupBy("h").agg(F.sum("n").alias("n"), F.first("ending").alias("ending"))
     counts = saved(counts, "word-counts")
-    by_ending = {r["ending"]: r["words"] for r in counts.groupBy("ending").agg(F.count(F.lit(1)).alias("words")).collect()}
-    n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    kinds, n_words = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     top = frequent_words(counts, COMMON).toArrow()
-    h, n, ending = (top.column(c).to_numpy() for c in ("h", "n", "ending"))
-    by_count = np.lexsort((h, -n))
-    h, n, ending = h[by_count], n[by_count], ending[by_count]
-    own = h[:WORDS].view(np.uint64)
-    frequent = np.sort(own)
+    h, n = (top.column(c).to_numpy() for c in ("h", "n"))
+    frequent = np.sort(h[np.lexsort((h, -n))][:WORDS].view(np.uint64))
     size = len(frequent) + ENDINGS + 1
     found = learned.mapInArrow(_pairs(spark.sparkContext.broadcast(frequent), size), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     pairs = np.zeros(size * size)
     pairs[found.column("pair").to_numpy()] = found.column("n").to_numpy()
     pairs = pairs.reshape(size, size)
-    group = exchange(pairs, CLASSES)
-    width = int(group[-1]) + 1
-    table = np.zeros((width, width))
-    np.add.at(table, (group[:, None], group[None, :]), pairs)
+    group = exchange(pairs, max(CLASSES, isqrt(kinds) // ROOT))
+    start = spark.sparkContext.broadcast((frequent, group, class_table(pairs, group)))
+    seen = learned.mapInArrow(_contexts(start), "h long, k int, n long").repartition("h").groupBy("h", "k").agg(F.sum("n").alias("n"))
+    seen = seen.groupBy("h").agg(F.collect_list(F.struct("k", "n")).alias("seen"))
+    words = saved(counts.join(seen, "h", "left").mapInArrow(_classed(start), "h long, n long, class int"), "word-classes")
+    top = frequent_words(words, COMMON).toArrow()
+    h, n, classes = (top.column(c).to_numpy() for c in ("h", "n", "class"))
+    order = np.argsort(h.view(np.uint64))
+    model = Model(h.view(np.uint64)[order], n[order], classes[order].astype(np.int64), frequent, group)
+    # transitions between the classes of all words
+    width = model.width
+    links = saved(learned.mapInArrow(_class_pairs(spark.sparkContext.broadcast(model)), LINKS + ", pairs long"), "class-links")
+    rest = met(links.filter("h IS NOT NULL"), words).filter("a >= 0 AND b >= 0").select((F.col("a").cast("long") * width + F.col("b")).alias("pair"), F.col("n").cast("long").alias("n"))
+    sums = links.filter("h IS NULL").select(F.col("h2").alias("pair"), F.col("pairs").alias("n")).union(rest).groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(width * width)
+    table[sums.column("pair").to_numpy()] = sums.column("n").to_numpy()
+    table = table.reshape(width, width)
     mass = table.sum(axis=0) + ADDED
     transition = np.log10((table + PRIOR * mass / mass.sum()) / (table.sum(axis=1, keepdims=True) + PRIOR))
-    # different training words of each symbol, then of each class
-    kinds = np.zeros(size)
-    kinds[: len(frequent)] = 1
-    for e, words in by_ending.items():
-        kinds[len(frequent) + e] = words
-    np.subtract.at(kinds, len(frequent) + ending[:WORDS].astype(np.int64), 1)
-    different = np.bincount(group, weights=kinds, minlength=width)
+    different = np.zeros(width)
+    for r in words.groupBy("class").agg(F.count(F.lit(1)).alias("words")).collect():
+        different[r["class"]] = r["words"]
     class_term = np.log10(table.sum(axis=0) + ADDED * (different + 1))
-    texts = int(pairs[:, -1].sum())
+    texts = int(table[:, -1].sum())
     # the end is the only word of its class: log10((c + 0.1) / (c + 0.1)) = 0
     class_term[-1] = np.log10(texts + ADDED)
-    order = np.argsort(h.view(np.uint64))
-    model = Model(h.view(np.uint64)[order], n[order], frequent, group, transition, class_term, texts)
-    return model, counts, int(n_words) + texts, sum(by_ending.values()) + (1 if texts else 0)
+    model.value, model.end_count = transition - class_term, texts
+    return model, words, int(n_words) + texts, kinds + (1 if texts else 0)
 
 
 def _terms(shared):
-    """Per text one row with all that is known here, and one row per different word whose count is not."""
+    """Per text one row with all that is known here, and the links of its words that are not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        size = len(model.group)
         end_log = np.log10(model.end_count + ADDED)
+        names = ["rid", *(c.split()[0] for c in LINKS.split(", ")), "own"]
         for batch in slices(batches):
             words, different, ending, place = hashed(batch.column("text"))
-            group = model.group[symbols(different, ending, model.frequent)]
-            row, before, now = chained(np.arange(len(place)), words.first, -1)
-            of = np.append(group[place], size and model.group[-1])
-            value = model.transition[of[before], of[now]] - model.class_term[of[now]]
+            here, count, classes = model.of(different, ending)
             n = batch.num_rows
-            rest = np.bincount(row, weights=value, minlength=n)
-            at, here = looked_up(model.common, different)
-            count = np.where(here, model.counts[at] if len(model.counts) else 0, 0)
+            (row, before, now), alone, two = linked(words, place, here, classes, model.width - 1)
+            rest = np.bincount(row, weights=model.value[before, now], minlength=n).astype(float)
             text, here_word = words.row_of(), here[place]
             log = np.bincount(text, weights=np.where(here_word, np.log10(count[place] + ADDED), 0), minlength=n) + end_log
             known = np.bincount(text, weights=here_word, minlength=n).astype(np.int64) + (model.end_count > 0)
             tokens = np.diff(words.first) + 1
-            rare = np.flatnonzero(~here_word)
-            pair, times = np.unique(text[rare].astype(np.int64) * max(1, len(different)) + place[rare], return_counts=True)
-            doc, word = pair // max(1, len(different)), pair % max(1, len(different))
             rid = batch.column("__rid").to_numpy()
             own = pa.StructArray.from_arrays([batch.column("doc_id"), pa.array(tokens.astype(np.int64)), pa.array(known), pa.array(log), pa.array(rest)], ["doc_id", "tokens", "known", "log", "rest"])
-            # a text's own row gets its id as word: it spreads, and what it may meet there is not used
-            yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(rid), pa.array(np.ones(n, np.int32)), own], ["rid", "h", "n", "own"])
-            yield pa.RecordBatch.from_arrays([pa.array(rid[doc]), pa.array(different[word].view(np.int64)), pa.array(times.astype(np.int32)), pa.nulls(len(doc), own.type)], ["rid", "h", "n", "own"])
+            yield pa.RecordBatch.from_arrays([pa.array(rid), *[pa.nulls(n, pa.int64())] * 2, *[pa.nulls(n, pa.int32())] * 5, own], names)
+            columns = link_columns(different, classes, alone, two)
+            yield pa.RecordBatch.from_arrays([pa.array(rid[np.concatenate([alone[0], two[0]])]), *columns, pa.nulls(len(columns[0]), own.type)], names)
 
     return run
 
@@ -272,18 +447,26 @@ OWN = "struct<doc_id:bigint,tokens:bigint,known:bigint,log:double,rest:double>"
 def scored(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark = docs.sparkSession
-    model, counts, total, kinds = train(docs)
+    model, words, total, kinds = train(docs)
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("__rid"))
-    terms = rows.mapInArrow(_terms(spark.sparkContext.broadcast(model)), f"rid long, h long, n int, own {OWN}")
-    met = terms.join(counts.select("h", F.col("n").alias("c")), "h", "left")
-    word = F.when(F.col("own").isNull(), F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + ADDED))
-    seen = F.when(F.col("own").isNull() & F.col("c").isNotNull(), F.col("n").cast("long"))
-    summed = met.groupBy("rid").agg(
+    terms = saved(rows.mapInArrow(_terms(spark.sparkContext.broadcast(model)), f"rid long, {LINKS}, own {OWN}"), "terms")
+    width = model.width
+    steps = spark.createDataFrame(pa.table({"step": np.arange(width * width), "value": model.value.reshape(-1)}))
+    rare = met(terms.filter("h IS NOT NULL").drop("own"), words, "rid")
+    # a neighbour that is not here either is -1: that pair has a row of its own
+    step = F.when((F.col("a") >= 0) & (F.col("b") >= 0), F.col("a").cast("long") * width + F.col("b"))
+    rare = rare.withColumn("step", step).join(F.broadcast(steps), "step", "left").select(
+        "rid", F.lit(None).cast(OWN).alias("own"),
+        F.when(F.col("c").isNotNull(), F.col("word").cast("long")).alias("known"),
+        (F.col("word") * F.log10(F.coalesce("c", F.lit(0)) + ADDED)).alias("log"), (F.col("n") * F.col("value")).alias("rest"),
+    )
+    own = terms.filter("own IS NOT NULL").select("rid", "own", "own.known", "own.log", "own.rest")
+    summed = own.union(rare).groupBy("rid").agg(
         F.max("own.doc_id").alias("doc_id"), F.count("own").alias("copies"), F.max("own.tokens").alias("n_tokens"),
-        (F.sum(F.coalesce("own.known", seen, F.lit(0)))).alias("known"), F.sum(F.coalesce("own.log", word)).alias("log"), F.max("own.rest").alias("rest"),
+        F.sum(F.coalesce("known", F.lit(0))).alias("known"), F.sum("log").alias("log"), F.sum("rest").alias("rest"),
     )
     # equal rows were summed together
-    out = summed.withColumn("log", F.col("log") / F.col("copies")).withColumn("n_known", F.expr("known div copies"))
+    out = summed.withColumn("log", F.col("log") / F.col("copies")).withColumn("rest", F.col("rest") / F.col("copies")).withColumn("n_known", F.expr("known div copies"))
     out = out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return out.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),

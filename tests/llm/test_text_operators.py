@@ -193,6 +193,33 @@ def test_common_words_and_joined_words_score_alike(odd_docs, monkeypatch):
     assert {(r["doc_id"], r["n_tokens"]): (r["n_known"], round(r["base_score"], 6)) for r in class_lm.scored(odd_docs).collect()} == whole
 
 
+def scores_of(docs):
+    return sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in class_lm.scored(docs).collect())
+
+
+def test_words_of_one_ending_are_classed_by_their_contexts(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    sides = [("aa", "bb", [f"l{i}xyz" for i in range(60)]), ("cc", "dd", [f"r{i}xyz" for i in range(60)])]
+    rows = []
+    for i in range(400):
+        before, after, names = sides[i % 2]
+        rows.append((i, " ".join(f"{before} {rng.choice(names)} {after}" for _ in range(30))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").cache()
+    monkeypatch.setattr(class_lm, "WORDS", 24)
+    _, words, _, _ = class_lm.train(docs)
+    of = {r["h"]: r["class"] for r in words.collect()}
+    found = [{of[int(class_lm.hashed(pa.array([w]))[1].view(np.int64)[0])] for w in names} for _, _, names in sides]
+    assert not found[0] & found[1]
+
+
+def test_scores_do_not_depend_on_what_is_broadcast(odd_docs, monkeypatch):
+    monkeypatch.setattr(class_lm, "WORDS", 0)
+    whole = scores_of(odd_docs)
+    for common in (60, 0):
+        monkeypatch.setattr(class_lm, "COMMON", common)
+        assert scores_of(odd_docs) == whole
+
+
 def test_exchange_separates_two_languages():
     pairs_ = np.zeros((9, 9))
     for group in (range(4), range(4, 8)):
