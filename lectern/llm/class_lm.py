@@ -180,13 +180,13 @@ def exchange(pairs: np.ndarray, classes: int) -> np.ndarray:
     by_weight = np.argsort(-weight[:-1], kind="stable")
     group[by_weight] = np.arange(size - 1) % classes
     group[-1] = classes
-    table, least, moves = class_table(pairs, group), least_gain(pairs.sum()), 1
+    table, least = class_table(pairs, group), least_gain(pairs.sum())
     logs = x_log_x(table)
-    while moves:
-        moves = 0
-        for s in by_weight:
-            if not weight[s]:
-                continue
+
+    def sweep(asked: np.ndarray) -> np.ndarray:
+        """Those of the asked symbols that moved."""
+        moved = []
+        for s in asked:
             after = np.bincount(group, weights=pairs[s], minlength=classes + 1)
             before = np.bincount(group, weights=pairs[:, s], minlength=classes + 1)
             own, loop = group[s], pairs[s, s]
@@ -194,8 +194,16 @@ def exchange(pairs: np.ndarray, classes: int) -> np.ndarray:
             before[own] -= loop
             put(table, logs, own, after, before, loop, -1)
             group[s] = best_class(table, logs, own, after, before, loop, least)
-            moves += group[s] != own
+            if group[s] != own:
+                moved.append(s)
             put(table, logs, group[s], after, before, loop, 1)
+        return np.array(moved, dtype=np.int64)
+
+    # symbols that just moved are asked again until they rest; it ends when none of all symbols moves
+    every = by_weight[weight[by_weight] > 0]
+    while len(moved := sweep(every)):
+        while len(moved):
+            moved = sweep(moved)
     return group
 
 
