@@ -385,9 +385,8 @@ def train(docs: DataFrame):
     counts = learned.mapInArrow(_counted, "h long, n long, ending int").groupBy("h").agg(F.sum("n").alias("n"), F.first("ending").alias("ending"))
     counts = saved(counts, "word-counts")
     kinds, n_words = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    top = frequent_words(counts, COMMON).toArrow()
-    h, n = (top.column(c).to_numpy() for c in ("h", "n"))
-    frequent = np.sort(h[np.lexsort((h, -n))][:WORDS].view(np.uint64))
+    own = counts.orderBy(F.col("n").desc(), "h").limit(WORDS).select("h").toArrow().column("h").to_numpy()
+    frequent = np.sort(own.view(np.uint64))
     size = len(frequent) + ENDINGS + 1
     found = learned.mapInArrow(_pairs(spark.sparkContext.broadcast(frequent), size), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     pairs = np.zeros(size * size)

@@ -220,6 +220,14 @@ def test_scores_do_not_depend_on_what_is_broadcast(odd_docs, monkeypatch):
         assert scores_of(odd_docs) == whole
 
 
+def test_a_flat_vocabulary_keeps_its_own_words(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"f{i}x{j}" for j in range(20))) for i in range(20)], "doc_id long, text string")
+    monkeypatch.setattr(class_lm, "WORDS", 5)
+    monkeypatch.setattr(class_lm, "COMMON", 50)
+    model = class_lm.train(docs)[0]
+    assert len(model.frequent) == 5 and len(model.common) == 0
+
+
 def test_exchange_separates_two_languages():
     pairs_ = np.zeros((9, 9))
     for group in (range(4), range(4, 8)):
