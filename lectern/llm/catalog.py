@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import best_two_fit, class_lm, fm_dedup, gray_simhash, line_dedup, mih_search, piece_codec, posting_lists, toxicity, zstd_quality
+from lectern.llm import (
+    best_two_fit,
+    class_lm,
+    fm_dedup,
+    gray_simhash,
+    lexicon_codec,
+    line_dedup,
+    mih_search,
+    piece_codec,
+    posting_lists,
+    toxicity,
+    zstd_quality,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_dedup.query,
@@ -19,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fm_dedup": fm_dedup.query,
     "op9_best_two_fit": best_two_fit.query,
     "op10_mih_search": mih_search.query,
+    "op11_lexicon_codec": lexicon_codec.query,
 }
 
 SQL: dict[str, str] = {
