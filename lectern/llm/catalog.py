@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lectern.llm import (
+    ball_search,
     best_two_fit,
     class_lm,
     fm_dedup,
@@ -32,9 +33,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_two_fit": best_two_fit.query,
     "op10_mih_search": mih_search.query,
     "op11_lexicon_codec": lexicon_codec.query,
+    "op12_ball_search": ball_search.query,
 }
 
 SQL: dict[str, str] = {
     "op1_line_dedup": line_dedup.SQL,
     "op10_mih_search": mih_search.SQL,
+    "op12_ball_search": ball_search.SQL,
 }
