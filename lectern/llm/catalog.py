@@ -10,6 +10,7 @@ from lectern.llm import (
     ball_search,
     best_two_fit,
     class_lm,
+    conversation_repair,
     fm_dedup,
     gray_simhash,
     lexicon_codec,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mih_search": mih_search.query,
     "op11_lexicon_codec": lexicon_codec.query,
     "op12_ball_search": ball_search.query,
+    "op13_conversation_repair": conversation_repair.query,
 }
 
 SQL: dict[str, str] = {
