@@ -4,12 +4,12 @@ Score of a document for an item: the sum over the item's terms of w * ((10000000
 numbers. With y[t] = w[t] * (...) as a document's vector, the score is the inner product of y with the 0/1 vector q of the item.
 
 Method: one pass turns texts into sparse counts of the items' terms and document lengths; a second aggregates the statistics.
-Each task gathers documents into trees of at most `TREE` documents: a node holds a whole-number centroid c and a radius r that no
-document's distance exceeds, and is halved between its two far ends. <q, y> is at most <q, c> + |q| * r; <q, c> is exact, since
-its parts are whole numbers below 2**53, and r and the product are rounded up, so the bound is safe. A search opens nodes by
-descending bound and stops when the best bound is below the k-th score; leaves are scored in 64-bit whole numbers. The
-trees are written once and searched twice: first two leaves per item and tree, whose scores give every item a proven k-th score over
-the whole table; then all trees against it, where most of them end at their root.
+Each task gathers documents into trees of at most `TREE` documents: a node holds a whole-number centroid c, a radius r that no
+document's distance exceeds, and a radius per term, and is halved between its two far ends. <q, y> is at most <q, c> + |q| * r, and
+at most the sum of c[t] + r[t] over the item's terms; the search takes the smaller. Sums of whole numbers below 2**53 are exact, and r and
+its product are rounded up, so both bounds are safe. A search opens nodes by descending bound and stops when the best bound
+is below the k-th score; leaves are scored in 64-bit whole numbers. The trees are written once and searched twice: first two
+leaves per item and tree, whose scores give every item a proven k-th score over the whole table; then all trees against it.
 
 Bounds: a tree lives in one task; items pass in blocks of at most `BLOCK` terms, which bounds what is broadcast.
 What leaves a task is at most k rows an item.
@@ -42,8 +42,8 @@ NO_TERM[128:] = NO_TERM[48:58] = NO_TERM[65:91] = NO_TERM[97:123] = False
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOP = 10
 #: Documents of a tree, and of a leaf.
-TREE = 4096
-LEAF = 32
+TREE = 8192
+LEAF = 16
 #: (item, term) pairs handled together.
 BLOCK = 20_000
 #: Leaves that the first search opens per item and tree.
@@ -53,7 +53,7 @@ SLACK = 1e-9
 VECTORS = "doc_id long, n long, term array<int>, tf array<int>"
 TREES = (
     "doc_id array<long>, first array<int>, term array<int>, y array<long>, lo array<int>, hi array<int>, "
-    "child array<int>, radius array<double>, c_first array<int>, c_term array<int>, c array<double>"
+    "child array<int>, radius array<double>, c_term array<int>, c_node array<int>, c array<double>, reach array<double>"
 )
 FOUND = "item int, doc_id long, score long"
 
@@ -122,11 +122,12 @@ def weights(vectors: DataFrame, terms: int) -> tuple[int, int, np.ndarray]:
 class Tree:
     """Sparse rows (row i has the entries first[i] .. first[i + 1]) and the balls around them, in preorder.
 
-    Node i covers the rows lo[i] .. hi[i]; its first child is i + 1 and its second child[i]; leaves have child -1.
+    Node i covers the rows lo[i] .. hi[i]; its first child is i + 1 and its second child[i]; leaves have child -1. Centroids lie
+    by term: c is that of c_node at c_term, and no row there is above c + reach.
     """
 
     FIELDS = {"doc_id": pa.int64(), "first": pa.int32(), "term": pa.int32(), "y": pa.int64(), "lo": pa.int32(), "hi": pa.int32()} | {
-        "child": pa.int32(), "radius": pa.float64(), "c_first": pa.int32(), "c_term": pa.int32(), "c": pa.float64()
+        "child": pa.int32(), "radius": pa.float64(), "c_term": pa.int32(), "c_node": pa.int32(), "c": pa.float64(), "reach": pa.float64()
     }
 
     def __init__(self, **fields: np.ndarray):
@@ -152,13 +153,18 @@ class Tree:
         def grow(a: int, b: int) -> None:
             me, rows = len(lo), order[a:b]
             at = expanded(first[rows], size[rows])
-            c = np.rint(np.bincount(term[at], value[at], terms) / len(rows))
-            square = float(c @ c)
+            by_term = at[np.argsort(term[at], kind="stable")]
+            begin = np.flatnonzero(np.diff(term[by_term], prepend=-1))
+            held = term[by_term[begin]]
+            mean = np.rint(np.add.reduceat(value[by_term], begin) / len(rows))
+            most = np.maximum.reduceat(value[by_term], begin)
+            c = np.zeros(terms)
+            c[held] = mean
+            square = float(mean @ mean)
             apart = np.maximum(norm[rows] - 2 * dots(rows, c) + square, 0.0)
             # the difference may lose digits of its parts, so the slack is relative to them
-            reach = float((apart + SLACK * (norm[rows] + square)).max())
-            filled = np.flatnonzero(c)
-            for column, x in zip((lo, hi, child, radius, centre), (a, b, -1, math.sqrt(reach) * (1 + SLACK), (filled, c[filled]))):
+            far_off = float((apart + SLACK * (norm[rows] + square)).max())
+            for column, x in zip((lo, hi, child, radius, centre), (a, b, -1, math.sqrt(far_off) * (1 + SLACK), (held, mean, most - mean))):
                 column.append(x)
             if b - a > leaf:
                 far = dense_row(rows[int(apart.argmax())])
@@ -170,6 +176,8 @@ class Tree:
 
         if len(size):
             grow(0, len(size))
+        held, mean, reach = (np.concatenate([x[i] for x in centre] or [np.empty(0)]) for i in range(3))
+        by_term = np.argsort(held, kind="stable")
         at = expanded(first[order], size[order])
         return cls(
             doc_id=doc_id[order],
@@ -180,11 +188,20 @@ class Tree:
             hi=np.array(hi, np.int64),
             child=np.array(child, np.int64),
             radius=np.array(radius, np.float64),
-            c_first=np.concatenate([[0], np.cumsum([len(t) for t, _ in centre])]).astype(np.int64),
-            c_term=np.concatenate([t for t, _ in centre] or [np.empty(0, np.int64)]),
-            c=np.concatenate([x for _, x in centre] or [np.empty(0)]),
+            c_term=held[by_term].astype(np.int64),
+            c_node=np.repeat(np.arange(len(centre)), [len(t) for t, _, _ in centre])[by_term],
+            c=mean[by_term],
+            reach=reach[by_term],
         )
 
+    def bounds(self, item: np.ndarray) -> np.ndarray:
+        """For every node a number that no row's score exceeds."""
+        begin = np.searchsorted(self.c_term, item)
+        at = expanded(begin, np.searchsorted(self.c_term, item, side="right") - begin)
+        node, c = self.c_node[at], self.c[at]
+        ball = np.bincount(node, c, len(self.lo)) + math.sqrt(len(item)) * self.radius * (1 + SLACK)
+        return np.minimum(ball * (1 + SLACK) + 1, np.bincount(node, c + self.reach[at], len(self.lo)))
+
     def search(self, item: np.ndarray, best: list[tuple[int, int]], least: int, most_leaves: int | None = None, k: int = TOP) -> int:
         """Add the rows that beat `least`, and the worst of `best` once it is full, to the heap `best`; returns the leaves opened.
 
@@ -192,11 +209,9 @@ class Tree:
         """
         if not len(self.lo) or not len(item):
             return 0
+        bound = self.bounds(item)
         asked = np.zeros(int(max(self.term.max(initial=0), item.max())) + 1, dtype=bool)
         asked[item] = True
-        part = np.concatenate([[0.0], np.cumsum(np.where(asked[np.minimum(self.c_term, len(asked) - 1)] & (self.c_term < len(asked)), self.c, 0.0))])
-        bound = part[self.c_first[1:]] - part[self.c_first[:-1]] + math.sqrt(len(item)) * self.radius * (1 + SLACK)
-        bound = bound * (1 + SLACK) + 1
         opened = 0
         queue = [(-float(bound[0]), 0)]
         while queue and opened != most_leaves:

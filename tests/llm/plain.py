@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 import xxhash
 
@@ -94,3 +95,63 @@ def near_groups(rows, bits=4):
     for p in codes:
         smallest[group[p]] = min(smallest.get(group[p], least[p]), least[p])
     return [(doc, p, smallest[group[p]] if p in group else None) for (doc, _), p in zip(rows, prints)]
+
+
+def damaged(rows):
+    """rows: (conv_id, turn, role, text); conversations after damage as {conv_id: [(turn, role, text)]}, each in its order."""
+    out = {}
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 1:
+            text = ""
+        elif kind == 2:
+            text = re.sub("[.!?]", "", text)
+        elif kind == 4:
+            role = "user"
+        out.setdefault(conv, []).extend([(turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1))
+    for listed in out.values():
+        listed.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2][:32].encode(), hashlib.md5(r[2].encode()).hexdigest()))
+    return out
+
+
+def repaired(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, digest) of one conversation, by search over rows and states."""
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    seen, fault = set(), []
+    for _, role, text in rows:
+        bare = text.strip(" \t\n\x0b\x0c\r")
+        fault.append("blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else "")
+        seen.add((role, text))
+    # states: e nothing yet, s, u, a; the best so far is (cost, audit, lines)
+    follow = {"e": "su", "s": "u", "u": "a", "a": "u"}
+    full = {"u": "user", "a": "assistant"}
+
+    def put(best, state, cost, audit, lines):
+        if state not in best or (cost, audit) < best[state][:2]:
+            best[state] = (cost, audit, lines)
+
+    def grown(best):
+        for _ in range(3):
+            for state, (cost, audit, lines) in list(best.items()):
+                for r in follow[state]:
+                    if r in full:
+                        put(best, r, cost + 2, audit + "I", lines + [f"{full[r]}:"])
+        return best
+
+    best = grown({"e": (0, "", [])})
+    for (_, role, text), f in zip(rows, fault):
+        after = {}
+        for state, (cost, audit, lines) in best.items():
+            put(after, state, cost + 3, audit + "D", lines)
+            if f not in ("blank", "duplicate"):
+                for r in follow[state]:
+                    if r == role[:1]:
+                        put(after, r, cost + (f == "truncated"), audit + "K", lines + [f"{role}:{text}"])
+                    if r in full:
+                        put(after, r, cost + 2 + (f == "truncated"), audit + "R", lines + [f"{full[r]}:{text}"])
+        best = grown(after)
+    cost, audit, lines = min((best[s] for s in "ea" if s in best), key=lambda x: x[:2])
+    return (gaps, fault.count("blank"), fault.count("duplicate"), fault.count("truncated"), illegal, cost, audit, sha("\n".join(lines)))
