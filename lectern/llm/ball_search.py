@@ -28,10 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.lexicon import expanded
+from lectern.llm.lexicon import expanded, packed, unpacked
 from lectern.llm.tables import read_table, saved
 from lectern.llm.words import BYTE_CODE, run_hashes, slices, words_of
 
@@ -51,10 +52,7 @@ FIRST_LEAVES = 2
 #: Relative slack of radii and bounds, far above the error of sums of this length in doubles.
 SLACK = 1e-9
 VECTORS = "doc_id long, n long, term array<int>, tf array<int>"
-TREES = (
-    "doc_id array<long>, first array<int>, term array<int>, y array<long>, lo array<int>, hi array<int>, "
-    "child array<int>, radius array<double>, c_term array<int>, c_node array<int>, c array<double>, reach array<double>"
-)
+TREES = "tree binary"
 FOUND = "item int, doc_id long, score long"
 
 
@@ -126,13 +124,18 @@ class Tree:
     by term: c is that of c_node at c_term, and no row there is above c + reach.
     """
 
-    FIELDS = {"doc_id": pa.int64(), "first": pa.int32(), "term": pa.int32(), "y": pa.int64(), "lo": pa.int32(), "hi": pa.int32()} | {
-        "child": pa.int32(), "radius": pa.float64(), "c_term": pa.int32(), "c_node": pa.int32(), "c": pa.float64(), "reach": pa.float64()
-    }
+    KINDS = {"doc_id": "i8", "first": "i4", "term": "i4", "y": "i8", "lo": "i4", "hi": "i4", "child": "i4", "radius": "f8", "c_term": "i4", "c_node": "i4", "c": "f8", "reach": "f8"}
 
     def __init__(self, **fields: np.ndarray):
         self.__dict__.update(fields)
 
+    def stored(self) -> bytes:
+        return zstandard.compress(packed({f: getattr(self, f).astype(kind) for f, kind in self.KINDS.items()}), 1)
+
+    @classmethod
+    def read(cls, data: bytes) -> Tree:
+        return cls(**unpacked(np.frombuffer(zstandard.decompress(data), np.uint8)))
+
     @classmethod
     def grown(cls, doc_id: np.ndarray, first: np.ndarray, term: np.ndarray, y: np.ndarray, terms: int, leaf: int = LEAF) -> Tree:
         size = np.diff(first)
@@ -250,8 +253,7 @@ def _trees(w: np.ndarray, docs: int, total: int, tree: int):
         n = batch.column("n").to_numpy(zero_copy_only=False)
         m = 10 + 90 * n * docs // total
         y = w[term] * (1_000_000_000 * tf // (1000 * tf + 8 * np.repeat(m, np.diff(first))))
-        grown = Tree.grown(doc_id, first, term, y, len(w))
-        return pa.RecordBatch.from_arrays([pa.array([getattr(grown, f)], pa.list_(kind)) for f, kind in Tree.FIELDS.items()], list(Tree.FIELDS))
+        return pa.RecordBatch.from_arrays([pa.array([Tree.grown(doc_id, first, term, y, len(w)).stored()], pa.binary())], ["tree"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -269,19 +271,18 @@ def _trees(w: np.ndarray, docs: int, total: int, tree: int):
 
 
 def build_trees(vectors: DataFrame, w: np.ndarray, docs: int, total: int, tree: int = TREE) -> DataFrame:
-    """One row per ball tree over the documents that hold any of the terms."""
+    """One row per ball tree over the documents that hold any of the terms; a task unpacks one at a time."""
     return vectors.filter(F.size("term") > 0).mapInArrow(_trees(w, docs, total, tree), TREES)
 
 
 def _search(items: list[np.ndarray], least: list[int], most_leaves: int | None, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[list[tuple[int, int]]] = [[] for _ in items]
-        opened = 0
         for batch in batches:
-            for i in range(batch.num_rows):
-                tree = Tree(**{f: batch.column(f)[i].values.to_numpy(zero_copy_only=False) for f in Tree.FIELDS})
+            for stored in batch.column("tree"):
+                tree = Tree.read(stored.as_py())
                 for item, heap, floor in zip(items, best, least):
-                    opened += tree.search(item, heap, floor, most_leaves, k)
+                    tree.search(item, heap, floor, most_leaves, k)
         rows = [(i, -d, s) for i, heap in enumerate(best) for s, d in heap]
         item, doc, score = zip(*rows) if rows else ((), (), ())
         doc = [None if d == NULL_ID else d for d in doc]

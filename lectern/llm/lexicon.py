@@ -109,16 +109,19 @@ def packed(arrays: dict[str, np.ndarray]) -> bytes:
     return len(head).to_bytes(8, "little") + head.ljust(start - 8) + bytes(body)
 
 
+def unpacked(data: np.ndarray) -> dict[str, np.ndarray]:
+    """The arrays in the bytes that `packed` made, without a copy."""
+    size = int.from_bytes(data[:8].tobytes(), "little")
+    start = -(-(8 + size) // ALIGN) * ALIGN
+    places = json.loads(data[8 : 8 + size].tobytes())
+    return {name: data[start + at : start + at + n * np.dtype(kind).itemsize].view(kind) for name, (kind, n, at) in places.items()}
+
+
 class Lexicon:
     """A transducer in a mapped file."""
 
     def __init__(self, file: str):
-        data = np.memmap(file, np.uint8, "r")
-        size = int.from_bytes(data[:8].tobytes(), "little")
-        start = -(-(8 + size) // ALIGN) * ALIGN
-        for name, (kind, count, at) in json.loads(data[8 : 8 + size].tobytes()).items():
-            dtype = np.dtype(kind)
-            setattr(self, name, data[start + at : start + at + count * dtype.itemsize].view(dtype))
+        self.__dict__.update(unpacked(np.memmap(file, np.uint8, "r")))
         self.root = len(self.ends) - 1
         # states are numbered after all states they lead to, so one pass from the first finds the longest way
         self.longest = self._longest()
