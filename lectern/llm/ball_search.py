@@ -43,7 +43,7 @@ NO_TERM[128:] = NO_TERM[48:58] = NO_TERM[65:91] = NO_TERM[97:123] = False
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOP = 10
 #: Documents of a tree, and of a leaf.
-TREE = 8192
+TREE = 2048
 LEAF = 16
 #: (item, term) pairs handled together.
 BLOCK = 20_000
