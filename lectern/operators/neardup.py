@@ -13,9 +13,12 @@ per row and task leaves the workers, and the work is done in three exact stages:
 2. sweeps: the first rows around a few sampled pivots are decided against the whole
    table and remove their groups, in linear passes. A near-copy group that holds a
    third of all rows is gone after one sweep;
-3. rounds of the two facts over the rest. Similar rows meet in pivot cells; a row is
-   also sent to a neighbouring cell when the cell border is within reach, which misses
-   nothing. Cells larger than a block are cut into sub-blocks that meet pairwise.
+3. rounds of the two facts over the rest. Similar rows meet in the leaves of a pivot
+   tree: a cell larger than a block is split among pivots of its own, level by level, so
+   the leaves follow the number of rows. A row is also copied to a neighbouring cell
+   when the plane between the two pivots is within reach, which misses nothing. A cell
+   that a split wouldn't make cheaper (most of its rows lie near every border) stays
+   whole; leaves larger than a block are cut into sub-blocks that meet pairwise.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern import constants as C
@@ -35,9 +38,17 @@ from lectern.session import cut_lineage
 
 PIVOTS = 256
 BLOCK_BYTES = 16 * 1024 * 1024
-MAX_CELLS = 1_024
+#: Pivots of one cell at most, and bytes of pivots that are broadcast together.
+FAN = 64
+PIVOT_BYTES = 32 * 1024 * 1024
+#: A split must save this share of a cell's comparisons.
+SAVES = 0.25
 SWEEP_SHARE = 0.05
+LEAST_BLOCK = 2
+#: Leaves larger than a block whose number of sub-blocks is broadcast.
+BROADCAST_LEAVES = 100_000
 _MARGIN = 1e-9
+NO_ID = np.iinfo(np.int64).max
 
 
 def _matrix(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -72,19 +83,24 @@ def _sweep(rows: DataFrame, t: float, pivots: int) -> tuple[DataFrame, DataFrame
     around = sc.broadcast(_matrix(sample))
 
     def first_near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per pivot the first row near it, with its vector."""
         pivot_ids, matrix = around.value
-        first = pivot_ids.copy()
+        first, own = pivot_ids.copy(), matrix.copy()
         for batch in batches:
             ids, v = batch.column(0).to_numpy().astype(np.int64), unit_rows(batch.column(1))
             for part in _tiles(len(ids), len(matrix)):
-                near = v[part] @ matrix.T > t
-                first = np.minimum(first, np.where(near, ids[part][:, None], first[None, :]).min(axis=0, initial=2**62))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(first))), pa.array(first)], names=["pivot", "id"])
+                near = np.where(v[part] @ matrix.T > t, ids[part][:, None], NO_ID)
+                best = near.argmin(axis=0) if len(near) else np.empty(0, np.int64)
+                least = near[best, np.arange(len(best))] if len(near) else np.full(len(first), NO_ID)
+                earlier = least < first
+                first[earlier], own[earlier] = least[earlier], v[part][best[earlier]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(first))), pa.array(first), pa.array(list(own))], names=["pivot", "id", "v"])
 
     slim = rows.select("id", "v")
-    leaders = slim.mapInArrow(first_near, "pivot long, id long").groupBy("pivot").agg(F.min("id").alias("id"))
+    found = slim.mapInArrow(first_near, "pivot long, id long, v array<double>")
     # at most one row per pivot
-    led = sc.broadcast(_matrix(slim.join(leaders.select("id").distinct(), "id", "left_semi")))
+    leaders = found.groupBy("pivot").agg(F.min("id").alias("id"), F.min_by("v", "id").alias("v")).dropDuplicates(["id"])
+    led = sc.broadcast(_matrix(leaders))
 
     def preceded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead_ids, matrix = led.value
@@ -115,74 +131,173 @@ def _sweep(rows: DataFrame, t: float, pivots: int) -> tuple[DataFrame, DataFrame
 
 # --- stage 3: rounds --------------------------------------------------------------
 
+PLACED = "id long, v array<double>, cell long, copied long"
 
-def _lower_hits(rows: DataFrame, t: float, n: int, dim: int, block_bytes: int) -> DataFrame:
-    """Ids of target rows that have a similar source row with a lower id.
 
-    `rows` has id, v, src, tgt. A pair meets exactly once, in the lower of its two home
-    cells, or in one sub-block pair of it; each group holds at most two blocks of rows
-    plus the rows near its border, cut by the same sub-blocks.
+class _Splits:
+    """Pivots of some cells: rows of such a cell are dealt to its children, numbered from first[cell] on."""
+
+    def __init__(self, cells: list[int], pivots: list[np.ndarray], first: list[int], t: float):
+        self.at = {cell: i for i, cell in enumerate(cells)}
+        self.pivots, self.first = pivots, first
+        self.reach = math.sqrt(max(0.0, 2.0 - 2.0 * t))
+
+    def dealt(self, cell: int, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, child, whether the child is another than the row's own), each pair of similar rows sharing a child.
+
+        A row is copied to the cells of lower number that a similar row may lie in: those behind a plane within reach.
+        """
+        centers, first = self.pivots[self.at[cell]], self.first[self.at[cell]]
+        gap = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (centers @ centers.T)))
+        number = np.arange(len(centers))
+        out = []
+        for part in _tiles(len(v), len(centers)):
+            closeness = v[part] @ centers.T
+            home = closeness.argmax(axis=1)
+            lead = closeness[np.arange(len(home)), home][:, None] - closeness
+            near = (lead <= gap[home] * self.reach + _MARGIN) & (number[None, :] < home[:, None])
+            near[np.arange(len(home)), home] = True
+            row, child = np.nonzero(near)
+            out.append((row + part.start, child + first, child != home[row]))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _by_cell(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    cell = batch.column("cell").to_numpy()
+    order = np.argsort(cell, kind="stable")
+    edges = np.flatnonzero(np.diff(cell[order], prepend=-1))
+    for rows in np.split(order, edges[1:]):
+        if len(rows):
+            yield int(cell[rows[0]]), batch.take(pa.array(rows))
+
+
+def _sizes(shared):
+    """Rows per (cell, child) of the split cells, without moving a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splits = _Splits(*shared.value)
+        for batch in batches:
+            for cell, part in _by_cell(batch):
+                child, n = np.unique(splits.dealt(cell, unit_rows(part.column("v")))[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), cell)), pa.array(child), pa.array(n)], names=["cell", "child", "n"])
+
+    return run
+
+
+def _moves(shared, level: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splits = _Splits(*shared.value)
+        for batch in batches:
+            for cell, part in _by_cell(batch):
+                if cell not in splits.at:
+                    yield part
+                    continue
+                row, child, away = splits.dealt(cell, unit_rows(part.column("v")))
+                part = part.take(pa.array(row))
+                copied = part.column("copied").to_numpy() | (away.astype(np.int64) << level)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.array(child), pa.array(copied)], names=part.schema.names)
+
+    return run
+
+
+def _chosen(placed: DataFrame, cells: list[tuple[int, int]], dim: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Pivots of each (cell, number of them), in groups of at most PIVOT_BYTES: the cell's rows of least hash."""
+    spark, group, held = placed.sparkSession, [], 0
+    groups = []
+    for cell, fan in cells:
+        if group and held + fan * dim * 8 > PIVOT_BYTES:
+            groups.append(group)
+            group, held = [], 0
+        group.append((cell, fan))
+        held += fan * dim * 8
+    for group in [*groups, group]:
+        wanted = spark.createDataFrame(group, "cell long, fan int")
+        drawn = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("id"), "id"))
+        # an id has at most one copy in a cell; the limit applies before the shuffle
+        rows = placed.withColumn("n", drawn).where(F.col("n") <= FAN).join(F.broadcast(wanted), "cell").where("n <= fan")
+        table = rows.select("cell", "v").toArrow()
+        cell, v = table.column("cell").to_numpy(), unit_rows(table.column("v"))
+        yield [c for c, _ in group], [v[cell == c] for c, _ in group]
+
+
+def _placed(rows: DataFrame, t: float, n: int, dim: int, block: int) -> tuple[DataFrame, dict[int, int]]:
+    """(rows and copies with the leaf of the pivot tree they stand in, rows per leaf).
+
+    `copied` has a bit for every level on which the row was copied to a cell not its own.
     """
-    block = max(64, block_bytes // (8 * max(dim, 1)))
-    cells = min(MAX_CELLS, math.ceil(n / block))
     spark = rows.sparkSession
-    reach = math.sqrt(max(0.0, 2.0 - 2.0 * t))
-    if cells > 1:
-        _, pivots = _matrix(rows.orderBy(F.xxhash64("id"), "id").limit(cells))
-        gap = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots.T)))
-        shared = spark.sparkContext.broadcast((pivots, gap * reach + _MARGIN))
-
-        def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            centers, border = shared.value
-            for batch in batches:
-                v = unit_rows(batch.column(1))
-                for part in _tiles(len(v), len(centers)):
-                    closeness = v[part] @ centers.T
-                    home = closeness.argmax(axis=1)
-                    lead = closeness[np.arange(len(home)), home][:, None] - closeness
-                    near = lead <= border[home]
-                    near &= np.arange(len(centers))[None, :] < home[:, None]
-                    near[np.arange(len(home)), home] = True
-                    row, cell = np.nonzero(near)
-                    out = batch.slice(part.start, len(home)).take(pa.array(row))
-                    yield pa.RecordBatch.from_arrays(
-                        [*out.columns, pa.array(cell.astype(np.int64)), pa.array(cell == home[row])],
-                        names=[*out.schema.names, "cell", "home"],
-                    )
-
-        schema = "id long, v array<double>, src boolean, tgt boolean, cell long, home boolean"
-        placed = cut_lineage(rows.select("id", "v", "src", "tgt").mapInArrow(assign, schema))
-        shared.unpersist()
-        # one row per cell
-        sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("subs"))
-        placed = placed.join(sizes, "cell")
-    else:
-        placed = rows.select(
-            "id", "v", "src", "tgt", F.lit(0).cast("long").alias("cell"), F.lit(True).alias("home"),
-            F.lit(math.ceil(n / block)).alias("subs"),
-        )
-    grid = placed.withColumn("sub", F.pmod(F.xxhash64("id"), "subs").cast("int"))
-    pairs = grid.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))).select(
-        "id", "v", "src", "tgt", "home", "cell", "sub",
-        F.least("sub", "other").alias("a"), F.greatest("sub", "other").alias("b"),
+    placed = rows.select("id", "v", F.lit(0).cast("long").alias("cell"), F.lit(0).cast("long").alias("copied"))
+    sizes, final, new, level = {0: n}, set(), 1, 0
+    while big := [c for c, size in sorted(sizes.items()) if size > block and c not in final]:
+        changed = False
+        fans = [(c, min(FAN, math.ceil(sizes[c] / block))) for c in big]
+        for cells, pivots in _chosen(placed, fans, dim):
+            first = []
+            for p in pivots:
+                first.append(new)
+                new += len(p)
+            asked = spark.sparkContext.broadcast((cells, pivots, first, t))
+            wanted = F.broadcast(spark.createDataFrame([(c,) for c in cells], "cell long"))
+            found = placed.join(wanted, "cell", "left_semi").select("id", "v", "cell", "copied")
+            counted = found.mapInArrow(_sizes(asked), "cell long, child long, n long").groupBy("cell", "child").agg(F.sum("n").alias("n"))
+            children: dict[int, dict[int, int]] = {c: {} for c in cells}
+            for r in counted.collect():
+                children[r["cell"]][r["child"]] = r["n"]
+            good = [i for i, c in enumerate(cells) if sum(s * s for s in children[c].values()) <= (1 - SAVES) * sizes[c] ** 2]
+            final |= set(cells) - {cells[i] for i in good}
+            if good:
+                kept = spark.sparkContext.broadcast(([cells[i] for i in good], [pivots[i] for i in good], [first[i] for i in good], t))
+                placed = cut_lineage(placed.mapInArrow(_moves(kept, level), PLACED))
+                changed = True
+                for i in good:
+                    del sizes[cells[i]]
+                    sizes |= children[cells[i]]
+        level += changed
+    return placed, sizes
+
+
+def _gridded(placed: DataFrame, sizes: dict[int, int], block: int) -> DataFrame:
+    """Every row once per sub-block pair (a, b) of its leaf that it belongs to."""
+    large = {c: math.ceil(s / block) for c, s in sizes.items() if s > block}
+    subs = F.lit(1)
+    if large:
+        counts = placed.sparkSession.createDataFrame(list(large.items()), "cell long, subs int")
+        placed = placed.join(F.broadcast(counts) if len(large) <= BROADCAST_LEAVES else counts, "cell", "left")
+        subs = F.coalesce("subs", F.lit(1))
+    grid = placed.withColumn("subs", subs).withColumn("sub", F.pmod(F.xxhash64("id"), "subs").cast("int"))
+    return grid.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))).select(
+        "id", "v", "src", "tgt", "copied", "cell", "sub", F.least("sub", "other").alias("a"), F.greatest("sub", "other").alias("b")
     )
 
+
+def _meeting(t: float):
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         _, a, b = (k.as_py() for k in key)
         ids = table.column("id").to_numpy().astype(np.int64)
         v = unit_rows(table.column("v"))
-        src, tgt, home = (np.asarray(table.column(c)) for c in ("src", "tgt", "home"))
-        sub = table.column("sub").to_numpy()
+        src, tgt = (np.asarray(table.column(c)) for c in ("src", "tgt"))
+        sub, copied = table.column("sub").to_numpy(), table.column("copied").to_numpy()
         hit = np.zeros(len(ids), dtype=bool)
         sides = [(sub == a, sub == b)] if a == b else [(sub == a, sub == b), (sub == b, sub == a)]
+        kinds = np.unique(copied)
         for left, right in sides:
-            for s_home, t_home in ((True, True), (True, False), (False, True)):
-                s = np.flatnonzero(left & src & (home == s_home))
-                g = np.flatnonzero(right & tgt & (home == t_home) & ~hit)
+            for one in kinds:
+                s = np.flatnonzero(left & src & (copied == one))
+                # two rows copied on one level meet in a lower cell of that level
+                g = np.flatnonzero(right & tgt & ((copied & one) == 0) & ~hit)
                 hit[g] |= _hit(ids[s], v[s], ids[g], v[g], t)
         return pa.table({"id": ids[hit]})
 
-    return pairs.groupBy("cell", "a", "b").applyInArrow(meet, "id long").distinct()
+    return meet
+
+
+def _lower_hits(placed: DataFrame, sizes: dict[int, int], t: float, block: int) -> DataFrame:
+    """Ids of target rows that have a similar source row with a lower id; `placed` has src and tgt."""
+    return _gridded(placed, sizes, block).groupBy("cell", "a", "b").applyInArrow(_meeting(t), "id long").distinct()
+
+
+def _block(dim: int, block_bytes: int) -> int:
+    return max(LEAST_BLOCK, block_bytes // (8 * max(dim, 1)))
 
 
 def semantic_dedup(
@@ -206,6 +321,7 @@ def semantic_dedup(
     facts = open_rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
     n, dim = facts["n"], facts["dim"] or 0
 
+    block = _block(dim, block_bytes)
     shrinking = True
     while shrinking and n:
         sure, open_rows = _sweep(open_rows, t, pivots)
@@ -214,20 +330,18 @@ def semantic_dedup(
         shrinking = n - left > max(pivots, SWEEP_SHARE * n)
         n = left
 
+    placed, sizes = _placed(open_rows, t, n, dim, block) if n else (None, {})
     while n:
         flags = F.lit(True)
-        waiting_ids = cut_lineage(
-            _lower_hits(open_rows.withColumn("src", flags).withColumn("tgt", flags), t, n, dim, block_bytes)
-        )
-        marked = cut_lineage(
-            open_rows.join(waiting_ids.withColumn("tgt", flags), "id", "left")
-            .withColumn("tgt", F.coalesce("tgt", F.lit(False)))
-            .withColumn("src", ~F.col("tgt"))
-        )
-        removed = _lower_hits(marked, t, n, dim, block_bytes)
-        kept.append(marked.where("src").select("id"))
-        open_rows = cut_lineage(marked.where("tgt").select("id", "v").join(removed, "id", "left_anti"))
-        n = open_rows.count()
+        waiting = cut_lineage(_lower_hits(placed.withColumns({"src": flags, "tgt": flags}), sizes, t, block))
+        marked = placed.join(waiting.withColumn("tgt", flags), "id", "left").withColumn("tgt", F.coalesce("tgt", F.lit(False)))
+        marked = marked.withColumn("src", ~F.col("tgt"))
+        # every row stands once in a cell of its own on all levels
+        kept.append(marked.where("src AND copied = 0").select("id"))
+        removed = _lower_hits(marked, sizes, t, block)
+        placed = cut_lineage(marked.where("tgt").drop("src", "tgt").join(removed, "id", "left_anti"))
+        left = {r["cell"]: (r["count"], r["own"]) for r in placed.groupBy("cell").agg(F.count("*").alias("count"), F.count_if(F.col("copied") == 0).alias("own")).collect()}
+        sizes, n = {c: size for c, (size, _) in left.items()}, sum(own for _, own in left.values())
     result = kept[0]
     for part in kept[1:]:
         result = result.unionByName(part)
@@ -236,9 +350,11 @@ def semantic_dedup(
 
 def first_neighbours(rows: DataFrame, row_id: str, vector: str, threshold: float, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Rows that have a similar row before them (the flag the rounds are built on)."""
-    ready = rows.select(
-        F.col(row_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"),
-        F.lit(True).alias("src"), F.lit(True).alias("tgt"),
-    )
+    ready = rows.select(F.col(row_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     facts = ready.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
-    return _lower_hits(ready, float(threshold), facts["n"], facts["dim"] or 0, block_bytes).withColumnRenamed("id", row_id)
+    n, dim = facts["n"], facts["dim"] or 0
+    block = _block(dim, block_bytes)
+    placed, sizes = _placed(ready, float(threshold), n, dim, block)
+    flags = F.lit(True)
+    found = _lower_hits(placed.withColumns({"src": flags, "tgt": flags}), sizes, float(threshold), block)
+    return found.withColumnRenamed("id", row_id)

@@ -56,6 +56,26 @@ def test_dedup_stages_agree_with_the_loop(spark, seed, t):
         assert len(kept) == len(set(kept)) and set(kept) == expected
 
 
+@pytest.mark.parametrize("t", [0.99, 0.998])
+def test_leaves_of_the_pivot_tree_follow_the_rows(spark, t):
+    """Over a thousand leaves on several levels; every pair of similar rows still meets."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(700, 8))
+    v = centres[rng.integers(0, 700, 5000)] + rng.normal(scale=0.02, size=(5000, 8))
+    rows = [(int(i), x.tolist()) for i, x in zip(rng.permutation(5000), v)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    placed, sizes = neardup._placed(df, t, 5000, 8, 4)
+    assert len(sizes) > 1024 and placed.where("copied = 0").count() == 5000
+    assert {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()} == sizes
+    unit = np.array([x for _, x in sorted(rows)])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = np.tril(unit @ unit.T > t, -1).any(axis=1)
+    found = neardup.first_neighbours(df, "id", "v", t, block_bytes=4 * 8 * 8)
+    assert {r[0] for r in found.collect()} == set(np.flatnonzero(near).tolist())
+    kept = [r[0] for r in neardup.semantic_dedup(df, "id", "v", t, pivots=8, block_bytes=4 * 8 * 8).collect()]
+    assert len(kept) == len(set(kept)) and set(kept) == greedy(rows, t)
+
+
 # --- exact dedup, funnel, split -----------------------------------------------------------------
 
 
