@@ -2,56 +2,32 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern import constants as C
 from lectern.functions.text import preview
+from lectern.functions.vectors import bind
 from lectern.operators.ordered import running_average
 
-_ASCII_WORD, _ASCII_TOKENS = re.compile(r"[a-z0-9]+"), r"([a-z0-9]+)"
-_ANY_WORD, _ANY_TOKENS = re.compile(r"[^\W_]+"), r"([\p{L}\p{N}]+)"
-#: Words of the shorter text that are worked on together.
-LCS_STRIPE = 4096
+_ASCII_TOKENS, _ANY_TOKENS = r"([a-z0-9]+)", r"([\p{L}\p{N}]+)"
+#: Words of one text whose bits share a number: a sum of two such numbers and a carry stays positive.
+LCS_BITS = 62
 
 
-def _lcs(a: list[str], b: list[str], stripe: int = LCS_STRIPE) -> int:
-    """Longest common subsequence, one row of bits per step.
+def _col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
-    The shorter list is cut into stripes of fixed width; what a row carries out of a stripe
-    goes into the next one, so memory is bounded by the stripe and one bit per step.
-    """
-    a, b = sorted((a, b), key=len)
-    carried, common = bytearray(len(b)), 0
-    for at in range(0, len(a), stripe):
-        part = a[at : at + stripe]
-        places: dict[str, int] = {}
-        for i, token in enumerate(part):
-            places[token] = places.get(token, 0) | (1 << i)
-        open_bits = full = (1 << len(part)) - 1
-        for j, token in enumerate(b):
-            match = open_bits & places.get(token, 0)
-            if match or carried[j]:
-                total = open_bits + match + carried[j]
-                carried[j] = total >> len(part)
-                open_bits = (total & full) | (open_bits & ~match)
-        common += len(part) - open_bits.bit_count()
-    return common
-
-
-def _f_measure(common: int, n_prediction: int, n_reference: int) -> float:
-    if not common:
-        return 0.0
-    precision, recall = common / n_prediction, common / n_reference
-    return 2 * precision * recall / (precision + recall)
 
+def _tokens(text: Column | str, unicode_words: bool) -> Column:
+    return F.regexp_extract_all(F.lower(F.coalesce(_col(text), F.lit(""))), F.lit(_ANY_TOKENS if unicode_words else _ASCII_TOKENS), F.lit(1))
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+
+def _f_measure(common: Column, predicted: Column, wanted: Column) -> Column:
+    precision, recall = common / predicted, common / wanted
+    return F.when(common > 0, 2.0 * precision * recall / (precision + recall)).otherwise(F.lit(0.0))
 
 
 def rouge1(prediction: Column | str, reference: Column | str, unicode_words: bool = False) -> Column:
@@ -63,9 +39,6 @@ def rouge1(prediction: Column | str, reference: Column | str, unicode_words: boo
     word of the prediction.
     """
 
-    def tokens(text):
-        return F.regexp_extract_all(F.lower(F.coalesce(_col(text), F.lit(""))), F.lit(_ANY_TOKENS if unicode_words else _ASCII_TOKENS), F.lit(1))
-
     def marked(words, side):
         return F.transform(words, lambda w: F.struct(w.alias("w"), F.lit(side).alias("side")))
 
@@ -78,23 +51,84 @@ def rouge1(prediction: Column | str, reference: Column | str, unicode_words: boo
         theirs = state(s["w"], s["waiting"] - 1, s["common"] + 1)
         return F.when(x["side"] == 0, mine).when(same & (s["waiting"] > 0), theirs).otherwise(s)
 
-    p, r = tokens(prediction), tokens(reference)
+    p, r = _tokens(prediction, unicode_words), _tokens(reference, unicode_words)
     both = F.sort_array(F.concat(marked(p, 0), marked(r, 1)))
     common = F.aggregate(both, state(F.lit(""), F.lit(0), F.lit(0)), step, lambda s: s["common"])
-    precision, recall = common / F.size(p), common / F.size(r)
-    return F.when(common > 0, 2.0 * precision * recall / (precision + recall)).otherwise(F.lit(0.0))
+    return _f_measure(common, F.size(p), F.size(r))
 
 
-def rouge_l(prediction: Column | str, reference: Column | str, unicode_words: bool = False) -> Column:
-    """F measure of the longest common word sequence; tokens as in `rouge1`."""
-    word = _ANY_WORD if unicode_words else _ASCII_WORD
+def common_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two string arrays, in built-in functions only.
 
-    @F.pandas_udf("double")
-    def score(predictions: pd.Series, references: pd.Series) -> pd.Series:
-        pairs = ((word.findall((p or "").lower()), word.findall((r or "").lower())) for p, r in zip(predictions, references))
-        return pd.Series([_f_measure(_lcs(a, b), len(a), len(b)) for a, b in pairs], dtype="float64")
+    Bit-parallel: the shorter array is cut into pieces of `LCS_BITS` words, each with a map from its words to the bits of their
+    places and a number with one bit per word. Every word of the longer array adds its bits to the number; a bit that has
+    become 0 is one word more in common. What a piece carries over is packed into numbers, a bit per word of the longer array,
+    and goes into the next piece. Work is the length of the longer array times the number of pieces.
+    """
+    none, full = F.lit(0).cast("bigint"), (1 << LCS_BITS) - 1
 
-    return score(_col(prediction), _col(reference))
+    def cut(words: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(words), F.lit(LCS_BITS)), lambda at: F.slice(words, at, LCS_BITS))
+
+    def places(piece: Column) -> Column:
+        marked = F.transform(piece, lambda x, i: F.struct(x.alias("w"), i.alias("i")))
+        found = F.transform(
+            F.array_distinct(piece),
+            lambda w: F.struct(w, F.aggregate(marked, none, lambda n, x: F.when(x["w"] == w, n.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x["i"]))).otherwise(n))),
+        )
+        return F.map_from_entries(found)
+
+    def word_added(known: Column):
+        def add(s: Column, word: Column) -> Column:
+            def moved(m: Column) -> Column:
+                total = s["v"] + s["v"].bitwiseAND(m) + s["carried"].bitwiseAND(F.lit(1))
+                return F.struct(
+                    total.bitwiseAND(full).bitwiseOR(s["v"].bitwiseAND(F.bitwise_not(m))).alias("v"),
+                    F.shiftright(s["carried"], 1).alias("carried"),
+                    F.shiftright(s["out"], 1).bitwiseOR(F.shiftleft(F.shiftright(total, LCS_BITS), LCS_BITS - 1)).alias("out"),
+                )
+
+            return bind(F.coalesce(F.element_at(known, word), none), moved)
+
+        return add
+
+    def piece_added(chunks: Column):
+        def add(state: Column, piece: Column) -> Column:
+            def chunk_added(s: Column, x: Column) -> Column:
+                begin = F.struct(s["v"].alias("v"), x["carried"].alias("carried"), none.alias("out"))
+                late = F.lit(LCS_BITS) - F.size(x["words"])
+                return F.aggregate(
+                    x["words"],
+                    begin,
+                    word_added(piece),
+                    lambda e: F.struct(e["v"].alias("v"), F.array_append(s["outs"], F.call_function("shiftright", e["out"], late)).alias("outs")),
+                )
+
+            both = F.zip_with(chunks, state["carried"], lambda w, c: F.struct(w.alias("words"), c.alias("carried")))
+            begin = F.struct(F.lit(full).cast("bigint").alias("v"), F.slice(state["carried"], 1, 0).alias("outs"))
+            return F.aggregate(
+                both,
+                begin,
+                chunk_added,
+                lambda e: F.struct((state["common"] + LCS_BITS - F.bit_count(e["v"])).alias("common"), e["outs"].alias("carried")),
+            )
+
+        return add
+
+    def counted(sides: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("common"), F.transform(sides["chunks"], lambda _: none).alias("carried"))
+        return F.aggregate(sides["pieces"], begin, piece_added(sides["chunks"]), lambda s: s["common"])
+
+    swap = F.size(a) > F.size(b)
+    short, long = F.when(swap, b).otherwise(a), F.when(swap, a).otherwise(b)
+    sides = F.struct(F.transform(cut(short), places).alias("pieces"), cut(long).alias("chunks"))
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), bind(sides, counted)).otherwise(F.lit(0))
+
+
+def rouge_l(prediction: Column | str, reference: Column | str, unicode_words: bool = False) -> Column:
+    """F measure of the longest common word sequence; tokens as in `rouge1`."""
+    sides = F.struct(_tokens(prediction, unicode_words).alias("p"), _tokens(reference, unicode_words).alias("r"))
+    return bind(sides, lambda s: bind(common_length(s["r"], s["p"]), lambda n: _f_measure(n, F.size(s["p"]), F.size(s["r"]))))
 
 
 def rouge(prediction: Column | str, reference: Column | str, unicode_words: bool = False) -> Column:

@@ -132,7 +132,8 @@ def cited_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def answer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold answers with two arms over whole texts: its halves swapped, and the question with two of three of its words."""
-    rows = qa(spark, sf_dir)
+    # scores cost far more than the bytes of their texts, by which adaptive plans would fold rows into few tasks
+    rows = qa(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "rec_id")
     n = F.col("rec_id")
     words = F.split("output", " ")
     half = F.floor(F.size(words) / 2).cast("int")

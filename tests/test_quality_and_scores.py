@@ -181,21 +181,31 @@ def test_length_stats_and_histogram(spark):
 # --- scores -------------------------------------------------------------------------------------------
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.sampled_from("abcd"), max_size=25), st.lists(st.sampled_from("abcd"), max_size=25))
-def test_lcs(a, b):
+def longest_common(a, b):
     table = np.zeros((len(a) + 1, len(b) + 1), dtype=int)
     for i, x in enumerate(a):
         for j, y in enumerate(b):
             table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
-    for stripe in (1, 3, 4096):
-        assert scoring._lcs(a, b, stripe) == table[-1, -1]
-
-
-def test_lcs_of_long_texts():
-    a = [str(i % 997) for i in range(30_000)]
-    b = a[5_000:] + a[:5_000]
-    assert scoring._lcs(a, a) == 30_000 and scoring._lcs(a, b) >= 25_000
+    return int(table[-1, -1])
+
+
+def test_longest_common_words(spark):
+    rng = np.random.default_rng(11)
+    pairs = [tuple([str(w) for w in rng.integers(0, k, rng.integers(0, n))] for _ in range(2)) for n in (3, 30, 70, 200) for k in (2, 5, 300) for _ in range(12)]
+    pairs += [([], ["a"]), (["a"], []), (["a"] * 62, ["a"] * 62), (["a"] * 63, ["a"] * 130), ([str(i) for i in range(124)],) * 2]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a array<string>, b array<string>").repartition(8)
+    got = {r["i"]: r["n"] for r in df.select("i", scoring.common_length(F.col("a"), F.col("b")).alias("n")).collect()}
+    assert got == {i: longest_common(*p) for i, p in enumerate(pairs)}
+
+
+def test_long_answers_and_plan_of_rouge_l(spark):
+    a = [f"w{i % 997}" for i in range(20_000)]
+    rows = [(" ".join(a), " ".join(a)), (" ".join(a), " ".join(a[3_000:] + a[:3_000])), (None, "x"), ("", ""), ("É x", "x")]
+    df = spark.createDataFrame(rows, "p string, r string").repartition(5).select(scoring.rouge_l("p", "r").alias("f"))
+    got = sorted(r["f"] for r in df.collect())
+    assert got[:2] == [0.0, 0.0] and 0.85 <= got[2] < 1 and got[3:] == [1.0, 1.0]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 @settings(max_examples=25, deadline=None)
