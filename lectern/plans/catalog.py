@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from lectern import constants as C
 from lectern.functions import text as T
 from lectern.functions.vectors import dot, keyword_vector, l2_normalize, norm
-from lectern.operators import answers, index, neardup, quality, retrieval, routing, rules, scoring, search, sessions, split, stats
+from lectern.operators import answers, cells, index, neardup, quality, retrieval, routing, rules, scoring, search, sessions, split, stats
 from lectern.operators.chunking import explode_single_pages, recursive_chunks, window_chunks
+from lectern.operators.collection import Collection
 from lectern.operators.embed import embed_queries, isolating_vectorizer, split_failures
 from lectern.plans import ingest, prepare
 from lectern.plans import roles as R
@@ -82,6 +83,47 @@ def topk_cosine_one_subject(spark, sf_dir):
     return _hits(search.top_k(points, R.centroids(spark, sf_dir), k=2), "query_id", "point_id")
 
 
+@query
+def topk_cells(spark, sf_dir):
+    """The hits of a full scan, from cells visited by their bound."""
+    path = cells.write_cells(R.points(spark, sf_dir), cell_rows=64)
+    return _hits(cells.top_k_in_cells(spark, path, R.centroids(spark, sf_dir))[0], "query_id", "point_id")
+
+
+def _stored(spark, rows: DataFrame) -> Collection:
+    held = Collection(spark, shared_path(spark, "collection"))
+    held.upsert(rows)
+    return held
+
+
+@query
+def collection_one_subject(spark, sf_dir):
+    """A stored collection, searched in the folders of one subject."""
+    points = _stored(spark, R.points(spark, sf_dir)).read(subject="s3")
+    return _hits(search.top_k(points, R.centroids(spark, sf_dir), k=2), "query_id", "point_id")
+
+
+@query
+def collection_large_subjects(spark, sf_dir):
+    """Points of the subjects that hold at least the mean number of them; the scan is pruned when their names are known."""
+    points = R.points(spark, sf_dir)
+    counts = points.groupBy("subject").count()
+    large = counts.where(F.col("count") >= counts.agg(F.avg("count")).first()[0])
+    return _stored(spark, points).read(among=large).select("point_id", "subject")
+
+
+@query
+def collection_upsert(spark, sf_dir):
+    """The German documents are indexed again twice under other subjects; worn buckets are compacted between and after."""
+    points = index.scan_collection(_window_points(spark, sf_dir))
+    held = _stored(spark, points)
+    german = held.read(subject="de")
+    for name in ("deutsch", "almanca"):
+        held.upsert(german.withColumn("subject", F.lit(name)))
+        held.compact()
+    return held.read().select("point_id", "doc_id", "subject")
+
+
 @query
 def confidence(spark, sf_dir):
     asked = R.centroids(spark, sf_dir)

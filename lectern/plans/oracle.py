@@ -31,6 +31,10 @@ PAIRS = "SELECT query_id, point_id, c.subject AS qs, p.subject AS ps, round(list
 SQL["topk_cosine"] = f"WITH {CENTROIDS} {ranked(PAIRS, 4)}"
 SQL["topk_cosine_by_subject"] = f"WITH {CENTROIDS} {ranked(PAIRS, 4, 'qs = ps')}"
 SQL["topk_cosine_one_subject"] = f"WITH {CENTROIDS} {ranked(PAIRS, 2, chr(39).join(['ps = ', 's3', '']))}"
+SQL["topk_cells"] = SQL["topk_cosine"]
+SQL["collection_one_subject"] = SQL["topk_cosine_one_subject"]
+SQL["collection_large_subjects"] = """WITH p AS (SELECT vec_id AS point_id, concat('s', CAST(label AS STRING)) AS subject FROM embeddings)
+SELECT point_id, subject FROM p WHERE subject IN (SELECT subject FROM p GROUP BY subject HAVING count(*) >= (SELECT count(*) / count(DISTINCT subject) FROM p))"""
 SQL["confidence"] = f"WITH {CENTROIDS} SELECT query_id, round(max(s), 6) AS confidence FROM ({PAIRS}) x GROUP BY query_id"
 SQL["merged_search"] = f"""WITH {CENTROIDS}, hits AS (
   SELECT *, row_number() OVER (PARTITION BY query_id, corpus ORDER BY s DESC, point_id) AS r
@@ -153,6 +157,7 @@ firsts AS (SELECT * FROM (SELECT * FROM pages_ WHERE subject = 'en' QUALIFY row_
 {windows('firsts')}
 SELECT subject, count(*) AS chunks, count(*) FILTER (subject <> 'en') AS new_chunks FROM wins GROUP BY subject"""
 SQL["index_upsert"] = f"WITH {POINTS} SELECT point_id, doc_id, CASE WHEN subject = 'de' THEN 'almanca' ELSE subject END AS subject FROM kpoints"
+SQL["collection_upsert"] = SQL["index_upsert"]
 SQL["ingest_stream"] = f"WITH {POINTS} SELECT point_id, doc_id, chunk_index FROM kpoints"
 SQL["blank_documents"] = "SELECT conv_id AS file_id FROM conversations GROUP BY conv_id HAVING max(length(text)) <= 200"
 SQL["keyword_vectors"] = f"""SELECT rec_id, CAST(i AS BIGINT) AS i, round(CASE WHEN nh = 0 THEN 0 ELSE hits[i + 1] / sqrt(nh) END, 6) AS x
