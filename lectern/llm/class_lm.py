@@ -3,10 +3,10 @@
 Method: clustering starts on symbols: the `WORDS` most frequent training words are symbols of their own, all others share the
 symbols of their endings. Spark counts all symbol pairs of the training texts (at most the square of the number of symbols,
 whatever the input). Exchange clustering moves one symbol at a time to the class that raises the likelihood of the class
-bigrams most, until a sweep moves none. Then every other training word leaves its ending: Spark sums the classes before and
-after it (one row per word and class), and the word moves to the class that raises the likelihood most, each word measured
-against the same class table. So every training word has a class by its own contexts; only words that training never saw take
-the class of their ending. Classes grow with the square root of the number of different words. Transitions are counted anew
+bigrams most, until a sweep gains less than `SWEEP_GAIN` a token. Then every other training word leaves its ending: Spark sums
+the classes before and after it (one row per word and class), and the word is exchanged into the class that raises the likelihood
+most, thousands of words at once in every task, each measured against the same class table. So every training word has a class by its own contexts; only words that training never saw take
+the class of their ending. Classes grow with the square root of the number of different words, up to `MOST_CLASSES`. Transitions are counted anew
 with the classes of all words. A text then has the probability of its class transitions, smoothed towards the class
 frequencies, times that of its words in their classes, (c + 0.1) / (N_class + 0.1 (V_class + 1)), with counts over all
 training text.
@@ -37,8 +37,12 @@ from lectern.llm.words import BYTE_CODE, run_hashes, slices, words_of
 #: Frequent words that are symbols of their own when clustering starts; symbols that the others share by their endings then.
 WORDS, ENDINGS = 768, 255
 ENDING_BYTES = 3
-#: Classes at least; beyond that, one for so many in the square root of the number of different words.
-CLASSES, ROOT = 64, 8
+#: Classes at least and at most; between, one for so many in the square root of the number of different words.
+CLASSES, MOST_CLASSES, ROOT = 64, 1024, 8
+#: Sweeps go on while one gains so much likelihood a token (natural logarithm).
+SWEEP_GAIN = 1e-4
+#: Contexts weighed against all classes at once.
+WEIGHED = 16_384
 #: Frequent words whose counts and classes are broadcast.
 COMMON = 131_072
 ADDED = 0.1
@@ -183,10 +187,8 @@ def exchange(pairs: np.ndarray, classes: int) -> np.ndarray:
     table, least = class_table(pairs, group), least_gain(pairs.sum())
     logs = x_log_x(table)
 
-    def sweep(asked: np.ndarray) -> np.ndarray:
-        """Those of the asked symbols that moved."""
-        moved = []
-        for s in asked:
+    def sweep() -> None:
+        for s in every:
             after = np.bincount(group, weights=pairs[s], minlength=classes + 1)
             before = np.bincount(group, weights=pairs[:, s], minlength=classes + 1)
             own, loop = group[s], pairs[s, s]
@@ -194,19 +196,58 @@ def exchange(pairs: np.ndarray, classes: int) -> np.ndarray:
             before[own] -= loop
             put(table, logs, own, after, before, loop, -1)
             group[s] = best_class(table, logs, own, after, before, loop, least)
-            if group[s] != own:
-                moved.append(s)
             put(table, logs, group[s], after, before, loop, 1)
-        return np.array(moved, dtype=np.int64)
 
-    # symbols that just moved are asked again until they rest; it ends when none of all symbols moves
     every = by_weight[weight[by_weight] > 0]
-    while len(moved := sweep(every)):
-        while len(moved):
-            moved = sweep(moved)
+    before_it, now = -np.inf, likelihood(table)
+    while now - before_it > SWEEP_GAIN * pairs.sum():
+        sweep()
+        before_it, now = now, likelihood(table)
     return group
 
 
+def likelihood(table: np.ndarray) -> float:
+    """Of the class bigrams, without what no assignment changes."""
+    return float(x_log_x(table).sum() - x_log_x(table.sum(axis=0)).sum() - x_log_x(table.sum(axis=1)).sum())
+
+
+def best_of_many(table: np.ndarray, own: np.ndarray, size: np.ndarray, k: np.ndarray, n: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """The class of every word: `own`, or the one of `among` that raises the likelihood more than leaving `own` lowers it.
+
+    Word i has size[i] contexts, one after another in k and n: k is a class before it, width + a class after it, or 2 * width for
+    itself. Each word is weighed against the same table, as if its neighbours stayed.
+    """
+    width = len(table)
+    sides = np.concatenate([table, table.T, np.diag(table)[None]])
+    side_logs, classes = x_log_x(sides), own.copy()
+    out, into = table.sum(axis=1), table.sum(axis=0)
+    out_logs, into_logs = x_log_x(out), x_log_x(into)
+    has = np.flatnonzero(size)
+    end = np.cumsum(size)
+    # whole words, about WEIGHED contexts at once
+    cuts = np.searchsorted(end[has], np.arange(WEIGHED, end[-1] if len(end) else 0, WEIGHED))
+    for words in np.split(has, np.unique(cuts)):
+        if not len(words):
+            continue
+        lo, hi = end[words[0]] - size[words[0]], end[words[-1]]
+        kk, nn = k[lo:hi], n[lo:hi].astype(np.float64)
+        begin = end[words] - size[words] - lo
+        gain = np.add.reduceat(x_log_x(sides[kk] + nn[:, None]) - side_logs[kk], begin, axis=0)
+        mine = np.repeat(own[words], size[words])
+        held = sides[kk, mine]
+        loss = np.add.reduceat(side_logs[kk, mine] - x_log_x(np.maximum(held - nn, 0)), begin)
+        before = np.add.reduceat(np.where((kk < width) | (kk == 2 * width), nn, 0), begin)
+        after = np.add.reduceat(np.where(kk >= width, nn, 0), begin)
+        gain -= x_log_x(out + after[:, None]) - out_logs + x_log_x(into + before[:, None]) - into_logs
+        at = own[words]
+        loss -= out_logs[at] - x_log_x(np.maximum(out[at] - after, 0)) + into_logs[at] - x_log_x(np.maximum(into[at] - before, 0))
+        gain[np.arange(len(words)), at] = loss
+        best = among[gain[:, among].argmax(axis=1)]
+        moves = gain[np.arange(len(words)), best] > loss + 1e-9
+        classes[words[moves]] = best[moves]
+    return classes
+
+
 def _contexts(shared):
     """(word, class before | width + class after | 2 width for the word itself, number) of the words without a symbol of their own."""
 
@@ -251,24 +292,15 @@ def _classed(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, group, table = shared.value
-        table, width, least = table.copy(), len(table), least_gain(table.sum())
-        logs = x_log_x(table)
         # an empty class would take in words that have nothing in common
         used = np.flatnonzero(table.sum(axis=0)[:-1])
         for batch in batches:
             symbol = symbols(batch.column("h").to_numpy().view(np.uint64), batch.column("ending").to_numpy().astype(np.int64), frequent)
-            classes = group[symbol].astype(np.int32)
             seen = batch.column("seen")
             size = pc.fill_null(pc.list_value_length(seen), 0).to_numpy()
             k, n = (seen.flatten().field(i).to_numpy() for i in range(2))
-            end = np.cumsum(size)
-            for i in np.flatnonzero(symbol >= len(frequent)):
-                counted = np.bincount(k[end[i] - size[i] : end[i]], weights=n[end[i] - size[i] : end[i]], minlength=2 * width + 1)
-                before, after, loop = counted[:width], counted[width:-1], counted[-1]
-                own = int(classes[i])
-                put(table, logs, own, after, before, loop, -1)
-                classes[i] = best_class(table, logs, own, after, before, loop, least, used)
-                put(table, logs, own, after, before, loop, 1)
+            classes = best_of_many(table, group[symbol], size, k, n, used) if len(used) else group[symbol]
+            classes = np.where(symbol < len(frequent), group[symbol], classes).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("n"), pa.array(classes)], ["h", "n", "class"])
 
     return run
@@ -277,10 +309,14 @@ def _classed(shared):
 class Model:
     """What a task needs to know of words: bounded tables only."""
 
-    def __init__(self, common, counts, classes, frequent, group):
+    def __init__(self, common, counts, classes, frequent, group, value=None, end_count=None):
         self.common, self.counts, self.classes, self.frequent, self.group = common, counts, classes, frequent, group
         self.width = int(group[-1]) + 1
-        self.value = self.end_count = None
+        self.value, self.end_count = value, end_count
+
+    def parts(self) -> tuple:
+        """What a broadcast carries: arrays only, so that executors need no copy of this package to read it."""
+        return self.common, self.counts, self.classes, self.frequent, self.group, self.value, self.end_count
 
     def of(self, different: np.ndarray, ending: np.ndarray):
         """(whether it is here, its count, its class or else that of its ending) of every word."""
@@ -348,7 +384,7 @@ def _class_pairs(shared):
     """Links of words that are not broadcast; the others are counted here, as rows with the number of the pair in h2 and no h."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         width = model.width
         total = np.zeros(width * width, dtype=np.int64)
         names = [c.split()[0] for c in LINKS.split(", ")] + ["pairs"]
@@ -392,7 +428,7 @@ def train(docs: DataFrame):
     pairs = np.zeros(size * size)
     pairs[found.column("pair").to_numpy()] = found.column("n").to_numpy()
     pairs = pairs.reshape(size, size)
-    group = exchange(pairs, max(CLASSES, isqrt(kinds) // ROOT))
+    group = exchange(pairs, min(MOST_CLASSES, max(CLASSES, isqrt(kinds) // ROOT)))
     start = spark.sparkContext.broadcast((frequent, group, class_table(pairs, group)))
     seen = learned.mapInArrow(_contexts(start), "h long, k int, n long").repartition("h").groupBy("h", "k").agg(F.sum("n").alias("n"))
     seen = seen.groupBy("h").agg(F.collect_list(F.struct("k", "n")).alias("seen"))
@@ -403,7 +439,7 @@ def train(docs: DataFrame):
     model = Model(h.view(np.uint64)[order], n[order], classes[order].astype(np.int64), frequent, group)
     # transitions between the classes of all words
     width = model.width
-    links = saved(learned.mapInArrow(_class_pairs(spark.sparkContext.broadcast(model)), LINKS + ", pairs long"), "class-links")
+    links = saved(learned.mapInArrow(_class_pairs(spark.sparkContext.broadcast(model.parts())), LINKS + ", pairs long"), "class-links")
     rest = met(links.filter("h IS NOT NULL"), words).filter("a >= 0 AND b >= 0").select((F.col("a").cast("long") * width + F.col("b")).alias("pair"), F.col("n").cast("long").alias("n"))
     sums = links.filter("h IS NULL").select(F.col("h2").alias("pair"), F.col("pairs").alias("n")).union(rest).groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(width * width)
@@ -426,7 +462,7 @@ def _terms(shared):
     """Per text one row with all that is known here, and the links of its words that are not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         end_log = np.log10(model.end_count + ADDED)
         names = ["rid", *(c.split()[0] for c in LINKS.split(", ")), "own"]
         for batch in slices(batches):
@@ -456,7 +492,7 @@ def scored(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     model, words, total, kinds = train(docs)
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("__rid"))
-    terms = saved(rows.mapInArrow(_terms(spark.sparkContext.broadcast(model)), f"rid long, {LINKS}, own {OWN}"), "terms")
+    terms = saved(rows.mapInArrow(_terms(spark.sparkContext.broadcast(model.parts())), f"rid long, {LINKS}, own {OWN}"), "terms")
     width = model.width
     steps = spark.createDataFrame(pa.table({"step": np.arange(width * width), "value": model.value.reshape(-1)}))
     rare = met(terms.filter("h IS NOT NULL").drop("own"), words, "rid")

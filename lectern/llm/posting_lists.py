@@ -68,15 +68,23 @@ def balanced_centroids(points: np.ndarray, count: int, rounds: int = 12) -> np.n
 class CentroidGraph:
     """Centroids linked to their nearest ones, searched best first for many vectors at once."""
 
-    def __init__(self, centre: np.ndarray, neighbours: int = NEIGHBOURS):
+    def __init__(self, centre: np.ndarray, links: np.ndarray | None = None, neighbours: int = NEIGHBOURS):
+        self.centre, self.links = centre, links
         n = len(centre)
-        self.centre = centre
-        near = centre @ centre.T
+        self.entry = np.unique(np.linspace(0, n - 1, min(n, 8)).astype(np.int64))
+        if links is None:
+            self._link(n, neighbours)
+
+    def parts(self) -> tuple:
+        """What a broadcast carries: arrays only, so that executors need no copy of this package to read it."""
+        return self.centre, self.links
+
+    def _link(self, n: int, neighbours: int) -> None:
+        near = self.centre @ self.centre.T
         np.fill_diagonal(near, -np.inf)
         links = np.argsort(-near, axis=1, kind="stable")[:, : max(1, min(neighbours, n - 1))]
         # a ring beside the nearest ones keeps every centroid within reach
         self.links = np.concatenate([links, ((np.arange(n) + 1) % n)[:, None]], axis=1)
-        self.entry = np.unique(np.linspace(0, n - 1, min(n, 8)).astype(np.int64))
 
     def search(self, vectors: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """(centroids, distances) of the `beam` nearest found per vector, nearest first."""
@@ -153,14 +161,15 @@ def _lists(graph, ratio: float, copies: int | None):
     """Lists of every vector: to be written to (with the vector) if `copies` is given, else to be read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = CentroidGraph(*graph.value)
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(at, BATCH)
                 vectors = unit(matrix(batch.column("v")))
                 if copies is None:
-                    row, which, _ = graph.value.within(vectors, ratio)
+                    row, which, _ = lists.within(vectors, ratio)
                 else:
-                    row, which = chosen_lists(graph.value, vectors, ratio, copies)
+                    row, which = chosen_lists(lists, vectors, ratio, copies)
                 names = ["id"] if copies is None else ["id", "v"]
                 pick = pa.array(row)
                 yield pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), *[batch.column(n).take(pick) for n in names]], ["list", *names])
@@ -231,7 +240,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, prune: float = P
     if not count:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     graph = CentroidGraph(balanced_centroids(unit(sample), max(1, min(CENTROIDS, count // list_size, len(sample)))))
-    sent = spark.sparkContext.broadcast(graph)
+    sent = spark.sparkContext.broadcast(graph.parts())
     kind = dict(table.dtypes)["v"]
     listed = saved(table.select("id", "v").mapInArrow(_lists(sent, closure, copies), f"list int, id long, v {kind}"), "lists")
     # equal query vectors are searched once, under the id that stands for the vector in the table

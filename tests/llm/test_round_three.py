@@ -3,8 +3,12 @@
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
+import subprocess
+import sys
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import plain
-from lectern.llm import ball_search, conversation_repair, lexicon_codec, repair_grammar
+from lectern.llm import ball_search, class_lm, conversation_repair, lexicon_codec, repair_grammar
 from lectern.llm.lexicon import Builder, Lexicon
 
 
@@ -277,3 +281,98 @@ def test_hot_rows_fold_before_they_are_dealt_out(spark):
     rows = spark.range(20_000).select(F.lit(1).cast("long").alias("conv_id"), F.lit(2).cast("long").alias("turn"), F.lit("user").alias("role"), F.lit("x.").alias("text"), F.lit(1).cast("long").alias("copies"))
     got = conversation_repair.costs(rows).first()
     assert (got["duplicate"], got["gaps"], got["cost"]) == (19_999, 0, 19_999 * 3 + 2)
+
+
+# --- executors without the package
+
+
+def test_broadcasts_are_read_without_the_package(tmp_path):
+    """A session started elsewhere: its workers have no copy of the package on their path."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    (tmp_path / "job.py").write_text(
+        f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").getOrCreate()
+import __spark_entry__ as entry
+def importable(batches):
+    import importlib.util
+    import pyarrow as pa
+    yield pa.RecordBatch.from_arrays([pa.array([importlib.util.find_spec("lectern") is not None])], ["found"])
+assert not spark.range(1).mapInArrow(importable, "found boolean").first()["found"]
+for name in ("op2_posting_lists", "op4_class_lm", "op11_lexicon_codec", "op12_ball_search", "op13_conversation_repair"):
+    assert entry.queries()[name](spark, {plain.SF_DIR!r}).count() > 0, name
+print("all read")
+"""
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "job.py"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=400)
+    assert "all read" in done.stdout, done.stderr[-3000:]
+
+
+def test_many_words_are_exchanged_as_one_by_one():
+    """The vectorised exchange against every class tried for every word on its own, and the score of a tiny text by hand."""
+    rng = np.random.default_rng(8)
+    width = 6
+    table = rng.integers(20, 200, (width, width)).astype(float)
+    own = rng.integers(0, width - 1, 300)
+    size = rng.integers(0, 5, 300)
+    k = np.concatenate([np.sort(rng.choice(2 * width + 1, s, replace=False)) for s in size]).astype(int)
+    n = rng.integers(1, 4, len(k))
+    f = lambda x: x * math.log(max(x, 1))
+    out, into = table.sum(axis=1), table.sum(axis=0)
+    sides = np.concatenate([table, table.T, np.diag(table)[None]])
+    want, at = own.copy(), 0
+    for i, s in enumerate(size):
+        kk, nn = k[at : at + s], n[at : at + s]
+        at += s
+        before, after = nn[(kk < width) | (kk == 2 * width)].sum(), nn[kk >= width].sum()
+        gain = [sum(f(sides[a, c] + b) - f(sides[a, c]) for a, b in zip(kk, nn)) - f(out[c] + after) + f(out[c]) - f(into[c] + before) + f(into[c]) for c in range(width - 1)]
+        c = own[i]
+        loss = sum(f(sides[a, c]) - f(sides[a, c] - b) for a, b in zip(kk, nn)) - f(out[c]) + f(out[c] - after) - f(into[c]) + f(into[c] - before)
+        gain[c] = loss
+        if s and max(gain) > loss + 1e-9:
+            want[i] = int(np.argmax(gain))
+    assert (want != own).sum() > 50
+    for chunk in (4, 64, 16_384):
+        class_lm.WEIGHED = chunk
+        assert (class_lm.best_of_many(table, own, size, k, n, np.arange(width - 1)) == want).all()
+
+
+def test_score_of_a_small_table_restated(spark):
+    """score and base_score word by word, from the classes that training gave and counts made here."""
+    texts = ["a b c a b", "b c d a", "x y z x y", None, "", "a y", "q q r", "A\tb\x0bnew words"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model, words, total, kinds = class_lm.train(docs)
+    of = {r["h"]: r["class"] for r in words.collect()}
+    end = model.width - 1
+    tokens = {i: [w.decode() for w in plain.words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))] for i, t in enumerate(texts)}
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in tokens}
+    assert any(held.values())
+
+    def kind(word):
+        _, h, ending, _ = class_lm.hashed(pa.array([word]))
+        known = of.get(int(h.view(np.int64)[0]))
+        return int(model.group[class_lm.symbols(h, ending, model.frequent)[0]]) if known is None else known
+
+    count, pairs, in_class = {}, np.zeros((end + 1, end + 1)), np.zeros(end + 1)
+    for i, t in tokens.items():
+        if not held[i]:
+            for a, b in zip([None, *t], [*t, None]):
+                pairs[end if a is None else kind(a), end if b is None else kind(b)] += 1
+                count[b] = count.get(b, 0) + 1
+    for w in count:
+        in_class[end if w is None else kind(w)] += 1
+    assert (total, kinds) == (sum(count.values()), len(count))
+    mass = pairs.sum(axis=0) + 0.1
+    step = np.log10((pairs + class_lm.PRIOR * mass / mass.sum()) / (pairs.sum(axis=1, keepdims=True) + class_lm.PRIOR))
+    for r in class_lm.scored(docs).collect():
+        t = tokens[r["doc_id"]]
+        base = sum(math.log10((count.get(w, 0) + 0.1) / (total + 0.1 * (kinds + 1))) for w in [*t, None])
+        score = 0.0
+        for a, b in zip([None, *t], [*t, None]):
+            c = end if b is None else kind(b)
+            share = 0.0 if b is None else math.log10((count.get(b, 0) + 0.1) / (pairs.sum(axis=0)[c] + 0.1 * (in_class[c] + 1)))
+            score += step[end if a is None else kind(a), c] + share
+        assert r["held_out"] == held[r["doc_id"]] and abs(r["base_score"] - base) < 1e-6 and abs(r["score"] - score) < 1e-6
