@@ -41,8 +41,9 @@ ENDING_BYTES = 3
 CLASSES, MOST_CLASSES, ROOT = 64, 1024, 8
 #: Sweeps go on while one gains so much likelihood a token (natural logarithm).
 SWEEP_GAIN = 1e-4
-#: Contexts weighed against all classes at once.
+#: Contexts weighed against all classes at once, and bytes of the table of what small numbers add.
 WEIGHED = 16_384
+SMALL_BYTES = 32 << 20
 #: Frequent words whose counts and classes are broadcast.
 COMMON = 131_072
 ADDED = 0.1
@@ -211,15 +212,33 @@ def likelihood(table: np.ndarray) -> float:
     return float(x_log_x(table).sum() - x_log_x(table.sum(axis=0)).sum() - x_log_x(table.sum(axis=1)).sum())
 
 
-def best_of_many(table: np.ndarray, own: np.ndarray, size: np.ndarray, k: np.ndarray, n: np.ndarray, among: np.ndarray) -> np.ndarray:
+class Sides:
+    """What n more pairs on a side add to x log x in every class; a side is a class before or after a word, or the word itself."""
+
+    def __init__(self, table: np.ndarray):
+        self.values = np.concatenate([table, table.T, np.diag(table)[None]])
+        self.logs = x_log_x(self.values)
+        most = SMALL_BYTES // self.values.nbytes
+        self.small = np.stack([np.zeros_like(self.logs), *(x_log_x(self.values + n) - self.logs for n in range(1, most))]) if most > 1 else None
+
+    def added(self, k: np.ndarray, n: np.ndarray) -> np.ndarray:
+        if self.small is None:
+            return x_log_x(self.values[k] + n[:, None]) - self.logs[k]
+        out = self.small[np.minimum(n, len(self.small) - 1), k]
+        big = np.flatnonzero(n >= len(self.small))
+        out[big] = x_log_x(self.values[k[big]] + n[big, None]) - self.logs[k[big]]
+        return out
+
+
+def best_of_many(table: np.ndarray, own: np.ndarray, size: np.ndarray, k: np.ndarray, n: np.ndarray, among: np.ndarray, sides: Sides | None = None) -> np.ndarray:
     """The class of every word: `own`, or the one of `among` that raises the likelihood more than leaving `own` lowers it.
 
     Word i has size[i] contexts, one after another in k and n: k is a class before it, width + a class after it, or 2 * width for
     itself. Each word is weighed against the same table, as if its neighbours stayed.
     """
     width = len(table)
-    sides = np.concatenate([table, table.T, np.diag(table)[None]])
-    side_logs, classes = x_log_x(sides), own.copy()
+    sides = sides or Sides(table)
+    classes = own.copy()
     out, into = table.sum(axis=1), table.sum(axis=0)
     out_logs, into_logs = x_log_x(out), x_log_x(into)
     has = np.flatnonzero(size)
@@ -230,12 +249,12 @@ def best_of_many(table: np.ndarray, own: np.ndarray, size: np.ndarray, k: np.nda
         if not len(words):
             continue
         lo, hi = end[words[0]] - size[words[0]], end[words[-1]]
-        kk, nn = k[lo:hi], n[lo:hi].astype(np.float64)
+        kk, nn = k[lo:hi], n[lo:hi]
         begin = end[words] - size[words] - lo
-        gain = np.add.reduceat(x_log_x(sides[kk] + nn[:, None]) - side_logs[kk], begin, axis=0)
+        gain = np.add.reduceat(sides.added(kk, nn), begin, axis=0)
         mine = np.repeat(own[words], size[words])
-        held = sides[kk, mine]
-        loss = np.add.reduceat(side_logs[kk, mine] - x_log_x(np.maximum(held - nn, 0)), begin)
+        held = sides.values[kk, mine]
+        loss = np.add.reduceat(sides.logs[kk, mine] - x_log_x(np.maximum(held - nn, 0)), begin)
         before = np.add.reduceat(np.where((kk < width) | (kk == 2 * width), nn, 0), begin)
         after = np.add.reduceat(np.where(kk >= width, nn, 0), begin)
         gain -= x_log_x(out + after[:, None]) - out_logs + x_log_x(into + before[:, None]) - into_logs
@@ -249,7 +268,7 @@ def best_of_many(table: np.ndarray, own: np.ndarray, size: np.ndarray, k: np.nda
 
 
 def _contexts(shared):
-    """(word, class before | width + class after | 2 width for the word itself, number) of the words without a symbol of their own."""
+    """(word, list of class before | width + class after | 2 width for the word itself, list of numbers) of the words without a symbol of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, group, table = shared.value
@@ -264,7 +283,10 @@ def _contexts(shared):
             return h[first], k[first], np.add.reduceat(n, first) if len(h) else n
 
         def sent(rows):
-            return pa.RecordBatch.from_arrays([pa.array(rows[0].view(np.int64)), pa.array(rows[1].astype(np.int32)), pa.array(rows[2])], ["h", "k", "n"])
+            h, first = np.unique(rows[0], return_index=True)
+            ends = pa.array(np.append(first, len(rows[0])), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(r, t)) for r, t in ((rows[1], pa.int32()), (rows[2], pa.int64()))]
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *lists], ["h", "ks", "ns"])
 
         for batch in slices(batches):
             words, different, ending, place = hashed(batch.column("text"))
@@ -287,21 +309,68 @@ def _contexts(shared):
     return run
 
 
+def _summed(owner: np.ndarray, k: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, k, sum of n), ascending."""
+    order = np.lexsort((k, owner))
+    owner, k, n = owner[order], k[order], n[order]
+    first = np.flatnonzero(np.append(True, (np.diff(owner) != 0) | (np.diff(k) != 0))) if len(k) else np.empty(0, np.int64)
+    return owner[first], k[first], np.add.reduceat(n, first) if len(k) else n
+
+
+def _contexts_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(different words, and the number of the word, k and n of their contexts, summed); rows are sorted by h."""
+    h = rows.column("h").to_numpy()
+    first = np.flatnonzero(np.append(True, np.diff(h) != 0))
+    ks, ns = (rows.column(c).combine_chunks() for c in ("ks", "ns"))
+    size = pc.fill_null(pc.list_value_length(ks), 0).to_numpy()
+    owner = np.repeat(np.cumsum(np.append(True, np.diff(h) != 0)) - 1, size)
+    return (h[first], *_summed(owner, ks.flatten().to_numpy().astype(np.int64), ns.flatten().to_numpy()))
+
+
+WORD_ROWS = pa.schema([("h", pa.int64()), ("n", pa.int64()), ("ending", pa.int32()), ("ks", pa.list_(pa.int32())), ("ns", pa.list_(pa.int64()))])
+
+
 def _classed(shared):
-    """(word, count, class): every word without a symbol of its own leaves the class of its ending for its best one."""
+    """(word, count, class): every word without a symbol of its own leaves the class of its ending for its best one.
+
+    Rows come sorted by word: one with its count and ending, others with contexts from one task each.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, group, table = shared.value
+        sides = Sides(table)
         # an empty class would take in words that have nothing in common
         used = np.flatnonzero(table.sum(axis=0)[:-1])
+
+        def done(rows: pa.Table) -> pa.RecordBatch:
+            h, owner, k, n = _contexts_of(rows)
+            counted = rows.filter(pc.is_valid(rows.column("n")))
+            symbol = symbols(h.view(np.uint64), counted.column("ending").to_numpy().astype(np.int64), frequent)
+            classes = group[symbol]
+            if len(used):
+                best = best_of_many(table, classes, np.bincount(owner, minlength=len(h)), k, n, used, sides)
+                classes = np.where(symbol < len(frequent), classes, best)
+            return pa.RecordBatch.from_arrays([pa.array(h), counted.column("n").combine_chunks(), pa.array(classes, pa.int32())], ["h", "n", "class"])
+
+        def joined(rows: pa.Table) -> pa.Table:
+            """Rows of one word as one, so that a word of every task stays small."""
+            h, _, k, n = _contexts_of(rows)
+            counted = rows.filter(pc.is_valid(rows.column("n")))
+            one = {"h": h.tolist(), "n": counted.column("n").to_pylist() or [None], "ending": counted.column("ending").to_pylist() or [None], "ks": [k.tolist()], "ns": [n.tolist()]}
+            return pa.table(one, schema=WORD_ROWS)
+
+        rest = WORD_ROWS.empty_table()
         for batch in batches:
-            symbol = symbols(batch.column("h").to_numpy().view(np.uint64), batch.column("ending").to_numpy().astype(np.int64), frequent)
-            seen = batch.column("seen")
-            size = pc.fill_null(pc.list_value_length(seen), 0).to_numpy()
-            k, n = (seen.flatten().field(i).to_numpy() for i in range(2))
-            classes = best_of_many(table, group[symbol], size, k, n, used) if len(used) else group[symbol]
-            classes = np.where(symbol < len(frequent), group[symbol], classes).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("n"), pa.array(classes)], ["h", "n", "class"])
+            rows = pa.concat_tables([rest, pa.Table.from_batches([batch]).cast(WORD_ROWS)]).combine_chunks()
+            if rows.num_rows:
+                h = rows.column("h").to_numpy()
+                # the last word may go on in the next batch
+                cut = int(np.searchsorted(h, h[-1]))
+                if cut:
+                    yield done(rows.slice(0, cut))
+                rest = joined(rows.slice(cut))
+        if rest.num_rows:
+            yield done(rest)
 
     return run
 
@@ -430,9 +499,9 @@ def train(docs: DataFrame):
     pairs = pairs.reshape(size, size)
     group = exchange(pairs, min(MOST_CLASSES, max(CLASSES, isqrt(kinds) // ROOT)))
     start = spark.sparkContext.broadcast((frequent, group, class_table(pairs, group)))
-    seen = learned.mapInArrow(_contexts(start), "h long, k int, n long").repartition("h").groupBy("h", "k").agg(F.sum("n").alias("n"))
-    seen = seen.groupBy("h").agg(F.collect_list(F.struct("k", "n")).alias("seen"))
-    words = saved(counts.join(seen, "h", "left").mapInArrow(_classed(start), "h long, n long, class int"), "word-classes")
+    seen = learned.mapInArrow(_contexts(start), "h long, ks array<int>, ns array<long>")
+    rows = counts.select("h", "n", "ending").unionByName(seen, allowMissingColumns=True).repartition("h").sortWithinPartitions("h")
+    words = saved(rows.mapInArrow(_classed(start), "h long, n long, class int"), "word-classes")
     top = frequent_words(words, COMMON).toArrow()
     h, n, classes = (top.column(c).to_numpy() for c in ("h", "n", "class"))
     order = np.argsort(h.view(np.uint64))
