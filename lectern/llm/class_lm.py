@@ -26,6 +26,7 @@ from collections.abc import Iterator
 from math import isqrt
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -61,7 +62,10 @@ def hashed(texts: pa.Array):
     """(words, different word hashes, their ending, place of each word among the different ones)."""
     words = words_of(texts, lower=True)
     codes = BYTE_CODE[words.data]
-    different, first, place = np.unique(run_hashes(codes, words.start, words.end), return_index=True, return_inverse=True)
+    # by a hash table, in the order in which they come: no sort of all places
+    place, different = pd.factorize(run_hashes(codes, words.start, words.end))
+    first = np.empty(len(different), dtype=np.int64)
+    first[place[::-1]] = np.arange(len(place))[::-1]
     end = words.end[first]
     ending = run_hashes(codes, np.maximum(words.start[first], end - ENDING_BYTES), end) % np.uint64(ENDINGS)
     return words, different, ending.astype(np.int64), place.reshape(-1)
@@ -218,8 +222,9 @@ class Sides:
     def __init__(self, table: np.ndarray):
         self.values = np.concatenate([table, table.T, np.diag(table)[None]])
         self.logs = x_log_x(self.values)
-        most = SMALL_BYTES // self.values.nbytes
-        self.small = np.stack([np.zeros_like(self.logs), *(x_log_x(self.values + n) - self.logs for n in range(1, most))]) if most > 1 else None
+        most = 2 * SMALL_BYTES // self.values.nbytes
+        # single precision: sums of gains are compared, not kept
+        self.small = np.stack([np.zeros_like(self.logs), *(x_log_x(self.values + n) - self.logs for n in range(1, most))]).astype(np.float32) if most > 1 else None
 
     def added(self, k: np.ndarray, n: np.ndarray) -> np.ndarray:
         if self.small is None:
@@ -257,12 +262,12 @@ def best_of_many(table: np.ndarray, own: np.ndarray, size: np.ndarray, k: np.nda
         loss = np.add.reduceat(sides.logs[kk, mine] - x_log_x(np.maximum(held - nn, 0)), begin)
         before = np.add.reduceat(np.where((kk < width) | (kk == 2 * width), nn, 0), begin)
         after = np.add.reduceat(np.where(kk >= width, nn, 0), begin)
-        gain -= x_log_x(out + after[:, None]) - out_logs + x_log_x(into + before[:, None]) - into_logs
+        gain = gain - (x_log_x(out + after[:, None]) - out_logs + x_log_x(into + before[:, None]) - into_logs)
         at = own[words]
         loss -= out_logs[at] - x_log_x(np.maximum(out[at] - after, 0)) + into_logs[at] - x_log_x(np.maximum(into[at] - before, 0))
         gain[np.arange(len(words)), at] = loss
         best = among[gain[:, among].argmax(axis=1)]
-        moves = gain[np.arange(len(words)), best] > loss + 1e-9
+        moves = gain[np.arange(len(words)), best] > loss + 1e-5
         classes[words[moves]] = best[moves]
     return classes
 
