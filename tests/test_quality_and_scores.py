@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lectern import constants as C
-from lectern.operators import answers, neardup, ordered, quality, retrieval, routing, scoring, sessions, split, stats
+from lectern.operators import answers, neardup, ordered, quality, retrieval, routing, scoring, search, sessions, split, stats
 from lectern.operators.embed import isolating_vectorizer, split_failures
 from lectern.plans import prepare
 
@@ -270,6 +270,34 @@ def test_model_benchmark_survives_a_failure(spark):
     assert retrieval.choose_model(results).first()["model_id"] == "good"
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_models_of_several_sizes_share_one_scan(spark, monkeypatch, limit):
+    if limit is not None:
+        monkeypatch.setattr(retrieval, "BROADCAST_BYTES", limit)
+    rng = np.random.default_rng(2)
+
+    def model(size, n=60, asked=7):
+        p, q = rng.normal(size=(n, size)).tolist(), rng.normal(size=(asked, size)).tolist()
+        return (
+            spark.createDataFrame([(f"p{i}", v) for i, v in enumerate(p)] + [("none", None)], "point_id string, vector array<double>"),
+            spark.createDataFrame(list(enumerate(q)), "query_id long, vector array<double>"),
+        )
+
+    odd = model(3)[0], model(4)[1]
+    models = {"a": model(4), "b": model(9), "mixed": odd, "empty": (odd[0].limit(0), odd[1])}
+    for m in ("a", "b"):
+        both = [t.withColumn("model_id", F.lit(m)) for t in models[m]]
+        got = retrieval.top_k_by_model(both[0].where("vector IS NOT NULL"), both[1], 3).select("query_id", "point_id", "score", "rank")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, search.top_k(*models[m], 3).select(got.columns).collect()))
+    gold = spark.createDataFrame([(i, f"p{i * 5}") for i in range(7)] + [(99, "p1")], "query_id long, gold_id string")
+    got = {r["model_id"]: r for r in retrieval.benchmark_models(spark, {m: lambda t=t: t for m, t in models.items()}, gold).collect()}
+    assert {m: r["vector_dim"] for m, r in got.items()} == {"a": 4, "b": 9, "mixed": 0, "empty": 0} and "3, 4" in got["mixed"]["error"]
+    for m in ("a", "b"):
+        ranks = retrieval.gold_ranks(search.top_k(*models[m], 3), gold)
+        want = {r["k"]: r["recall"] for r in retrieval.recall_at(ranks).collect()}
+        assert (got[m]["top1_acc"], got[m]["top3_recall"]) == (want[1], want[3])
+
+
 def test_failed_text_is_named(spark):
     def load():
         def encode(batch):
