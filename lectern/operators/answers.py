@@ -37,11 +37,21 @@ def fold_attempts(
     A question whose attempts so far are all weak and fewer than the maximum has no
     final answer yet: its last attempt is returned with `needs_retry` true.
     """
+    return picked(folded_attempts(df, question, attempt, answer, phrases), question)
+
+
+def folded_attempts(
+    df: DataFrame, question: str = "question_id", attempt: str = "attempt", answer: str = "answer",
+    phrases: Sequence[str] = C.WEAK_PHRASES,
+) -> DataFrame:
+    """Batch or streaming: (question, done, last), the first attempt that ends the question and the last one so far."""
     ends = ~needs_retry(answer, attempt, phrases)
     final = F.struct(F.col(attempt).alias("attempts"), F.col(answer).alias("answer"))
-    folded = df.groupBy(question).agg(
-        F.min(F.when(ends, final)).alias("done"), F.max(final).alias("last")
-    )
+    return df.groupBy(question).agg(F.min(F.when(ends, final)).alias("done"), F.max(final).alias("last"))
+
+
+def picked(folded: DataFrame, question: str) -> DataFrame:
+    """Final answers of rows (question, done, last): the ending attempt, else the last one."""
     pick = F.coalesce("done", "last")
     return folded.select(
         question, pick["attempts"].alias("attempts"), pick["answer"].alias("answer"),

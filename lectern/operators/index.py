@@ -144,6 +144,11 @@ def scan_collection(points: DataFrame) -> DataFrame:
 
 def list_documents(points: DataFrame) -> DataFrame:
     """Per document: source and subject of its first chunk, its pages, page and chunk counts."""
+    return merged_documents(document_parts(points))
+
+
+def document_parts(points: DataFrame) -> DataFrame:
+    """What a set of points tells of its documents: (doc_id, head, pages, n). Parts of different points add up."""
     doc = F.coalesce(F.col("doc_id"), F.lit(C.UNKNOWN_DOC))
     page = F.coalesce(F.col("page_num"), F.lit(0))
     first = F.coalesce(F.col("chunk_index"), F.lit(0))
@@ -152,11 +157,22 @@ def list_documents(points: DataFrame) -> DataFrame:
         F.min(F.struct(first.alias("i"), "source", "subject")).alias("head"), F.count("*").alias("n")
     )
     return per_page.groupBy("doc_id").agg(
-        F.min("head").alias("head"),
-        F.array_sort(F.collect_set("page")).alias("pages"),
-        F.count("*").alias("page_count"),
-        F.sum("n").cast("bigint").alias("chunk_count"),
-    ).select("doc_id", F.col("head.source").alias("source"), F.col("head.subject").alias("subject"), "pages", "page_count", "chunk_count")
+        F.min("head").alias("head"), F.array_sort(F.collect_set("page")).alias("pages"), F.sum("n").cast("bigint").alias("n")
+    )
+
+
+def merged_documents(parts: DataFrame, parts_only: bool = False) -> DataFrame:
+    """Parts of the same documents put together, as the list of documents or as parts again."""
+    merged = parts.groupBy("doc_id").agg(
+        F.min("head").alias("head"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("pages")))).alias("pages"),
+        F.sum("n").cast("bigint").alias("n"),
+    )
+    if parts_only:
+        return merged
+    return merged.select(
+        "doc_id", F.col("head.source").alias("source"), F.col("head.subject").alias("subject"), "pages",
+        F.size("pages").cast("bigint").alias("page_count"), F.col("n").alias("chunk_count"),
+    )
 
 
 def upload_report(uploads: DataFrame, new_points: DataFrame, file: str = "file_id") -> DataFrame:

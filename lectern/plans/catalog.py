@@ -871,6 +871,15 @@ def fold_attempts(spark, sf_dir):
     return answers.fold_attempts(_weak_attempts(spark, sf_dir))
 
 
+@query
+def fold_attempts_stream(spark, sf_dir):
+    """The attempts arrive in several files, those of a question spread over them."""
+    path = shared_path(spark, "stream-attempts")
+    _weak_attempts(spark, sf_dir).repartition(STREAM_FILES).write.parquet(path)
+    folded = jobs.run_attempt_folds(spark, jobs.file_stream(spark, path, files_per_trigger=1))
+    return folded.select("question_id", "attempts", "answer", "needs_retry")
+
+
 @query
 def cited_sources(spark, sf_dir):
     checked = answers.check_cited_sources(R.cited_answers(spark, sf_dir))
@@ -953,6 +962,16 @@ def ingest_stream(spark, sf_dir):
     return jobs.run_ingest(spark, stream, to_points).select("point_id", "doc_id", *_long("chunk_index"))
 
 
+@query
+def list_documents_stream(spark, sf_dir):
+    """The chunks of all documents arrive in several files."""
+    points = ingest.index_documents(R.conversation_pages(spark, sf_dir), window_chunks("text"), vectorizer, normalize=False)
+    path = shared_path(spark, "stream-points")
+    index.scan_collection(points).repartition(STREAM_FILES).write.parquet(path)
+    listed = jobs.run_document_summaries(spark, jobs.file_stream(spark, path, files_per_trigger=1))
+    return listed.select("doc_id", "source", "subject", _joined("pages"), *_long("page_count", "chunk_count"))
+
+
 def _steps(events):
     return events.select(
         F.col("user_id").alias("run_id"), F.col("event_id").alias("step"), F.col("event_type").alias("field"), F.col("props").alias("value")

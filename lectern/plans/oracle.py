@@ -158,6 +158,7 @@ firsts AS (SELECT * FROM (SELECT * FROM pages_ WHERE subject = 'en' QUALIFY row_
 SELECT subject, count(*) AS chunks, count(*) FILTER (subject <> 'en') AS new_chunks FROM wins GROUP BY subject"""
 SQL["index_upsert"] = f"WITH {POINTS} SELECT point_id, doc_id, CASE WHEN subject = 'de' THEN 'almanca' ELSE subject END AS subject FROM kpoints"
 SQL["collection_upsert"] = SQL["index_upsert"]
+SQL["list_documents_stream"] = SQL["list_documents"]
 SQL["ingest_stream"] = f"WITH {POINTS} SELECT point_id, doc_id, chunk_index FROM kpoints"
 SQL["blank_documents"] = "SELECT conv_id AS file_id FROM conversations GROUP BY conv_id HAVING max(length(text)) <= 200"
 SQL["keyword_vectors"] = f"""SELECT rec_id, CAST(i AS BIGINT) AS i, round(CASE WHEN nh = 0 THEN 0 ELSE hits[i + 1] / sqrt(nh) END, 6) AS x
@@ -403,6 +404,7 @@ SQL["fold_attempts"] = f"""WITH {ATTEMPTS}, done AS (SELECT question_id, min(att
 last_ AS (SELECT question_id, max(attempt) AS a FROM flags GROUP BY question_id)
 SELECT f.question_id, f.attempt AS attempts, f.answer, d.attempts IS NULL AS needs_retry
 FROM last_ l LEFT JOIN done d USING (question_id) JOIN flags f ON f.question_id = l.question_id AND f.attempt = coalesce(d.attempts, l.a)"""
+SQL["fold_attempts_stream"] = SQL["fold_attempts"]
 SQL["cited_sources"] = """WITH refs AS (SELECT doc_id AS rec_id, doc_id % 3 AS third, regexp_extract_all(text, '\\b[A-ZÇĞİÖŞÜ][a-zçğıöşü]+(?:,\\s+[A-ZÇĞİÖŞÜ]\\.)?\\s+\\([0-9]{4}\\)') AS own FROM documents),
 all_ AS (SELECT rec_id, third, CASE WHEN third = 1 THEN list_append(own, 'Ekinci, A. (2001)') ELSE own END AS academic FROM refs)
 SELECT rec_id, len(academic) = 0 AND third = 2 AS is_clean, array_to_string(academic, '|') AS academic_refs,

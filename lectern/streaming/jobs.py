@@ -1,4 +1,4 @@
-"""Structured Streaming versions of the three incremental jobs."""
+"""Structured Streaming versions of the incremental jobs."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lectern.operators.answers import folded_attempts, picked
+from lectern.operators.index import document_parts, merged_documents
 from lectern.operators.sessions import rollup_aggregates
 from lectern.session import shared_path
 
@@ -116,3 +118,62 @@ def run_folded_steps(spark: SparkSession, steps: DataFrame) -> DataFrame:
     _drain(folded_steps(steps), "update", write, f"{base}/state")
     rows = spark.read.parquet(f"{base}/out")
     return rows.groupBy("run_id", "field").agg(F.max_by("value", "batch").alias("value"))
+
+
+def attempt_folds(attempts: DataFrame, out: str, state: str, question: str = "question_id") -> StreamingQuery:
+    """Fold arriving attempts; each trigger writes the questions it touched under its batch number.
+
+    A fold is a minimum and a maximum per question, so attempts may arrive in any order and any batch, and a hot question
+    merges map-side. Questions never expire: the state holds one row per question.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return _drain(folded_attempts(attempts, question), "update", write, state)
+
+
+def current_attempts(spark: SparkSession, out: str, question: str = "question_id") -> DataFrame:
+    """Result of `fold_attempts` over all triggers."""
+    rows = spark.read.parquet(out)
+    return picked(rows.groupBy(question).agg(F.min("done").alias("done"), F.max("last").alias("last")), question)
+
+
+def run_attempt_folds(spark: SparkSession, attempts: DataFrame, question: str = "question_id") -> DataFrame:
+    base = shared_path(spark, "attempts")
+    attempt_folds(attempts, f"{base}/out", f"{base}/state", question)
+    return current_attempts(spark, f"{base}/out", question)
+
+
+def document_summaries(points: DataFrame, out: str, state: str) -> StreamingQuery:
+    """Keep the list of documents current: each batch adds the parts that its points make, no earlier point is read again.
+
+    Every `COMPACT` batches the folder of the batch holds the merged parts of all so far, and reading starts there.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        parts = document_parts(batch)
+        if number and number % COMPACT == 0:
+            parts = merged_documents(parts.unionByName(_parts(batch.sparkSession, out, number)), parts_only=True)
+        parts.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return _drain(points, "append", each, state)
+
+
+def _parts(spark: SparkSession, out: str, before: int | None = None) -> DataFrame:
+    """Parts of the batches that count: the last merged one and those after it."""
+    rows = spark.read.parquet(out)
+    newest = before - 1 if before is not None else rows.agg(F.max("batch")).first()[0] or 0
+    live = F.col("batch").between(newest // COMPACT * COMPACT, newest)
+    return rows.where(live).drop("batch")
+
+
+def current_documents(spark: SparkSession, out: str) -> DataFrame:
+    """Result of `list_documents` over all points that came so far."""
+    return merged_documents(_parts(spark, out))
+
+
+def run_document_summaries(spark: SparkSession, points: DataFrame) -> DataFrame:
+    base = shared_path(spark, "summaries")
+    document_summaries(points, f"{base}/out", f"{base}/state")
+    return current_documents(spark, f"{base}/out")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lectern import constants as C
 from lectern.functions.vectors import keyword_vector
-from lectern.operators import index, retrieval, search
+from lectern.operators import answers, index, retrieval, search
 from lectern.operators.chunking import chunk_spans, recursive_chunks
 from lectern.operators.embed import embed_queries
 from lectern.plans import ingest
@@ -238,6 +238,39 @@ def test_stream_counters_restart_from_state(spark, tmp_path):
     assert got == {1: (3, 9, ["a", "b"]), 2: (1, 3, ["a"]), 3: (1, 2, ["c"])}
 
 
+def test_attempts_fold_over_batches_and_a_restart(spark, tmp_path):
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    good, schema = "x" * 80, "question_id int, attempt bigint, answer string"
+    batches = [[(1, 2, good), (2, 1, "kısa"), (4, 1, None)], [(1, 1, "kısa"), (2, 3, "kısa"), (3, 2, "b")], [(2, 2, "kısa"), (3, 1, good), (4, 2, "az")]]
+    rows = [r for b in batches for r in b]
+    for part in (batches[:2], batches[2:]):
+        for b in part:
+            spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(folder)
+        jobs.attempt_folds(jobs.file_stream(spark, folder, files_per_trigger=1), out, state)
+    whole = answers.fold_attempts(spark.createDataFrame(rows, schema)).collect()
+    got = jobs.current_attempts(spark, out).collect()
+    assert sorted(got) == sorted(whole) and len(whole) == 4
+    assert spark.read.parquet(out).select("batch").distinct().count() == 3
+
+
+def test_documents_are_listed_over_batches_and_a_restart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "COMPACT", 2)
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "doc_id string, source string, subject string, page_num int, chunk_index int"
+    batches = [
+        [("a", "s", "x", 1, 1), ("a", "s", "x", 1, 2), (None, "t", None, None, None)],
+        [("a", "s", "x", 2, 3), ("b", "u", "y", 0, 0)], [("a", "s0", "x0", 0, 0), ("b", "u", "y", 0, 1)], [("c", None, "z", 5, 0)], [("a", "s", "x", 2, 4)],
+    ]
+    rows = [r for b in batches for r in b]
+    for part in (batches[:4], batches[4:]):
+        for b in part:
+            spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(folder)
+        jobs.document_summaries(jobs.file_stream(spark, folder, files_per_trigger=1), out, state)
+    whole = {r["doc_id"]: r for r in index.list_documents(spark.createDataFrame(rows, schema)).collect()}
+    got = {r["doc_id"]: r for r in jobs.current_documents(spark, out).collect()}
+    assert got == whole and got["a"]["pages"] == [0, 1, 2] and got["a"]["chunk_count"] == 5 and got["a"]["source"] == "s0"
+
+
 def test_long_text_without_separators():
     text = "x" * 10_000_000
     spans = list(chunk_spans(text, 0, len(text), 500, 50, C.SEPARATORS))
