@@ -1,8 +1,9 @@
 """Toxicity scores by a classifier that is regularised against its own counterfactuals.
 
-Method: a logistic model over the presence of words and word beginnings. For every training text that mentions a group of
-people, a second text with the mention swapped for another group is made, and the squared change of the logit between the two is
-part of the loss. A group's name can then not carry a score, however often labelled insults mention it.
+Method: a logistic model over the presence of words and word beginnings. Every labelled training text gets two counterfactuals:
+one mentions a group of people at a place that a hash of the text picks (beside the mentions it has already), the other is that
+one with every mention swapped for another group. The squared changes of the logit by the mention and by the swap are part of the
+loss, so a group's name can't carry a score, however often labelled insults mention it, and a neutral mention changes nothing.
 
 Labels come from rows whose crc32(doc_id) mod 4 is not 2, and of those from the `SAMPLE` rows with the smallest hash of
 doc_id (all of them while there are fewer). Spark counts in how many toxic and other sample texts each feature occurs; the
@@ -36,12 +37,17 @@ THRESHOLD = 0.3
 #: Word beginnings that count as features, in bytes.
 BEGINNINGS = (4, 5, 6)
 RIDGE, FAIRNESS = 1e-4, 1.0
+#: Lists of feature places per sample text: its own; what a mention adds and takes; what a swap adds and takes.
+PARTS = ("own", "named_adds", "named_takes", "swap_adds", "swap_takes")
 #: Names of groups that a text may mention neutrally; each is swapped for the next of its row.
 IDENTITY = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"), ("lesbian", "gay", "straight", "bisexual", "transgender"),
     ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist"), ("christians", "muslims", "jews", "hindus", "buddhists", "atheists"),
     ("black", "white", "asian", "latino"), ("african", "european", "american", "arab"), ("immigrants", "refugees", "natives"),
     ("disabled", "deaf", "blind", "elderly"),
+    ("frauen", "männer"), ("christen", "muslime", "juden", "buddhisten"), ("einwanderer", "flüchtlinge"),
+    ("femmes", "hommes"), ("chrétiens", "musulmans", "juifs", "bouddhistes"), ("immigrés", "réfugiés"),
+    ("mujeres", "hombres"), ("cristianos", "musulmanes", "judíos", "budistas"), ("inmigrantes", "refugiados"),
 )
 
 
@@ -58,7 +64,17 @@ def swapped(text: str) -> str:
     import regex
 
     names = swaps()
-    return regex.sub(r"[A-Za-z]+", lambda m: names.get(m[0].lower(), m[0]), text)
+    return regex.sub(r"\p{L}+", lambda m: names.get(m[0].lower(), m[0]), text)
+
+
+def mentioning(text: str) -> str:
+    """text with one more group name, put behind a word; hashes of the text pick the word and the name."""
+    from xxhash import xxh64_intdigest
+
+    body, names = text.encode("utf-8", "surrogatepass"), sorted(swaps())
+    at = text.find(" ", xxh64_intdigest(body, 1) % (len(text) + 1))
+    at = len(text) if at < 0 else at
+    return f"{text[:at]} {names[xxh64_intdigest(body, 2) % len(names)]} {text[at:]}"
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -102,30 +118,41 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(count), pa.array(toxic)], ["code", "n", "toxic"])
 
 
+def _lists(pair: np.ndarray, rows: int, width: int) -> pa.ListArray:
+    """One list of places per text from sorted row * width + place."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(pair // max(1, width), minlength=rows))])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array((pair % max(1, width)).astype(np.int32)))
+
+
 def _rows(chosen: np.ndarray):
-    """Sample texts and their counterfactuals as places of chosen features."""
+    """Sample texts as places of chosen features, and the places in which their counterfactuals differ."""
+    width = len(chosen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            other = [swapped(t) for t in texts]
-            out = []
-            for version in (texts, other):
+            own = [t or "" for t in batch.column("text").to_pylist()]
+            with_name = [mentioning(t) for t in own]
+            found = []
+            for version in (own, with_name, [swapped(t) for t in with_name]):
                 row, place = known(*features(pa.array(version, pa.large_string())), chosen)
-                ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(texts)))])
-                out.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(place.astype(np.int32))))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), *out], ["label", "own", "other"])
+                found.append(row * width + place)
+            plain, named, other = found
+            changes = [np.setdiff1d(named, plain), np.setdiff1d(plain, named), np.setdiff1d(other, named), np.setdiff1d(named, other)]
+            lists = [_lists(pair, len(own), width) for pair in (plain, *changes)]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), *lists], ["label", *PARTS])
 
     return run
 
 
 class Sparse:
-    """Rows of feature places, multiplied with numpy."""
+    """Rows of feature places (an Arrow column of lists), multiplied with numpy."""
 
-    def __init__(self, rows: list[list[int]], width: int):
-        self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.place = np.fromiter((p for r in rows for p in r), np.int64, len(self.row))
-        self.shape = (len(rows), width)
+    def __init__(self, rows: pa.ChunkedArray | pa.Array, width: int):
+        chunks = rows.chunks if isinstance(rows, pa.ChunkedArray) else [rows]
+        size = np.concatenate([np.empty(0, np.int64)] + [np.diff(c.offsets.to_numpy()) for c in chunks])
+        self.row = np.repeat(np.arange(len(size)), size)
+        self.place = np.concatenate([np.empty(0, np.int64)] + [c.flatten().to_numpy() for c in chunks])
+        self.shape = (len(size), width)
 
     def times(self, weight: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights=weight[self.place], minlength=self.shape[0])
@@ -134,10 +161,14 @@ class Sparse:
         return np.bincount(self.place, weights=value[self.row], minlength=self.shape[1])
 
 
-def fit(own: list[list[int]], other: list[list[int]], label: np.ndarray, width: int, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise log loss + ridge + squared logit change under the swap (Adam steps)."""
-    moved = [i for i, (a, b) in enumerate(zip(own, other)) if a != b]
-    x, a, b = Sparse(own, width), Sparse([own[i] for i in moved], width), Sparse([other[i] for i in moved], width)
+def fit(rows: pa.Table, width: int, fairness: float = FAIRNESS, steps: int = 400) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise log loss + ridge + fairness x mean squared logit changes of the counterfactuals (Adam steps).
+
+    rows: label and the lists of `PARTS`: the text's own features, those that the mention adds and takes, those that the swap
+    adds and takes. A change of the logit is a difference of weights, so only the places that differ are multiplied.
+    """
+    label = rows.column("label").to_numpy().astype(float)
+    x, *sides = [Sparse(rows.column(part), width) for part in PARTS]
     rate = (label.sum() + 0.5) / (len(label) + 1)
     value = np.zeros(width + 1)
     value[-1] = np.log(rate / (1 - rate))
@@ -146,9 +177,9 @@ def fit(own: list[list[int]], other: list[list[int]], label: np.ndarray, width:
         weight, bias = value[:-1], value[-1]
         error = (1 / (1 + np.exp(-(x.times(weight) + bias))) - label) / max(1, len(label))
         slope = np.append(x.back(error) + RIDGE * weight, error.sum())
-        if moved:
-            change = 2 * FAIRNESS * (a.times(weight) - b.times(weight)) / len(moved)
-            slope[:-1] += a.back(change) - b.back(change)
+        for adds, takes in (sides[:2], sides[2:]):
+            change = 2 * fairness * (adds.times(weight) - takes.times(weight)) / max(1, len(label))
+            slope[:-1] += adds.back(change) - takes.back(change)
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         pace = 0.1 * (1 - step / (steps + 1))
         value -= pace * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
@@ -163,7 +194,7 @@ def sample_of(docs: DataFrame, labels: DataFrame, column: str, rows: int = SAMPL
     return saved(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label").repartition(max(1, rows // 1000)), "sample")
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, width: int = FEATURES, least: int = LEAST):
+def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, width: int = FEATURES, least: int = LEAST, fairness: float = FAIRNESS):
     """(chosen feature hashes, sorted; weights; bias)."""
     sample = sample_of(docs, labels, "toxic", rows)
     total = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
@@ -178,8 +209,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, width: int = F
     best = best.orderBy(F.col("apart").desc(), "code").limit(width).collect()
     names = name_features()
     chosen = np.unique(np.concatenate([np.array([r["code"] for r in best], dtype=np.int64).view(np.uint64), names]))
-    found = sample.mapInArrow(_rows(chosen), "label int, own array<int>, other array<int>").toArrow().to_pydict()
-    weight, bias = fit(found["own"], found["other"], np.array(found["label"], dtype=float), len(chosen))
+    found = sample.mapInArrow(_rows(chosen), "label int, " + ", ".join(f"{part} array<int>" for part in PARTS)).toArrow()
+    weight, bias = fit(found, len(chosen), fairness)
     return chosen, weight, bias
 
 
@@ -199,9 +230,27 @@ def _scores(model):
     return run
 
 
+def _counterfactuals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        own = [t or "" for t in batch.column("text").to_pylist()]
+        named = [mentioning(t) for t in own]
+        for kind, texts in (("own", own), ("named", named), ("swapped", [swapped(t) for t in named])):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([kind] * len(texts)), pa.array(texts)], ["doc_id", "version", "text"])
+
+
+def counterfactual_scores(docs: DataFrame, labels: DataFrame, fairness: float = FAIRNESS) -> DataFrame:
+    """(doc_id, version, text, __score) of each text, of the text with a mention and of that with its mentions swapped."""
+    texts = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(_counterfactuals, "doc_id long, version string, text string")
+    return _with_scores(texts, train(docs, labels, fairness=fairness))
+
+
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs with __score."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    return _with_scores(docs, train(docs, labels))
+
+
+def _with_scores(docs: DataFrame, trained) -> DataFrame:
+    model = docs.sparkSession.sparkContext.broadcast(trained)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", __score double"
     return docs.mapInArrow(_scores(model), schema)
 

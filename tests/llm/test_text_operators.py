@@ -267,6 +267,70 @@ def test_toxicity(spark, no_docs):
     assert len({r["__score"] for r in toxicity.scored(docs, labels.limit(0)).collect()}) == 1
 
 
+def test_toxicity_penalty_acts(spark):
+    """Insults always come with "women": without the penalty the word alone makes calm texts toxic."""
+    docs, labels = labelled(spark)
+    alarms = {}
+    for fairness in (0.0, toxicity.FAIRNESS):
+        rows = toxicity.counterfactual_scores(docs.filter("doc_id < 400"), labels, fairness).collect()
+        score = {(r["doc_id"], r["version"]): r["__score"] for r in rows}
+        assert len(score) == 3 * 400
+        alarms[fairness] = np.mean([abs(score[i, "named"] - score[i, "own"]) + abs(score[i, "swapped"] - score[i, "named"]) for i in range(400)])
+    assert alarms[toxicity.FAIRNESS] < 0.2 * alarms[0.0]
+
+
+def plain_features(text):
+    found = set()
+    for word in re.findall(r"[^\W\d_]+", text.lower()):
+        found |= {("word", word)} | {(k, word[:k]) for k in toxicity.BEGINNINGS if len(word) > k}
+    return found
+
+
+def test_toxicity_loss_and_scores_restated(spark):
+    """On 30 ASCII rows: features, counterfactual differences, loss at its minimum, and scores, all with sets and dictionaries."""
+    rng = np.random.default_rng(8)
+    words = ["calm", "quiet", "nasty", "nastiest", "women", "womenfolk", "deaf", "walking", "walkers"]
+    texts = [" ".join(rng.choice(words, 6)) for _ in range(30)]
+    labels = [int("nast" in t) for t in texts]
+    names = sorted(set().union(*(plain_features(t) | plain_features(toxicity.mentioning(t)) for t in texts)), key=str)
+
+    def code(name):
+        hashed = toxicity.features(pa.array([name[1] if name[0] == "word" else name[1] + "x" * 9]))[1]
+        return int(hashed[0]) if name[0] == "word" else int(hashed[1 + toxicity.BEGINNINGS.index(name[0])])
+
+    chosen = np.array(sorted(code(n) for n in names), dtype=np.uint64)
+    place = {n: int(np.searchsorted(chosen, np.uint64(code(n)))) for n in names}
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(labels)], ["text", "label"])
+    rows = pa.Table.from_batches(list(toxicity._rows(chosen)(iter([batch]))))
+    versions = [[plain_features(v) & set(names) for v in (t, toxicity.mentioning(t), toxicity.swapped(toxicity.mentioning(t)))] for t in texts]
+    for got, (own, named, other) in zip(rows.to_pylist(), versions):
+        want = (own, named - own, own - named, other - named, named - other)
+        assert [set(got[part]) for part in toxicity.PARTS] == [{place[n] for n in part} for part in want]
+
+    def loss(weight, bias):
+        total = 0.0
+        for label, parts in zip(labels, versions):
+            own, named, other = (bias + sum(weight[place[n]] for n in part) for part in parts)
+            total += np.logaddexp(0, own) - label * own + toxicity.FAIRNESS * ((named - own) ** 2 + (other - named) ** 2)
+        return total / len(texts) + toxicity.RIDGE / 2 * float(weight @ weight)
+
+    weight, bias = toxicity.fit(rows, len(chosen), steps=3000)
+    least = loss(weight, bias)
+    for trial in range(50):
+        step = rng.normal(size=len(weight) + 1) * 0.1
+        assert loss(weight + step[:-1], bias + step[-1]) >= least - 1e-6
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["__score"] for r in toxicity._with_scores(docs, (chosen, weight, bias)).collect()}
+    for i, parts in enumerate(versions):
+        assert abs(found[i] - 1 / (1 + np.exp(-bias - sum(weight[place[n]] for n in parts[0])))) < 1e-9
+
+
+def test_mention_and_swap_of_odd_texts():
+    assert toxicity.mentioning("").strip() in toxicity.swaps() and toxicity.mentioning("a b") == toxicity.mentioning("a b")
+    assert toxicity.swapped("Männer und FRAUEN") == "frauen und männer"
+    assert sum(len(row) for row in toxicity.IDENTITY) == len(toxicity.swaps())
+
+
 def test_swap_is_a_closed_exchange():
     assert toxicity.swapped("Women and Muslims, not womenfolk") == "men and jews, not womenfolk"
     names = toxicity.swaps()
