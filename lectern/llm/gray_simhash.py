@@ -1,15 +1,16 @@
 """SimHash near-dedup: fingerprints within a few bits are linked, groups are the connected ones.
 
 Method: a hierarchical index over fingerprints in Gray-rank order. Neighbours in that order share most bits, so a node of the
-index keeps the bits that all its fingerprints share (a masked pattern). A search goes down level by level with the
-differences accumulated on the shared bits: a node whose shared bits already differ in too many places is pruned with
-everything below it, a node that cannot differ in too many places is linked as a whole, and a node whose fingerprints are
-known to belong to the searcher's group is left out.
+index stands for some neighbours and keeps the bits that they all share and that its parent doesn't hold yet (a masked
+pattern). A search goes down level by level and carries the differences found so far: a node adds those on its own bits; if
+there are too many, everything below it is pruned, if there can't be too many, it is linked as a whole, and a node whose
+fingerprints are known to belong to the searcher's group is left out.
 
 So that no search meets all fingerprints, they are dealt out by content first: of five blocks of bits, two fingerprints that
-differ in at most four bits agree in one. Each block value is a bucket with an index of its own; a bucket over `CAP`
-fingerprints is dealt again by five blocks of its remaining bits, and if that does not split it, by pairs of parts. A bucket
-sends on one link per fingerprint, not its pairs. Equal fingerprints are one row throughout.
+differ in at most four bits agree in one, and in every part of it. Of each block only as many bits are used as leave about
+`FILL` fingerprints for a bucket, so the index of a bucket is deep enough to prune; the rest of the search is its work. A
+bucket over `CAP` fingerprints is dealt again by five blocks of its remaining bits, and if that does not split it, by pairs of
+parts. A bucket sends on one link per fingerprint, not its pairs. Equal fingerprints are one row throughout.
 
 Odd input: texts without words have fingerprint zero and are linked like others; a row without doc_id gets its fingerprint and
 the component of that fingerprint, null if no row with an id is linked; repeated rows get equal results; an empty table gives
@@ -18,6 +19,7 @@ no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,12 +34,12 @@ from lectern.llm.words import slices
 SHINGLE = 4
 SEED = 42
 BITS = 4
-#: Fingerprints of one bucket that are indexed together.
-CAP = 20_000
+#: Fingerprints of one bucket on average, and that are indexed together at most.
+FILL, CAP = 4096, 20_000
 #: Fingerprints of a shard (many buckets) on average.
 SHARD = 40_000
 LEVELS = 3
-FAN = 8
+FAN = 4
 #: (searcher, node) pairs looked at together.
 PAIRS = 2_000_000
 
@@ -114,9 +116,15 @@ class GrayIndex:
         self.both = [np.bitwise_and.reduceat(self.code, s) for s in self.starts]
         self.shared = [~(both ^ np.bitwise_or.reduceat(self.code, s)) for both, s in zip(self.both, self.starts)]
         self.child = [np.searchsorted(low, high) for low, high in zip(self.starts, self.starts[1:])]
+        # bits that a node shares and its parent does not
+        self.fresh = self.shared[-1:]
+        for level in range(len(self.starts) - 2, -1, -1):
+            parent = np.searchsorted(self.starts[level + 1], self.starts[level], side="right") - 1
+            self.fresh.insert(0, self.shared[level] & ~self.shared[level + 1][parent])
+        self.compared = 0
 
     def groups(self, bits: int) -> np.ndarray:
-        """Per fingerprint (in sorted order) the first one of its group."""
+        """Per fingerprint (in sorted order) the first one of its group; `compared` counts single fingerprints that were met."""
         n = len(self.code)
         group = np.arange(n)
         load = np.cumsum(self.size[self.bucket])
@@ -130,16 +138,16 @@ class GrayIndex:
     def _search(self, asked: np.ndarray, bits: int, group: np.ndarray) -> None:
         n = len(self.code)
         who, node = asked, self.bucket[asked]
+        above = np.zeros(len(asked), dtype=np.int64)
         for level in range(len(self.starts) - 1, -1, -1):
             start = self.starts[level]
             end = np.append(start[1:], n)
             low, high = np.minimum.reduceat(group, start), np.maximum.reduceat(group, start)
             keep = (end[node] - 1 > who) & ~((low[node] == high[node]) & (low[node] == group[who]))
             who, node = who[keep], node[keep]
-            shared = self.shared[level][node]
-            differ = np.bitwise_count((self.code[who] ^ self.both[level][node]) & shared)
+            differ = above[keep] + np.bitwise_count((self.code[who] ^ self.both[level][node]) & self.fresh[level][node])
             near = differ <= bits
-            all_in = near & (differ + (64 - np.bitwise_count(shared)) <= bits)
+            all_in = near & (differ + 64 - np.bitwise_count(self.shared[level])[node] <= bits)
             if all_in.any():
                 _unite(group, who[all_in], start[node[all_in]])
                 for whole in np.unique(node[all_in]):
@@ -147,11 +155,12 @@ class GrayIndex:
                     _unite(group, rest, np.full(len(rest), start[whole]))
             near &= ~all_in
             if level == 0:
+                self.compared += len(who)
                 return
-            who, node = who[near], node[near]
+            who, node, above = who[near], node[near], differ[near]
             first = self.child[level - 1][node]
             count = np.append(self.child[level - 1], len(self.starts[level - 1]))[node + 1] - first
-            who = np.repeat(who, count)
+            who, above = np.repeat(who, count), np.repeat(above, count)
             node = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(len(who))
 
 
@@ -169,21 +178,24 @@ def _bucket_links(bits: int):
     return run
 
 
-def _dealt(rows: DataFrame, blocks: int) -> DataFrame:
-    """Every row once per block of its remaining bits, with the bucket of that block."""
+def _dealt(rows: DataFrame, blocks: int, take: int = 64) -> DataFrame:
+    """Every row once per block of its remaining bits, with the bucket of the block's first `take` bits."""
+    if take == 0:
+        return rows
     each = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    each = each.withColumn("lo", F.expr(f"int(width * j div {blocks})")).withColumn("hi", F.expr(f"int(width * (j + 1) div {blocks})"))
+    each = each.withColumn("lo", F.expr(f"int(width * j div {blocks})")).withColumn("hi", F.expr(f"int(least(width * (j + 1) div {blocks}, lo + {take}))"))
     value = F.expr("shiftrightunsigned(rem, lo) & (shiftleft(1L, hi - lo) - 1)")
     rest = F.expr("CASE WHEN hi >= 64 THEN 0L ELSE shiftleft(shiftrightunsigned(rem, hi), lo) END | (rem & (shiftleft(1L, lo) - 1))")
     return each.select(F.xxhash64("key", "j", value).alias("key"), rest.alias("rem"), F.expr("int(width - hi + lo)").alias("width"), "fp", "id")
 
 
-def links(nodes: DataFrame, bits: int = BITS, cap: int = CAP, shard: int = SHARD) -> DataFrame:
+def links(nodes: DataFrame, bits: int = BITS, cap: int = CAP, shard: int = SHARD, fill: int = FILL) -> DataFrame:
     """(a, b) that connect all fingerprints within `bits` differing bits; nodes: distinct (fp, id)."""
+    take = max(0, math.ceil(math.log2(max(1, nodes.count()) / fill)))
     rows = nodes.select(F.lit(0).cast("long").alias("key"), F.col("fp").alias("rem"), F.lit(64).alias("width"), "fp", "id")
     found, wide = [], None
     for level in range(LEVELS):
-        rows = saved(_dealt(rows, bits + 1), "buckets")
+        rows = saved(_dealt(rows, bits + 1, 64 if level else take), "buckets")
         counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
         full = saved(counts.filter(F.col("n") > cap), "full")
         if full.isEmpty():

@@ -238,10 +238,10 @@ def _counterfactuals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([kind] * len(texts)), pa.array(texts)], ["doc_id", "version", "text"])
 
 
-def counterfactual_scores(docs: DataFrame, labels: DataFrame, fairness: float = FAIRNESS) -> DataFrame:
+def counterfactual_scores(docs: DataFrame, trained) -> DataFrame:
     """(doc_id, version, text, __score) of each text, of the text with a mention and of that with its mentions swapped."""
     texts = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(_counterfactuals, "doc_id long, version string, text string")
-    return _with_scores(texts, train(docs, labels, fairness=fairness))
+    return _with_scores(texts, trained)
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:

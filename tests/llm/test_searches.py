@@ -37,8 +37,18 @@ def test_gray_index_groups():
         assert len({(want[i], found[i]) for i in range(len(code))}) == len(set(want.values())) == len(set(found.tolist()))
 
 
-@pytest.mark.parametrize("cap", [7, 20_000])
-def test_links_of_dense_groups(spark, cap):
+def test_gray_index_prunes_groups():
+    """Of pairs of independent fingerprints over nine tenths are pruned in groups, never met one by one."""
+    code = np.unique(np.random.default_rng(3).integers(0, 2**64, 4000, dtype=np.uint64))
+    index = gray_simhash.GrayIndex(np.zeros(len(code), int), code)
+    assert len(set(index.groups(4).tolist())) == len(code)
+    assert index.compared < 0.1 * len(code) * (len(code) - 1) / 2
+    for high, low in zip(index.fresh[1:], index.fresh):
+        assert len(high) < len(low)
+
+
+@pytest.mark.parametrize("cap,fill", [(7, 4096), (20_000, 4096), (20_000, 1), (20, 16)])
+def test_links_of_dense_groups(spark, cap, fill):
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 4, dtype=np.uint64)
     code = base[rng.integers(0, 4, 250)]
@@ -48,7 +58,7 @@ def test_links_of_dense_groups(spark, cap):
     nodes = spark.createDataFrame([(int(c.astype(np.int64)), i) for i, c in enumerate(code)], "fp long, id long")
     near = [(i, j) for i in range(len(code)) for j in range(i) if (int(code[i]) ^ int(code[j])).bit_count() <= 4]
     want = plain.linked(near, range(len(code)))
-    found = {r["id"]: r["component"] for r in components(gray_simhash.links(nodes, 4, cap, 100)).collect()}
+    found = {r["id"]: r["component"] for r in components(gray_simhash.links(nodes, 4, cap, 100, fill)).collect()}
     assert all(found.get(i, i) == want[i] for i in want)
 
 

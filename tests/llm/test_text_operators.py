@@ -272,7 +272,7 @@ def test_toxicity_penalty_acts(spark):
     docs, labels = labelled(spark)
     alarms = {}
     for fairness in (0.0, toxicity.FAIRNESS):
-        rows = toxicity.counterfactual_scores(docs.filter("doc_id < 400"), labels, fairness).collect()
+        rows = toxicity.counterfactual_scores(docs.filter("doc_id < 400"), toxicity.train(docs, labels, fairness=fairness)).collect()
         score = {(r["doc_id"], r["version"]): r["__score"] for r in rows}
         assert len(score) == 3 * 400
         alarms[fairness] = np.mean([abs(score[i, "named"] - score[i, "own"]) + abs(score[i, "swapped"] - score[i, "named"]) for i in range(400)])
