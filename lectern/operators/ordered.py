@@ -100,7 +100,7 @@ def next_in_group(
     )
 
 
-def _narrowed(df: DataFrame, number: Column, lo: float, hi: float, pos: float, ranked: int, accuracy: int) -> tuple[float, float]:
+def narrowed(df: DataFrame, number: Column, lo: float, hi: float, pos: float, ranked: int, accuracy: int = 10_000) -> tuple[float, float]:
     """The bracket (lo, hi) made smaller around the rank `pos` of the whole column."""
     while True:
         below, inside = df.agg(F.count_if(number < lo), F.count_if(number.between(lo, hi))).first()
@@ -135,8 +135,13 @@ def exact_percentiles(
     lows = sketch["lo"] or [None] * len(shares)
     highs = sketch["hi"] or [None] * len(shares)
     if total > ranked:
-        pairs = [_narrowed(df, number, lo, hi, float(s) * (total - 1), ranked, accuracy) for s, lo, hi in zip(shares, lows, highs)]
+        pairs = [narrowed(df, number, lo, hi, float(s) * (total - 1), ranked, accuracy) for s, lo, hi in zip(shares, lows, highs)]
         lows, highs = [p[0] for p in pairs], [p[1] for p in pairs]
+    return ranked_between(df, number, shares, list(zip(lows, highs)), total)
+
+
+def ranked_between(df: DataFrame, number: Column, shares: Sequence[float], sides: Sequence[tuple], total: int) -> DataFrame:
+    """Percentiles (share, value) by ranking the values inside each share's bracket (lo, hi); the rest is a count."""
     brackets = F.array(
         *[
             F.struct(
@@ -145,7 +150,7 @@ def exact_percentiles(
                 F.lit(hi).cast("double").alias("hi"),
                 F.lit(float(s) * (total - 1)).alias("pos"),
             )
-            for s, lo, hi in zip(shares, lows, highs)
+            for s, (lo, hi) in zip(shares, sides)
         ]
     )
     counts = df.where(number.isNotNull()).groupBy(number.alias("v")).agg(F.count("*").alias("n"))

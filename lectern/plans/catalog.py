@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lectern import constants as C
 from lectern.functions import text as T
 from lectern.functions.vectors import dot, keyword_vector, l2_normalize, norm
-from lectern.operators import answers, cells, index, neardup, quality, retrieval, routing, rules, scoring, search, sessions, split, stats
+from lectern.operators import answers, cells, index, neardup, quality, retrieval, routing, rules, scoring, search, sessions, sketches, split, stats
 from lectern.operators.chunking import explode_single_pages, recursive_chunks, window_chunks
 from lectern.operators.collection import Collection
 from lectern.operators.embed import embed_queries, isolating_vectorizer, split_failures
@@ -1020,6 +1020,16 @@ def latency_percentiles(spark, sf_dir):
     return sessions.latency_percentiles(R.table(spark, sf_dir, "events"), "value").select("share", *_r6("value"))
 
 
+@query
+def latency_percentiles_kept(spark, sf_dir):
+    """Sketches of three batches of days are kept; their merge brackets one exact pass."""
+    events, path = R.table(spark, sf_dir, "events"), shared_path(spark, "sketches")
+    for part in range(3):
+        sketches.append_sketches(events.where(F.pmod(F.dayofyear("ts"), F.lit(3)) == part), path, "ts", "value")
+    kept = sketches.read_sketches(spark, path)
+    return sketches.exact_from_sketches(events, "value", kept, (0.5, 0.95, 0.99)).select("share", *_r6("value"))
+
+
 @query
 def daily_error_rate(spark, sf_dir):
     events = R.table(spark, sf_dir, "events")

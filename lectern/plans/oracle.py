@@ -435,6 +435,7 @@ SQL["usage_cost"] = """SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS ques
 SQL["latency_percentiles"] = " UNION ALL ".join(
     f"SELECT CAST({p} AS DOUBLE) AS share, round(quantile_cont(value, {p}), 6) AS value FROM events" for p in (0.5, 0.95, 0.99)
 )
+SQL["latency_percentiles_kept"] = SQL["latency_percentiles"]
 SQL["daily_error_rate"] = """SELECT count(*) AS n, round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) AS error_rate FROM events
 WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 24 HOURS"""
 
