@@ -18,7 +18,8 @@ per row and task leaves the workers, and the work is done in three exact stages:
    the leaves follow the number of rows. A row is also copied to a neighbouring cell
    when the plane between the two pivots is within reach, which misses nothing. A cell
    that a split wouldn't make cheaper (most of its rows lie near every border) stays
-   whole; leaves larger than a block are cut into sub-blocks that meet pairwise.
+   whole; leaves larger than a block are cut into sub-blocks that meet pairwise, as few
+   as memory and cores allow, because every row is copied once per sub-block.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ PIVOT_BYTES = 32 * 1024 * 1024
 #: A split must save this share of a cell's comparisons.
 SAVES = 0.25
 SWEEP_SHARE = 0.05
+#: Sub-blocks of a large leaf, unless they would be larger than BLOCK_BYTES: enough pairs of them for some dozen cores.
+FEW = 8
 LEAST_BLOCK = 2
 #: Leaves larger than a block whose number of sub-blocks is broadcast.
 BROADCAST_LEAVES = 100_000
@@ -256,9 +259,14 @@ def _placed(rows: DataFrame, t: float, n: int, dim: int, block: int) -> tuple[Da
     return placed, sizes
 
 
-def _gridded(placed: DataFrame, sizes: dict[int, int], block: int) -> DataFrame:
+def _subs(size: int, block: int, most: int) -> int:
+    """Sub-blocks of a leaf: of a block each, but no more than `FEW` unless they would hold more than `most` rows."""
+    return min(math.ceil(size / block), max(FEW, math.ceil(size / most)))
+
+
+def _gridded(placed: DataFrame, sizes: dict[int, int], block: int, most: int) -> DataFrame:
     """Every row once per sub-block pair (a, b) of its leaf that it belongs to."""
-    large = {c: math.ceil(s / block) for c, s in sizes.items() if s > block}
+    large = {c: _subs(s, block, most) for c, s in sizes.items() if s > block}
     subs = F.lit(1)
     if large:
         counts = placed.sparkSession.createDataFrame(list(large.items()), "cell long, subs int")
@@ -291,9 +299,10 @@ def _meeting(t: float):
     return meet
 
 
-def _lower_hits(placed: DataFrame, sizes: dict[int, int], t: float, block: int) -> DataFrame:
+def _lower_hits(placed: DataFrame, sizes: dict[int, int], t: float, block: int, dim: int) -> DataFrame:
     """Ids of target rows that have a similar source row with a lower id; `placed` has src and tgt."""
-    return _gridded(placed, sizes, block).groupBy("cell", "a", "b").applyInArrow(_meeting(t), "id long").distinct()
+    grid = _gridded(placed, sizes, block, _block(dim, max(BLOCK_BYTES, block * 8 * dim)))
+    return grid.groupBy("cell", "a", "b").applyInArrow(_meeting(t), "id long").distinct()
 
 
 def _block(dim: int, block_bytes: int) -> int:
@@ -333,12 +342,12 @@ def semantic_dedup(
     placed, sizes = _placed(open_rows, t, n, dim, block) if n else (None, {})
     while n:
         flags = F.lit(True)
-        waiting = cut_lineage(_lower_hits(placed.withColumns({"src": flags, "tgt": flags}), sizes, t, block))
+        waiting = cut_lineage(_lower_hits(placed.withColumns({"src": flags, "tgt": flags}), sizes, t, block, dim))
         marked = placed.join(waiting.withColumn("tgt", flags), "id", "left").withColumn("tgt", F.coalesce("tgt", F.lit(False)))
         marked = marked.withColumn("src", ~F.col("tgt"))
         # every row stands once in a cell of its own on all levels
         kept.append(marked.where("src AND copied = 0").select("id"))
-        removed = _lower_hits(marked, sizes, t, block)
+        removed = _lower_hits(marked, sizes, t, block, dim)
         placed = cut_lineage(marked.where("tgt").drop("src", "tgt").join(removed, "id", "left_anti"))
         left = {r["cell"]: (r["count"], r["own"]) for r in placed.groupBy("cell").agg(F.count("*").alias("count"), F.count_if(F.col("copied") == 0).alias("own")).collect()}
         sizes, n = {c: size for c, (size, _) in left.items()}, sum(own for _, own in left.values())
@@ -356,5 +365,5 @@ def first_neighbours(rows: DataFrame, row_id: str, vector: str, threshold: float
     block = _block(dim, block_bytes)
     placed, sizes = _placed(ready, float(threshold), n, dim, block)
     flags = F.lit(True)
-    found = _lower_hits(placed.withColumns({"src": flags, "tgt": flags}), sizes, float(threshold), block)
+    found = _lower_hits(placed.withColumns({"src": flags, "tgt": flags}), sizes, float(threshold), block, dim)
     return found.withColumnRenamed("id", row_id)

@@ -76,6 +76,11 @@ def test_leaves_of_the_pivot_tree_follow_the_rows(spark, t):
     assert len(kept) == len(set(kept)) and set(kept) == greedy(rows, t)
 
 
+def test_large_leaves_copy_rows_to_few_blocks():
+    """Rows of a leaf that can't be split are copied once per sub-block: not once per 64 rows."""
+    assert [neardup._subs(n, 64, 32_768) for n in (64, 130, 10_000, 262_144, 600_000)] == [1, 3, 8, 8, 19]
+
+
 # --- exact dedup, funnel, split -----------------------------------------------------------------
 
 
