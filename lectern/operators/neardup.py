@@ -10,9 +10,12 @@ So only existence questions are asked ("does j have such a row before it?"), one
 per row and task leaves the workers, and the work is done in three exact stages:
 
 1. equal vectors collapse to their first row in a map-side aggregate;
-2. sweeps: the first rows around a few sampled pivots are decided against the whole
-   table and remove their groups, in linear passes. A near-copy group that holds a
-   third of all rows is gone after one sweep;
+2. sweeps, in linear passes: the first rows by id, a bounded number, decide each other,
+   since every row before them is among them, and the kept ones remove all similar rows
+   of the table. While that removes much it goes on with the first rows of the rest; then
+   the first rows around a few sampled pivots are decided against the whole table and
+   remove their groups. A near-copy group that holds a third of all rows is gone after
+   one sweep;
 3. rounds of the two facts over the rest. Similar rows meet in the leaves of a pivot
    tree: a cell larger than a block is split among pivots of its own, level by level, so
    the leaves follow the number of rows. A row is also copied to a neighbouring cell
@@ -45,6 +48,9 @@ PIVOT_BYTES = 32 * 1024 * 1024
 #: A split must save this share of a cell's comparisons.
 SAVES = 0.25
 SWEEP_SHARE = 0.05
+#: Bytes of the first rows that decide each other, and the part of all rows that they are at most.
+HEAD_BYTES = 2 * 1024 * 1024
+HEAD_SHARE = 16
 #: Sub-blocks of a large leaf, unless they would be larger than BLOCK_BYTES: enough pairs of them for some dozen cores.
 FEW = 8
 LEAST_BLOCK = 2
@@ -79,6 +85,39 @@ def _hit(src_ids, src, tgt_ids, tgt, t: float) -> np.ndarray:
 # --- stage 2: sweeps -------------------------------------------------------------
 
 
+def _head_rows(n: int, dim: int, least: int) -> int:
+    return min(max(1, HEAD_BYTES // (8 * max(dim, 1))), max(least, n // HEAD_SHARE))
+
+
+def _greedy(matrix: np.ndarray, t: float) -> np.ndarray:
+    """Whether each row, in order, is similar to no kept row before it."""
+    kept = np.ones(len(matrix), dtype=bool)
+    for i in range(len(matrix)):
+        if kept[i]:
+            kept[i + 1 :] &= ~(matrix[i + 1 :] @ matrix[i] > t)
+    return kept
+
+
+def _head_sweep(rows: DataFrame, t: float, size: int) -> tuple[DataFrame, DataFrame, int]:
+    """(kept ids among the first `size` rows, later rows that those don't remove, number of first rows)."""
+    head_ids, matrix = _matrix(rows.orderBy("id").limit(size))
+    sure = _greedy(matrix, t)
+    shared = rows.sparkSession.sparkContext.broadcast((head_ids, head_ids[sure], matrix[sure]))
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, kept_ids, kept_rows = shared.value
+        for batch in batches:
+            ids = batch.column(0).to_numpy().astype(np.int64)
+            gone = _hit(kept_ids, kept_rows, ids, unit_rows(batch.column(1)), t) | np.isin(ids, first)
+            yield batch.filter(pa.array(~gone))
+
+    slim = rows.select("id", "v")
+    kept = rows.sparkSession.createDataFrame([(int(i),) for i in head_ids[sure]], "id long")
+    left = cut_lineage(slim.mapInArrow(rest, slim.schema))
+    shared.unpersist()
+    return kept, left, len(head_ids)
+
+
 def _sweep(rows: DataFrame, t: float, pivots: int) -> tuple[DataFrame, DataFrame]:
     """(surely kept ids, rows without those and without what they remove)."""
     sc = rows.sparkSession.sparkContext
@@ -332,6 +371,13 @@ def semantic_dedup(
 
     block = _block(dim, block_bytes)
     shrinking = True
+    while shrinking and n:
+        sure, open_rows, first = _head_sweep(open_rows, t, _head_rows(n, dim, pivots))
+        kept.append(sure)
+        left = open_rows.count()
+        shrinking = n - left - first > SWEEP_SHARE * n
+        n = left
+    shrinking = True
     while shrinking and n:
         sure, open_rows = _sweep(open_rows, t, pivots)
         kept.append(sure)
