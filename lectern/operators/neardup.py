@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -403,13 +404,74 @@ def semantic_dedup(
     return result.withColumnRenamed("id", row_id)
 
 
+def _head_flags(rows: DataFrame, targets: DataFrame, t: float, after: int | None, size: int) -> tuple[DataFrame, DataFrame, int | None]:
+    """(targets similar to one of the `size` rows that follow `after`, targets left open, last of those rows).
+
+    Targets up to the last of them have met every row before them and are decided.
+    """
+    around = rows if after is None else rows.where(F.col("id") > after)
+    head = _matrix(around.orderBy("id").limit(size))
+    last = int(head[0].max()) if len(head[0]) else after
+    shared = rows.sparkSession.sparkContext.broadcast((*head, last))
+
+    def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows that are flagged, without their vector, and rows that stay open."""
+        head_ids, matrix, last = shared.value
+        for batch in batches:
+            ids = batch.column(0).to_numpy().astype(np.int64)
+            hit = _hit(head_ids, matrix, ids, unit_rows(batch.column(1)), t)
+            stays = hit | (ids > last)
+            v = pc.if_else(pa.array(hit), pa.scalar(None, batch.column(1).type), batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), v], schema=batch.schema).filter(pa.array(stays))
+
+    slim = targets.select("id", "v")
+    done = cut_lineage(slim.mapInArrow(flagged, slim.schema))
+    shared.unpersist()
+    return done.where("v IS NULL").select("id"), done.where("v IS NOT NULL"), last
+
+
+def _met_by_all(rows: DataFrame, targets: DataFrame, t: float) -> DataFrame:
+    """Targets, a bounded number, that have a similar row before them: one pass over all rows."""
+    shared = rows.sparkSession.sparkContext.broadcast(_matrix(targets))
+
+    def preceded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, matrix = shared.value
+        hit = np.zeros(len(ids), dtype=bool)
+        for batch in batches:
+            left = np.flatnonzero(~hit)
+            hit[left] = _hit(batch.column(0).to_numpy().astype(np.int64), unit_rows(batch.column(1)), ids[left], matrix[left], t)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[hit])], names=["id"])
+
+    return rows.select("id", "v").mapInArrow(preceded, "id long").distinct()
+
+
 def first_neighbours(rows: DataFrame, row_id: str, vector: str, threshold: float, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows that have a similar row before them (the flag the rounds are built on)."""
+    """Rows that have a similar row before them (the flag the rounds are built on).
+
+    While the first rows by id flag much of what is open, they do so in linear passes; the rest meets in the pivot tree.
+    """
+    t = float(threshold)
     ready = rows.select(F.col(row_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     facts = ready.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
     n, dim = facts["n"], facts["dim"] or 0
     block = _block(dim, block_bytes)
-    placed, sizes = _placed(ready, float(threshold), n, dim, block)
-    flags = F.lit(True)
-    found = _lower_hits(placed.withColumns({"src": flags, "tgt": flags}), sizes, float(threshold), block, dim)
-    return found.withColumnRenamed("id", row_id)
+    found, targets, open_, last, shrinking = [], ready, n, None, True
+    head = _head_rows(n, dim, LEAST_BLOCK)
+    while shrinking and open_ > head:
+        hit, targets, last = _head_flags(ready, targets, t, last, head)
+        found.append(hit)
+        left = targets.count()
+        shrinking = open_ - left - head > SWEEP_SHARE * open_
+        open_ = left
+    if 0 < open_ <= head:
+        found.append(_met_by_all(ready, targets, t))
+    elif open_:
+        placed, sizes = _placed(ready, t, n, dim, block)
+        flags = F.lit(True)
+        wanted = targets.select("id").distinct().withColumn("tgt", flags)
+        placed = placed.join(wanted, "id", "left").withColumns({"src": flags, "tgt": F.coalesce("tgt", F.lit(False))})
+        found.append(_lower_hits(placed, sizes, t, block, dim))
+    result = found[0] if found else ready.select("id").where(F.lit(False))
+    for part in found[1:]:
+        result = result.unionByName(part)
+    return result.distinct().withColumnRenamed("id", row_id)

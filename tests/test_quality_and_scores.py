@@ -81,6 +81,23 @@ def test_large_leaves_copy_rows_to_few_blocks():
     assert [neardup._subs(n, 64, 32_768) for n in (64, 130, 10_000, 262_144, 600_000)] == [1, 3, 8, 8, 19]
 
 
+@pytest.mark.parametrize("t", [0.3, 0.5, 0.97])
+def test_first_rows_decide_each_other_and_much_of_the_rest(spark, t, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [(int(i), x.tolist()) for i, x in enumerate(rng.normal(size=(1500, 16)))]
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(4)
+    unit = np.array([x for _, x in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = set(np.flatnonzero(np.tril(unit @ unit.T > t, -1).any(axis=1)).tolist())
+    compared, placed = [], neardup._placed
+    monkeypatch.setattr(neardup, "_placed", lambda rows, *args: compared.append(args[1]) or placed(rows, *args))
+    found = [r[0] for r in neardup.first_neighbours(df, "id", "v", t, block_bytes=64 * 16 * 8).collect()]
+    assert len(found) == len(set(found)) and set(found) == near
+    assert {r[0] for r in neardup.semantic_dedup(df, "id", "v", t, pivots=32, block_bytes=64 * 16 * 8).collect()} == greedy(rows, t)
+    # similar to many: linear passes leave nothing to compare pairwise
+    assert bool(compared) == (t > 0.5)
+
+
 # --- exact dedup, funnel, split -----------------------------------------------------------------
 
 
