@@ -874,9 +874,8 @@ def fold_attempts(spark, sf_dir):
 @query
 def fold_attempts_stream(spark, sf_dir):
     """The attempts arrive in several files, those of a question spread over them."""
-    path = shared_path(spark, "stream-attempts")
-    _weak_attempts(spark, sf_dir).repartition(STREAM_FILES).write.parquet(path)
-    folded = jobs.run_attempt_folds(spark, jobs.file_stream(spark, path, files_per_trigger=1))
+    arriving = _arriving(_weak_attempts(spark, sf_dir), R.table(spark, sf_dir, "conversations"), "stream-attempts")
+    folded = jobs.run_attempt_folds(spark, arriving)
     return folded.select("question_id", "attempts", "answer", "needs_retry")
 
 
@@ -934,14 +933,26 @@ def unknown_session_events(spark, sf_dir):
     return sessions.unknown_events(R.question_events(spark, sf_dir), _created(spark, sf_dir)).select("event_id", "session_id")
 
 
+#: Batches in which a table arrives.
 STREAM_FILES = 3
 
 
+def _arriving(rows: DataFrame, read: DataFrame, label: str) -> DataFrame:
+    """The rows as a folder of files that arrive in `STREAM_FILES` batches, each of as many files as keep tasks small.
+
+    `read` is the table the rows come from: its scan has a task for so many bytes.
+    """
+    spark = rows.sparkSession
+    path = shared_path(spark, label)
+    files = -(-read.rdd.getNumPartitions() // STREAM_FILES)
+    rows.repartition(STREAM_FILES * files).write.parquet(path)
+    return jobs.file_stream(spark, path, files_per_trigger=files)
+
+
 def _file_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The whole table as a folder of several files that arrive one batch after another."""
-    path = shared_path(spark, f"stream-{name}")
-    R.table(spark, sf_dir, name).repartition(STREAM_FILES).write.parquet(path)
-    return jobs.file_stream(spark, path, files_per_trigger=1)
+    rows = R.table(spark, sf_dir, name)
+    return _arriving(rows, rows, f"stream-{name}")
 
 
 @query
@@ -966,9 +977,8 @@ def ingest_stream(spark, sf_dir):
 def list_documents_stream(spark, sf_dir):
     """The chunks of all documents arrive in several files."""
     points = ingest.index_documents(R.conversation_pages(spark, sf_dir), window_chunks("text"), vectorizer, normalize=False)
-    path = shared_path(spark, "stream-points")
-    index.scan_collection(points).repartition(STREAM_FILES).write.parquet(path)
-    listed = jobs.run_document_summaries(spark, jobs.file_stream(spark, path, files_per_trigger=1))
+    arriving = _arriving(index.scan_collection(points), R.table(spark, sf_dir, "conversations"), "stream-points")
+    listed = jobs.run_document_summaries(spark, arriving)
     return listed.select("doc_id", "source", "subject", _joined("pages"), *_long("page_count", "chunk_count"))
 
 

@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,7 +11,7 @@ from lectern.functions.vectors import keyword_vector
 from lectern.operators import answers, index, retrieval, search
 from lectern.operators.chunking import chunk_spans, recursive_chunks
 from lectern.operators.embed import embed_queries
-from lectern.plans import ingest
+from lectern.plans import catalog, ingest
 from lectern.streaming import jobs
 
 
@@ -276,3 +278,26 @@ def test_long_text_without_separators():
     spans = list(chunk_spans(text, 0, len(text), 500, 50, C.SEPARATORS))
     assert spans[0] == (0, 500) and spans[-1][1] == len(text)
     assert all(a[1] - b[0] == 50 for a, b in zip(spans, spans[1:]))
+
+
+def test_tables_arrive_in_files_that_follow_their_bytes(spark, tmp_path, monkeypatch):
+    """A table read by many tasks arrives in as many files, still in three batches."""
+    spark.range(6000).selectExpr("id event_id", "id % 50 user_id", "'e' event_type", "timestamp_seconds(id) ts", "repeat('x', 20) props").write.parquet(str(tmp_path / "events.parquet"))
+    seen, open_stream = [], jobs.file_stream
+    monkeypatch.setattr(jobs, "file_stream", lambda spark, path, files_per_trigger: seen.append((path, files_per_trigger)) or open_stream(spark, path, files_per_trigger))
+    for most, files in (("4k", None), ("1g", 1)):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0" if files is None else "1g")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        try:
+            read = spark.read.parquet(str(tmp_path / "events.parquet")).rdd.getNumPartitions()
+            rows = catalog.session_rollup_stream(spark, str(tmp_path)).collect()
+        finally:
+            for name in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
+                spark.conf.unset(f"spark.sql.files.{name}")
+        path, at_once = seen.pop()
+        written = [f for f in os.listdir(path) if f.endswith(".parquet")]
+        assert len(rows) == 50 and all(r["question_count"] == 120 for r in rows)
+        assert files is None or read <= 8
+        assert at_once == -(-read // 3) and len(written) == 3 * at_once
+        assert files is not None or at_once > 2
