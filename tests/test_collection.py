@@ -55,6 +55,42 @@ def test_newest_rows_win_and_untouched_buckets_keep_their_files(spark, tmp_path)
     assert "LeftAnti" not in held.read()._jdf.queryExecution().executedPlan().toString()
 
 
+def shuffles(spark, run):
+    """Shuffles of whole rows in the plans of the writes that `run` makes, and their plans."""
+    plans, write = [], Collection._write
+
+    def watched(self, rows, batch, one_per_id=None):
+        def picked(dealt, ids):
+            plans.append(one_per_id(dealt, ids)._jdf.queryExecution().executedPlan().toString())
+            return one_per_id(dealt, ids)
+
+        return write(self, rows, batch, picked if one_per_id else None)
+
+    Collection._write = watched
+    try:
+        run()
+    finally:
+        Collection._write = write
+    return [(plan.count("Exchange hashpartitioning"), "Join" in plan) for plan in plans]
+
+
+def test_rows_are_shuffled_once_by_upserts_and_compactions(spark, tmp_path):
+    held = Collection(spark, str(tmp_path / "c"), buckets=3)
+    twice = points(spark, 300).union(points(spark, 300))
+    some = spark.createDataFrame([("p1", "x", 9, [1.0], 2), ("p1", "y", 8, [1.0], 1), (None, "x", 1, [1.0], 1)], "point_id string, subject string, version int, vector array<double>, o int")
+    none = some.where("point_id IS NULL").drop("o")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = [lambda: held.upsert(twice), lambda: held.upsert(some, order="o"), lambda: held.upsert(none), lambda: held.compact(share=0.0)]
+        assert [x for run in runs for x in shuffles(spark, run)] == [(1, False)] * 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all(len(batches) == 1 for batches in held.state()[1].values())
+    got = [(r["point_id"], r["version"]) for r in held.read().collect()]
+    assert sorted(x for x in got if x[0]) == sorted((f"p{i}", 9 if i == 1 else 0) for i in range(300))
+    assert [x for x in got if not x[0]] == [(None, 1)] * 2
+
+
 def test_a_batch_without_a_state_is_not_there(spark, tmp_path):
     held = Collection(spark, str(tmp_path / "c"))
     with pytest.raises(ValueError):
