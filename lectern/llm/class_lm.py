@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.tables import read_table, saved
-from lectern.llm.words import BYTE_CODE, run_hashes, slices, words_of
+from lectern.llm.words import BYTE_CODE, run_hashes, run_sums, slices, words_of
 
 #: Frequent words that are symbols of their own when clustering starts; symbols that the others share by their endings then.
 WORDS, ENDINGS = 768, 255
@@ -62,12 +62,13 @@ def hashed(texts: pa.Array):
     """(words, different word hashes, their ending, place of each word among the different ones)."""
     words = words_of(texts, lower=True)
     codes = BYTE_CODE[words.data]
+    total = run_sums(codes)
     # by a hash table, in the order in which they come: no sort of all places
-    place, different = pd.factorize(run_hashes(codes, words.start, words.end))
+    place, different = pd.factorize(run_hashes(codes, words.start, words.end, total))
     first = np.empty(len(different), dtype=np.int64)
     first[place[::-1]] = np.arange(len(place))[::-1]
     end = words.end[first]
-    ending = run_hashes(codes, np.maximum(words.start[first], end - ENDING_BYTES), end) % np.uint64(ENDINGS)
+    ending = run_hashes(codes, np.maximum(words.start[first], end - ENDING_BYTES), end, total) % np.uint64(ENDINGS)
     return words, different, ending.astype(np.int64), place.reshape(-1)
 
 
@@ -281,14 +282,15 @@ def _contexts(shared):
         parts: list[tuple] = []
 
         def merged():
+            """Contexts word after word, in the order in which the words first came."""
             h, k, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            order = np.lexsort((k, h))
-            h, k, n = h[order], k[order], n[order]
-            first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (k[1:] != k[:-1]))) if len(h) else np.empty(0, np.int64)
-            return h[first], k[first], np.add.reduceat(n, first) if len(h) else n
+            at, different = pd.factorize(h)
+            at, k, n = _summed(at, k, n)
+            return different[at], k, n
 
         def sent(rows):
-            h, first = np.unique(rows[0], return_index=True)
+            first = np.flatnonzero(np.append(True, rows[0][1:] != rows[0][:-1])) if len(rows[0]) else np.empty(0, np.int64)
+            h = rows[0][first]
             ends = pa.array(np.append(first, len(rows[0])), pa.int32())
             lists = [pa.ListArray.from_arrays(ends, pa.array(r, t)) for r, t in ((rows[1], pa.int32()), (rows[2], pa.int64()))]
             return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *lists], ["h", "ks", "ns"])
@@ -316,10 +318,15 @@ def _contexts(shared):
 
 def _summed(owner: np.ndarray, k: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(owner, k, sum of n), ascending."""
-    order = np.lexsort((k, owner))
-    owner, k, n = owner[order], k[order], n[order]
-    first = np.flatnonzero(np.append(True, (np.diff(owner) != 0) | (np.diff(k) != 0))) if len(k) else np.empty(0, np.int64)
-    return owner[first], k[first], np.add.reduceat(n, first) if len(k) else n
+    if not len(k):
+        return owner, k, n
+    # one number for both: sorted faster than two
+    wide = int(k.max()) + 1
+    both = owner * wide + k
+    order = np.argsort(both)
+    both = both[order]
+    first = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+    return both[first] // wide, both[first] % wide, np.add.reduceat(n[order], first)
 
 
 def _contexts_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

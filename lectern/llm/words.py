@@ -45,10 +45,18 @@ def powers(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-def run_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of codes[start:end] for every pair, equal for equal runs wherever they stand."""
-    total = np.zeros(len(codes) + 1, dtype=np.uint64)
-    np.cumsum(codes * powers(BASE, len(codes)), out=total[1:])
+def run_sums(codes: np.ndarray) -> np.ndarray:
+    """What all hashes of runs of these codes are taken from."""
+    total = np.empty(len(codes) + 1, dtype=np.uint64)
+    total[0] = 0
+    np.multiply(codes, powers(BASE, len(codes)), out=total[1:])
+    return np.cumsum(total, out=total)
+
+
+def run_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
+    """Hash of codes[start:end] for every pair, equal for equal runs wherever they stand; total: the `run_sums`, if at hand."""
+    if total is None:
+        total = run_sums(codes)
     return mix((total[end] - total[start]) * powers(BASE_INVERSE, len(codes) + 1)[start] + (end - start).astype(np.uint64))
 
 

@@ -376,3 +376,38 @@ def test_score_of_a_small_table_restated(spark):
             share = 0.0 if b is None else math.log10((count.get(b, 0) + 0.1) / (pairs.sum(axis=0)[c] + 0.1 * (in_class[c] + 1)))
             score += step[end if a is None else kind(a), c] + share
         assert r["held_out"] == held[r["doc_id"]] and abs(r["base_score"] - base) < 1e-6 and abs(r["score"] - score) < 1e-6
+
+
+@pytest.mark.parametrize("gather", [3, 1_000_000])
+def test_contexts_of_words_are_summed_over_the_batches_of_a_task(monkeypatch, gather):
+    texts = ["a b a c", "c c b", "", "B a x y x", None, "y y y", "a b a c"] * 3
+    monkeypatch.setattr(class_lm, "GATHER", gather)
+    frequent = np.sort(class_lm.hashed(pa.array(["a"]))[1])
+    group = np.append(np.arange(len(frequent) + class_lm.ENDINGS) % 5, 5)
+
+    class shared:
+        value = frequent, group, np.zeros((6, 6))
+
+    def group_of(word):
+        _, h, ending, _ = class_lm.hashed(pa.array([word]))
+        return int(group[class_lm.symbols(h, ending, frequent)[0]])
+
+    want, hashes = {}, {w: int(class_lm.hashed(pa.array([w]))[1].view(np.int64)[0]) for w in "abcxy"}
+    for text in texts:
+        words = [None, *(text or "").lower().split(), None]
+        for before, after in zip(words, words[1:]):
+            if after not in (None, "a"):
+                k = 12 if before == after else 5 if before is None else group_of(before)
+                want[hashes[after], k] = want.get((hashes[after], k), 0) + 1
+            if before not in (None, "a") and before != after:
+                k = 6 + (5 if after is None else group_of(after))
+                want[hashes[before], k] = want.get((hashes[before], k), 0) + 1
+    got = {}
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 4], pa.string())], ["text"]) for i in range(0, len(texts), 4)]
+    for out in class_lm._contexts(shared)(iter(batches)):
+        rows = out.to_pydict()
+        assert len(set(rows["h"])) == len(rows["h"])
+        for h, ks, ns in zip(rows["h"], rows["ks"], rows["ns"]):
+            for k, n in zip(ks, ns):
+                got[h, k] = got.get((h, k), 0) + n
+    assert got == want
