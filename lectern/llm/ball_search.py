@@ -8,11 +8,12 @@ Each task gathers documents into trees of at most `TREE` documents: a node holds
 document's distance exceeds, and a radius per term, and is halved between its two far ends. <q, y> is at most <q, c> + |q| * r, and
 at most the sum of c[t] + r[t] over the item's terms; the search takes the smaller. Sums of whole numbers below 2**53 are exact, and r and
 its product are rounded up, so both bounds are safe. A search opens nodes by descending bound and stops when the best bound
-is below the k-th score; leaves are scored in 64-bit whole numbers. The trees are written once and searched twice: first two
+is below the k-th score; leaves are scored in 64-bit whole numbers. The trees are searched twice: first two
 leaves per item and tree, whose scores give every item a proven k-th score over the whole table; then all trees against it.
 
-Bounds: a tree lives in one task; items pass in blocks of at most `BLOCK` terms, which bounds what is broadcast.
-What leaves a task is at most k rows an item.
+Bounds: the sparse counts are written once. A tree is several times as large as its documents' counts, so each search grows its
+trees anew and no tree is ever a row: it lives in the Python worker of one task, one tree at a time. Items pass in
+blocks of at most `BLOCK` terms, which bounds what is broadcast. What leaves a task is at most k rows an item.
 
 Odd input: null and empty texts, and texts without a term, count nowhere and are never found; an item without terms finds
 nothing; rows with one item_id (null is one too) are one item with the terms of all; every row of documents is a document of its
@@ -23,16 +24,15 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.lexicon import expanded, packed, unpacked
+from lectern.llm.lexicon import expanded
 from lectern.llm.tables import read_table, saved
 from lectern.llm.words import BYTE_CODE, run_hashes, slices, words_of
 
@@ -52,7 +52,6 @@ FIRST_LEAVES = 2
 #: Relative slack of radii and bounds, far above the error of sums of this length in doubles.
 SLACK = 1e-9
 VECTORS = "doc_id long, n long, term array<int>, tf array<int>"
-TREES = "tree binary"
 FOUND = "item int, doc_id long, score long"
 
 
@@ -124,18 +123,9 @@ class Tree:
     by term: c is that of c_node at c_term, and no row there is above c + reach.
     """
 
-    KINDS = {"doc_id": "i8", "first": "i4", "term": "i4", "y": "i8", "lo": "i4", "hi": "i4", "child": "i4", "radius": "f8", "c_term": "i4", "c_node": "i4", "c": "f8", "reach": "f8"}
-
     def __init__(self, **fields: np.ndarray):
         self.__dict__.update(fields)
 
-    def stored(self) -> bytes:
-        return zstandard.compress(packed({f: getattr(self, f).astype(kind) for f, kind in self.KINDS.items()}), 1)
-
-    @classmethod
-    def read(cls, data: bytes) -> Tree:
-        return cls(**unpacked(np.frombuffer(zstandard.decompress(data), np.uint8)))
-
     @classmethod
     def grown(cls, doc_id: np.ndarray, first: np.ndarray, term: np.ndarray, y: np.ndarray, terms: int, leaf: int = LEAF) -> Tree:
         size = np.diff(first)
@@ -244,8 +234,9 @@ class Tree:
 NULL_ID = np.iinfo(np.int64).max
 
 
-def _trees(w: np.ndarray, docs: int, total: int, tree: int):
-    def made(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _trees(w: np.ndarray, docs: int, total: int, size: int):
+    def grown(rows: pa.Table) -> Tree:
+        batch = rows.combine_chunks().to_batches()[0]
         doc_id = batch.column("doc_id").fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False)
         lists, tfs = batch.column("term"), batch.column("tf")
         first = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
@@ -253,36 +244,28 @@ def _trees(w: np.ndarray, docs: int, total: int, tree: int):
         n = batch.column("n").to_numpy(zero_copy_only=False)
         m = 10 + 90 * n * docs // total
         y = w[term] * (1_000_000_000 * tf // (1000 * tf + 8 * np.repeat(m, np.diff(first))))
-        return pa.RecordBatch.from_arrays([pa.array([Tree.grown(doc_id, first, term, y, len(w)).stored()], pa.binary())], ["tree"])
+        return Tree.grown(doc_id, first, term, y, len(w))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[Tree]:
         waiting: list[pa.RecordBatch] = []
         for batch in batches:
-            waiting.append(batch)
-            rows = pa.Table.from_batches(waiting).combine_chunks()
-            while rows.num_rows >= tree:
-                yield made(rows.slice(0, tree).combine_chunks().to_batches()[0])
-                rows = rows.slice(tree)
-            waiting = rows.to_batches()
+            rows = pa.Table.from_batches([*waiting, batch])
+            whole = rows.num_rows - rows.num_rows % size
+            for at in range(0, whole, size):
+                yield grown(rows.slice(at, size))
+            waiting = rows.slice(whole).to_batches()
         if sum(b.num_rows for b in waiting):
-            yield made(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
+            yield grown(pa.Table.from_batches(waiting))
 
     return run
 
 
-def build_trees(vectors: DataFrame, w: np.ndarray, docs: int, total: int, tree: int = TREE) -> DataFrame:
-    """One row per ball tree over the documents that hold any of the terms; a task unpacks one at a time."""
-    return vectors.filter(F.size("term") > 0).mapInArrow(_trees(w, docs, total, tree), TREES)
-
-
-def _search(items: list[np.ndarray], least: list[int], most_leaves: int | None, k: int):
+def _search(trees: Callable[[Iterator[pa.RecordBatch]], Iterator[Tree]], items: list[np.ndarray], least: list[int], most_leaves: int | None, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[list[tuple[int, int]]] = [[] for _ in items]
-        for batch in batches:
-            for stored in batch.column("tree"):
-                tree = Tree.read(stored.as_py())
-                for item, heap, floor in zip(items, best, least):
-                    tree.search(item, heap, floor, most_leaves, k)
+        for tree in trees(batches):
+            for item, heap, floor in zip(items, best, least):
+                tree.search(item, heap, floor, most_leaves, k)
         rows = [(i, -d, s) for i, heap in enumerate(best) for s, d in heap]
         item, doc, score = zip(*rows) if rows else ((), (), ())
         doc = [None if d == NULL_ID else d for d in doc]
@@ -291,12 +274,18 @@ def _search(items: list[np.ndarray], least: list[int], most_leaves: int | None,
     return run
 
 
-def search_trees(trees: DataFrame, items: list[np.ndarray], k: int = TOP, first_leaves: int = FIRST_LEAVES) -> DataFrame:
-    """(item, rank, doc_id, score) of the k best documents of every item; items: the term numbers of each."""
+def search_trees(
+    vectors: DataFrame, w: np.ndarray, docs: int, total: int, items: list[np.ndarray], k: int = TOP, tree: int = TREE, first_leaves: int = FIRST_LEAVES
+) -> DataFrame:
+    """(item, rank, doc_id, score) of the k best documents of every item; items: the term numbers of each.
+
+    The trees are over the documents that hold any of the terms; a task grows and searches one at a time.
+    """
     rank = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+    held = vectors.filter(F.size("term") > 0)
 
     def ranked(least: list[int], most_leaves: int | None) -> DataFrame:
-        found = trees.mapInArrow(_search(items, least, most_leaves, k), FOUND)
+        found = held.mapInArrow(_search(_trees(w, docs, total, tree), items, least, most_leaves, k), FOUND)
         return found.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
 
     proven = {r["item"]: r["score"] for r in ranked([1] * len(items), first_leaves).filter(F.col("rank") == k).select("item", "score").collect()}
@@ -321,8 +310,7 @@ def top_documents(docs: DataFrame, items: DataFrame, k: int = TOP, tree: int = T
         docs_n, total, w = weights(vectors, len(terms))
         if not docs_n:
             continue
-        trees = saved(build_trees(vectors, w, docs_n, total, tree), "trees")
-        found = search_trees(trees, [np.array(sorted(t), np.int64) for t in listed.values()], k)
+        found = search_trees(vectors, w, docs_n, total, [np.array(sorted(t), np.int64) for t in listed.values()], k, tree)
         names = spark.createDataFrame([(i, item) for i, item in enumerate(listed)], f"item int, {schema.split(',')[0]}")
         out = out.unionByName(found.join(names, "item").select("item_id", "rank", F.col("doc_id"), "score"))
     return out

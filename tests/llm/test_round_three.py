@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import os
+import pathlib
 import random
 import re
 import subprocess
@@ -12,12 +13,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import plain
 from lectern.llm import ball_search, class_lm, conversation_repair, lexicon_codec, repair_grammar
 from lectern.llm.lexicon import Builder, Lexicon
+from lectern.session import shared_dir
 
 
 # --- transducer
@@ -154,6 +157,34 @@ def test_ranking_of_empty_tables(spark, odd_docs, no_docs):
     assert ball_search.top_documents(odd_docs, items.filter("item_id in (1, 2, 3)")).collect() == []
 
 
+def test_trees_stay_in_their_tasks(spark):
+    """What a search writes is the counts of each document: no tree, which is larger, and nothing that grows with it."""
+    rng = random.Random(2)
+    docs = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(60))) for i in range(3000)]
+    items = [(i, " ".join(f"w{j}" for j in range(40 * i, 40 * i + 40))) for i in range(10)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    folder = pathlib.Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("llm-*"))
+    found = ball_search.top_documents(table, spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(tuple(r) for r in found.collect()) == sorted(ranked(docs, items))
+    written = [f for d in set(folder.glob("llm-*")) - before for f in d.glob("part-*")]
+    pairs_written = sum(len(set(terms(t))) for _, t in docs)
+    assert 0 < sum(f.stat().st_size for f in written) < 8 * pairs_written
+    read = [pq.read_table(f) for f in written]
+    assert all(t.num_rows == 0 or t.nbytes / t.num_rows < 1000 for t in read)
+
+
+@pytest.mark.parametrize("rows", [0, 1, 4, 8, 9])
+def test_batches_become_trees_of_a_size(rows):
+    """Batches of any size, empty ones too, and row counts that a tree's size divides."""
+    whole = pa.table({"doc_id": pa.array(range(rows), pa.int64()), "n": pa.array([3] * rows, pa.int64()), "term": pa.array([[0, 2]] * rows, pa.list_(pa.int32())), "tf": pa.array([[1, 2]] * rows, pa.list_(pa.int32()))})
+    empty = whole.schema.empty_table().to_batches() or [pa.RecordBatch.from_pylist([], whole.schema)]
+    batches = [*empty, *whole.slice(0, 3).to_batches(), *empty, *whole.slice(3).to_batches(), *empty]
+    grown = list(ball_search._trees(np.array([5, 6, 7]), 10, 30, 4)(iter(batches)))
+    assert [len(t.doc_id) for t in grown] == [4] * (rows // 4) + [rows % 4] * (rows % 4 > 0)
+    assert sorted(int(d) for t in grown for d in t.doc_id) == list(range(rows))
+
+
 def test_balls_hold_their_rows_and_prune():
     rng = np.random.default_rng(3)
     topic = rng.integers(0, 20, 2000)
